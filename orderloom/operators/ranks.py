@@ -8,7 +8,7 @@ and only the few ranges that hold a wanted rank are looked at more closely.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,7 +37,7 @@ def _wanted_ranks(total: Column, probs: Iterable[float]) -> Column:
     return F.array_distinct(F.array(*ranks))
 
 
-def _ranges_with_wanted(counts: DataFrame, group: list[str], within: list[str], order: str, probs) -> DataFrame:
+def _ranges_with_wanted(counts: DataFrame, group: list[str], within: list[str], order: str, pick) -> DataFrame:
     """Keep the ranges that contain a wanted rank, with the ranks they hold.
 
     ``counts`` has one row per range (bounded by groups x fan-out): rows_in, low,
@@ -48,7 +48,7 @@ def _ranges_with_wanted(counts: DataFrame, group: list[str], within: list[str],
     running = part.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     base = F.col("base") if within else F.lit(0)
     total = F.col("total") if within else F.sum("rows_in").over(part)
-    wanted = F.col("wanted") if within else _wanted_ranks(total, probs)
+    wanted = F.col("wanted") if within else pick(total)
     placed = counts.select(
         *group,
         "low",
@@ -76,19 +76,19 @@ def _join_ranges(values: DataFrame, ranges: DataFrame, group: list[str], by: lis
     return values.join(side, condition).drop(*[f"of_{g}" for g in group])
 
 
-def exact_quantiles(
+def order_statistics(
     df: DataFrame,
     columns: Iterable[str],
-    probs: Iterable[float],
+    pick: Callable[[Column], Column],
     by: Iterable[str] = (),
     refinements: int = 1,
     fanout: int = FANOUT,
 ) -> DataFrame:
-    """Exact, linearly interpolated quantiles: rows ``(by..., column, prob, value)``.
+    """Values at chosen ranks: rows ``(by..., column, total, rank_no, value)``.
 
-    Missing values are ignored; a column without values yields no row.
+    ``pick`` turns the number of values of a group into an array of 0-based ranks.
     """
-    columns, probs, by = list(columns), [float(p) for p in probs], list(by)
+    columns, by = list(columns), list(by)
     group = [*by, "column"]
     # Adding 0.0 folds -0.0 into 0.0.
     values = melt(df, columns, by).where(F.col("value").isNotNull() & ~F.isnan("value"))
@@ -100,7 +100,7 @@ def exact_quantiles(
         F.max("value").alias("high"),
     ]
     counts = values.groupBy(*group, _coarse_range(F.col("value")).alias("range_no")).agg(*measures)
-    ranges = _ranges_with_wanted(counts, group, [], "range_no", probs)
+    ranges = _ranges_with_wanted(counts, group, [], "range_no", pick)
 
     outer = ["outer_low", "outer_high", "total", "base", "wanted"]
     for _ in range(refinements):
@@ -111,7 +111,7 @@ def exact_quantiles(
         )
         number = _fine_range(F.col("value"), F.col("outer_low"), F.col("outer_high"), fanout)
         counts = held.groupBy(*group, *outer, number.alias("range_no")).agg(*measures)
-        ranges = _ranges_with_wanted(counts, group, outer, "range_no", probs)
+        ranges = _ranges_with_wanted(counts, group, outer, "range_no", pick)
 
     held = _join_ranges(values, ranges, group, by)
     last = [*group, "low", "high", "total", "base", "wanted"]
@@ -122,18 +122,25 @@ def exact_quantiles(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     upto = F.col("base") + F.sum("rows_in").over(running)
-    hits = (
+    here = F.filter("wanted", lambda k: (k >= F.col("upto") - F.col("rows_in")) & (k < F.col("upto")))
+    return (
         distinct.withColumn("upto", upto)
-        .withColumn(
-            "rank_no",
-            F.explode(
-                F.filter("wanted", lambda k: (k >= F.col("upto") - F.col("rows_in")) & (k < F.col("upto")))
-            ),
-        )
+        .withColumn("rank_no", F.explode(here))
         .select(*group, "total", "rank_no", "value")
     )
 
-    # Interpolate on the handful of order statistics found.
+
+def exact_quantiles(
+    df: DataFrame, columns: Iterable[str], probs: Iterable[float], by: Iterable[str] = (), **options
+) -> DataFrame:
+    """Exact, linearly interpolated quantiles: rows ``(by..., column, prob, value)``.
+
+    Missing values are ignored; a column without values yields no row.
+    """
+    probs, by = [float(p) for p in probs], list(by)
+    group = [*by, "column"]
+    hits = order_statistics(df, columns, lambda total: _wanted_ranks(total, probs), by, **options)
+    # A handful of order statistics per group remain to interpolate between.
     found = hits.groupBy(*group, "total").agg(
         F.map_from_entries(F.collect_list(F.struct("rank_no", "value"))).alias("at")
     )
