@@ -17,23 +17,9 @@ def is_valid_json(line: Column) -> Column:
     return document(line).isNotNull()
 
 
-def is_object(doc: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False))
-
-
 def text_key(doc: Column, name: str) -> Column:
     """The member ``name`` if it is a non-blank JSON string, else NULL."""
     member = F.try_variant_get(doc, f"$.{name}", "variant")
     value = F.try_variant_get(doc, f"$.{name}", "string")
     return F.when((F.schema_of_variant(member) == "STRING") & (F.length(strip(value)) > 0), value)
 
-
-def present_keys(line: Column) -> Column:
-    """Top-level member names of a JSON object (NULL for anything else)."""
-    return F.json_object_keys(line)
-
-
-def missing_keys(line: Column, required: tuple[str, ...]) -> Column:
-    """Sorted names of the required members the object does not have."""
-    wanted = F.array(*[F.lit(name) for name in sorted(required)])
-    return F.array_except(wanted, F.coalesce(present_keys(line), F.array().cast("array<string>")))

@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the whitespace a Unicode-aware strip removes.
-_BLANK = r"[\s\x1c-\x1f\x85\p{Z}]"
+# Fixed value: every character a Unicode-aware strip removes.
+WHITESPACE = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(c: Column) -> Column:
     """Drop leading and trailing whitespace of any kind; NULL stays NULL."""
-    return F.regexp_replace(F.regexp_replace(c, rf"^{_BLANK}+", ""), rf"{_BLANK}+\z", "")
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def strip_lower(c: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orderloom.operators import ranks
 from orderloom.operators.reshape import rows_from, scalar_struct
+from orderloom.session import materialise
 
 # Fixed value: probabilities are kept this far from 0 and 1 in the log loss.
 PROBABILITY_MARGIN = 2.220446049250313e-16
@@ -64,10 +65,10 @@ def probability_losses(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def score_curve(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Per distinct score: positives and negatives there, and at or below it.
+    """Per distinct score: ``pos``/``neg`` there, ``upto_*`` at or above it, ``all_*`` in total.
 
-    Rows are combined to distinct scores before anything is ordered, and the running
-    totals are computed range by range (see ``ranks.running_totals``).
+    Rows are combined to distinct scores before anything is ordered.  That table is
+    written once, because the running totals read it several times.
     """
     y = F.col(label).cast("int") == 1
     per_score = (
@@ -75,35 +76,28 @@ def score_curve(df: DataFrame, label: str, score: str) -> DataFrame:
         .groupBy(F.col(score).cast("double").alias("score"))
         .agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
     )
-    return ranks.running_totals(per_score, "score", ["pos", "neg"])
-
-
-def _totals(df: DataFrame, label: str, score: str) -> Column:
-    """{pos, neg} of the scored rows as a scalar subquery."""
-    y = F.col(label).cast("int") == 1
-    both = F.struct(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
-    return df.where(F.col(score).isNotNull()).agg(both.alias("t")).scalar()
+    return ranks.running_totals(materialise(per_score, "scores"), "score", ["pos", "neg"], descending=True)
 
 
 def ranking_metrics(df: DataFrame, label: str, score: str) -> DataFrame:
     """ROC AUC (ties count half) and average precision; NULL when one class is absent.
 
-    AUC sums exact integers: each positive counts twice the negatives below it plus
-    the negatives tied with it.
+    With negatives counted from the top, a positive outranks all negatives but those
+    at or above its score, and half of the tied ones.  The sums are exact integers.
     """
     curve = score_curve(df, label, score)
-    totals = _totals(df, label, score)
-    pos, neg = totals["pos"].cast("double"), totals["neg"].cast("double")
-    below2 = (F.col("upto_neg") * 2 - F.col("neg")).cast("decimal(20,0)") * F.col("pos").cast("decimal(18,0)")
-    # Threshold at this score: everything at or above it is called positive.
-    tp_at = pos - F.col("upto_pos") + F.col("pos")
-    fp_at = neg - F.col("upto_neg") + F.col("neg")
-    gain = F.col("pos") * _ratio(tp_at, tp_at + fp_at)
-    sums = curve.agg(F.sum(below2).cast("double").alias("below2"), F.sum(gain).alias("gain"))
-    both = (pos > 0) & (neg > 0)
+    ahead2 = (F.col("upto_neg") * 2 - F.col("neg")).cast("decimal(20,0)") * F.col("pos").cast("decimal(18,0)")
+    gain = F.col("pos") * _ratio(F.col("upto_pos"), F.col("upto_pos") + F.col("upto_neg"))
+    sums = curve.agg(
+        F.sum("pos").alias("pos"),
+        F.sum("neg").alias("neg"),
+        F.sum(ahead2).alias("ahead2"),
+        F.sum(gain).alias("gain"),
+    )
+    pairs2 = F.col("pos").cast("decimal(19,0)") * F.col("neg").cast("decimal(18,0)") * 2
     return sums.select(
-        F.when(both, F.col("below2") / (2.0 * pos * neg)).alias("roc_auc"),
-        F.when(pos > 0, F.col("gain") / pos).alias("pr_auc"),
+        _ratio(pairs2 - F.col("ahead2"), pairs2).alias("roc_auc"),
+        F.try_divide("gain", F.col("pos").cast("double")).alias("pr_auc"),
     )
 
 
@@ -153,17 +147,14 @@ def classification_report(df: DataFrame, label: str, score: str, threshold: floa
 
 def threshold_sweep(df: DataFrame, label: str, score: str) -> DataFrame:
     """Precision, recall and F1 with every distinct score as the threshold (at or above)."""
-    curve = score_curve(df, label, score)
-    totals = _totals(df, label, score)
-    tp = totals["pos"] - F.col("upto_pos") + F.col("pos")
-    fp = totals["neg"] - F.col("upto_neg") + F.col("neg")
-    return curve.select(
+    tp, fp, positives = F.col("upto_pos"), F.col("upto_neg"), F.col("all_pos")
+    return score_curve(df, label, score).select(
         F.col("score").alias("threshold"),
         tp.alias("tp"),
         fp.alias("fp"),
         _ratio0(tp, tp + fp).alias("precision"),
-        _ratio0(tp, totals["pos"]).alias("recall"),
-        _ratio0(2 * tp, tp + fp + totals["pos"]).alias("f1"),
+        _ratio0(tp, positives).alias("recall"),
+        _ratio0(2 * tp, tp + fp + positives).alias("f1"),
     )
 
 

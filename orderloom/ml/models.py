@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from orderloom import schemas
 from orderloom.ml import metrics, prep, splits
 from orderloom.operators import profile
+from orderloom.session import materialise
 
 RETURN_TARGET = "order_is_returned"
 BASKET_TARGET = "order_basket_value"
@@ -45,7 +46,9 @@ def _split(clean: DataFrame, split: str, label: str, seed: int) -> tuple[DataFra
         if split == "stratified"
         else splits.random_split(clean, "event_id", seed=seed)
     )
-    return marked.where(~F.col("is_test")).drop("is_test"), marked.where("is_test").drop("is_test")
+    # Fitting visits the rows many times: the split is written once and read back.
+    written = materialise(marked, "split")
+    return written.where(~F.col("is_test")).drop("is_test"), written.where("is_test").drop("is_test")
 
 
 def fit_return_model(

@@ -24,28 +24,38 @@ RETURNED_DEFAULT = False
 BLANK, NOT_JSON, NOT_OBJECT = "blank line", "invalid JSON", "not an object"
 
 
+def _parse(lines: DataFrame, value: str) -> DataFrame:
+    """Add ``line`` (stripped) and ``parsed`` {fields, valid}.
+
+    The one-element explode keeps both parses in one place: without it later
+    filters and projections would each repeat them.
+    """
+    fields = ", ".join(f"`{name}` string" for name in schemas.MESSAGE_FIELDS)
+    parsed = F.struct(
+        F.from_json("line", fields).alias("fields"), m.is_valid_json(F.col("line")).alias("valid")
+    )
+    stripped = lines.withColumn("line", text.strip(F.col(value)))
+    return stripped.select("*", F.explode(F.array(parsed)).alias("parsed"))
+
+
 def inspect(lines: DataFrame, value: str = "value", required: tuple[str, ...] = schemas.MESSAGE_REQUIRED) -> DataFrame:
-    """Parse each line once and say why it is refused.
+    """Parse each line and say why it is refused.
 
-    Adds ``line`` (stripped), ``doc`` (VARIANT), ``missing`` (required keys that are
-    absent or null, sorted) and ``reason`` (NULL for a good message).
+    Adds ``line``, ``parsed``, ``missing`` (required keys that are absent or null,
+    sorted) and ``reason`` (NULL for a good message).
     """
-    # An empty object stands in while the text is no object, so the key function is
-    # never applied to a broken document.
-    shaped = lines.withColumn("line", text.strip(F.col(value))).withColumn("doc", m.document(F.col("line")))
-    shaped = shaped.withColumn("is_object", m.is_object(F.col("doc")))
-    present = [
-        F.when(F.try_variant_get("doc", f"$.{k}", "string").isNull(), F.lit(k)) for k in sorted(required)
-    ]
-    missing = F.when(F.col("is_object"), F.array_compact(F.array(*present)))
-    shaped = shaped.withColumn("missing", missing)
+    rows = _parse(lines, value)
+    valid = F.col("parsed.valid")
+    is_object = valid & F.col("line").startswith("{")
+    absent = [F.when(F.col(f"parsed.fields.{k}").isNull(), F.lit(k)) for k in sorted(required)]
+    rows = rows.withColumn("missing", F.when(is_object, F.concat_ws(",", *absent)))
     reason = (
         F.when(F.coalesce(F.length("line"), F.lit(0)) == 0, F.lit(BLANK))
-        .when(F.col("doc").isNull(), F.lit(NOT_JSON))
-        .when(~F.col("is_object"), F.lit(NOT_OBJECT))
-        .when(F.size("missing") > 0, F.concat(F.lit("missing "), F.concat_ws(",", "missing")))
+        .when(~valid, F.lit(NOT_JSON))
+        .when(~is_object, F.lit(NOT_OBJECT))
+        .when(F.col("missing") != "", F.concat(F.lit("missing "), F.col("missing")))
     )
-    return shaped.withColumn("reason", reason).drop("is_object")
+    return rows.withColumn("reason", reason)
 
 
 def line_counts(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -63,8 +73,8 @@ def line_counts(lines: DataFrame, value: str = "value") -> DataFrame:
 def payload(lines: DataFrame, value: str = "value", max_messages: int | None = None) -> DataFrame:
     """(key, value) rows to publish: valid lines, keyed by a textual non-blank event id."""
     good = lines.select(text.strip(F.col(value)).alias("value")).where(F.length("value") > 0)
-    good = good.withColumn("doc", m.document(F.col("value"))).where(F.col("doc").isNotNull())
-    rows = good.select(m.text_key(F.col("doc"), "event_id").alias("key"), "value")
+    parsed = good.select("value", F.explode(F.array(m.document(F.col("value")))).alias("doc"))
+    rows = parsed.where(F.col("doc").isNotNull()).select(m.text_key(F.col("doc"), "event_id").alias("key"), "value")
     return rows.limit(max_messages) if max_messages is not None else rows
 
 
@@ -75,7 +85,7 @@ def rejected(lines: DataFrame, value: str = "value", keep: Iterable[str] = ()) -
 
 
 def _field(name: str, dtype: str) -> Column:
-    return F.try_variant_get("doc", f"$.{name}", "string").try_cast(dtype)
+    return F.col(f"parsed.fields.{name}").try_cast(dtype)
 
 
 def to_clean(
@@ -92,10 +102,7 @@ def to_clean(
     """
     e: dict[str, Column] = {c: text.strip(_field(c, "string")) for c in schemas.ID_COLUMNS}
     e["event_time"] = temporal.event_time_with_fallback(_field("event_time", "string"), F.col(broker_time), now)
-    e["customer_country"] = F.coalesce(_field("customer_country", "string"), F.lit(TEXT_DEFAULT))
-    e["customer_country"] = F.when(
-        e["customer_country"] == TEXT_DEFAULT, e["customer_country"]
-    ).otherwise(text.strip_upper(e["customer_country"]))
+    e["customer_country"] = F.coalesce(text.strip_upper(_field("customer_country", "string")), F.lit(TEXT_DEFAULT))
     for c in schemas.LOWER_COLUMNS:
         e[c] = F.coalesce(text.strip_lower(_field(c, "string")), F.lit(TEXT_DEFAULT))
     e["order_n_items"] = F.coalesce(_field("order_n_items", "double").try_cast("bigint"), F.lit(COUNT_DEFAULT))

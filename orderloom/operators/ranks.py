@@ -149,7 +149,9 @@ def exact_quantiles(
     floor_rank = F.floor(position).cast("bigint")
     low = F.element_at("at", floor_rank)
     high = F.element_at("at", F.ceil(position).cast("bigint"))
-    value = low + (high - low) * (position - floor_rank)
+    # Interpolate from the nearer end, so the result is the same from both sides.
+    part = position - floor_rank
+    value = F.when(part >= 0.5, high - (high - low) * (1.0 - part)).otherwise(low + (high - low) * part)
     return spread.select(*group, "prob", value.alias("value"))
 
 
@@ -164,10 +166,11 @@ def quantiles_wide(
 
 
 def medians_row(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Exact medians as one row with one column per input column."""
+    """Exact medians (mean of the middle two) as one row with one column per input column."""
     columns = list(columns)
-    long = exact_quantiles(df, columns, [0.5])
-    return long.agg(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in columns])
+    middle = order_statistics(df, columns, lambda total: _wanted_ranks(total, [0.5]))
+    ends = [(F.min, F.max, F.when(F.col("column") == c, F.col("value")), c) for c in columns]
+    return middle.agg(*[((lo(x) + hi(x)) / 2.0).alias(c) for lo, hi, x, c in ends])
 
 
 def modes(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -196,14 +199,16 @@ def running_totals(
     df: DataFrame,
     order_col: str,
     measures: Iterable[str],
+    descending: bool = False,
     coarse: int = 1024,
     fine: int = 64,
 ) -> DataFrame:
-    """Add ``upto_<m>``: the total of ``m`` over all rows with a smaller or equal key.
+    """Add ``upto_<m>`` (total of ``m`` up to this key) and ``all_<m>`` (grand total).
 
-    ``order_col`` is a unique numeric key (aggregate to it first).  The key range is
-    cut in ``coarse`` parts and each part in ``fine`` by its own extent; prefix sums
-    run in parallel inside the parts, and only the per-part totals (at most
+    ``order_col`` is a unique numeric key (aggregate to it first) and ``df`` should
+    read a written table, because it is visited a few times.  The key range is cut
+    in ``coarse`` parts and each part in ``fine`` by its own extent; prefix sums run
+    in parallel inside the parts, and only the per-part totals (at most
     coarse x fine rows) are accumulated together.
     """
     measures = list(measures)
@@ -215,18 +220,27 @@ def running_totals(
     keyed = keyed.withColumn("fine_no", _fine_range(x, F.col("part_low"), F.col("part_high"), fine))
 
     part = ["coarse_no", "fine_no"]
+
+    def ordered(*names: str) -> list[Column]:
+        return [F.col(n).desc() if descending else F.col(n).asc() for n in names]
+
     totals = keyed.groupBy(*part).agg(*[F.sum(m).alias(f"part_{m}") for m in measures])
-    before = Window.orderBy(*part).rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy()
+    before = everything.orderBy(*ordered(*part)).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *part,
         *[F.coalesce(F.sum(f"part_{m}").over(before), F.lit(0)).alias(f"before_{m}") for m in measures],
+        *[F.sum(f"part_{m}").over(everything).alias(f"all_{m}") for m in measures],
     )
-    inside = Window.partitionBy(*part).orderBy(order_col).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    inside = (
+        Window.partitionBy(*part)
+        .orderBy(*ordered(order_col))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return keyed.join(F.broadcast(offsets), part).select(  # at most coarse x fine rows
         *[F.col(c) for c in df.columns],
         *[(F.col(f"before_{m}") + F.sum(m).over(inside)).alias(f"upto_{m}") for m in measures],
+        *[F.col(f"all_{m}") for m in measures],
     )
 
 

@@ -116,7 +116,7 @@ def typed_clean(spark, sf):
     ),
 )
 def ml_project(spark, sf):
-    return project.drop_identifiers(frames.clean(spark, sf))
+    return project.drop_identifiers(frames.clean_table(spark, sf))
 
 
 _STORED_PART = ["event_id", "event_time", "order_device", "order_discount"]
@@ -146,7 +146,7 @@ def align_union(spark, sf):
     ),
 )
 def cols_by_type(spark, sf):
-    return project.select_types(frames.clean(spark, sf), "number")
+    return project.select_types(frames.clean_table(spark, sf), "number")
 
 
 @query(
@@ -159,7 +159,7 @@ def cols_by_type(spark, sf):
 )
 def feature_align(spark, sf):
     wanted = ["order_discount", "order_n_items", "order_channel_seo", "order_basket_value", "customer_country_IT"]
-    return project.align_features(frames.clean(spark, sf), wanted, keep=["event_id"])
+    return project.align_features(frames.clean_table(spark, sf), wanted, keep=["event_id"])
 
 
 @query("message_normalize", oracle.sql("normalized", f"SELECT position, {_CLEAN} FROM normalized"))
@@ -188,7 +188,7 @@ def model_features(spark, sf):
 )
 def schema_evolve(spark, sf):
     return project.evolve(
-        frames.clean(spark, sf),
+        frames.clean_table(spark, sf),
         add={"note": F.lit(None).cast("string"), "origin": F.lit("web")},
         retype={"order_n_items": "double"},
         rename={"customer_country": "country"},
@@ -298,7 +298,7 @@ _TOTAL = "order_basket_value + order_shipping_fee - order_discount"
     ),
 )
 def total_consistency(spark, sf):
-    return profile.total_consistency(frames.clean(spark, sf)).select(
+    return profile.total_consistency(frames.clean_table(spark, sf)).select(
         "event_id", "order_total_expected", "order_total_delta", "order_total_inconsistent"
     )
 
@@ -312,7 +312,7 @@ def total_consistency(spark, sf):
     ),
 )
 def inconsistent_totals(spark, sf):
-    return profile.inconsistent_totals(frames.clean(spark, sf)).select(
+    return profile.inconsistent_totals(frames.clean_table(spark, sf)).select(
         "event_id", "order_order_total", "order_total_expected"
     )
 
@@ -327,7 +327,7 @@ def inconsistent_totals(spark, sf):
 )
 def total_repair(spark, sf):
     """Totals of one channel are blanked first, so there is something to repair."""
-    blanked = frames.clean(spark, sf).withColumn(
+    blanked = frames.clean_table(spark, sf).withColumn(
         "order_order_total", F.when(F.col("order_channel") != "5-low", F.col("order_order_total"))
     )
     return profile.total_repair(blanked).select("event_id", "order_order_total")
@@ -368,7 +368,8 @@ def nan_to_null(spark, sf):
     ),
 )
 def json_key(spark, sf):
-    rows = tables.messages(spark, sf).withColumn("doc", jsonf.document(text.strip(F.col("value"))))
+    doc = jsonf.document(text.strip(F.col("value")))
+    rows = tables.messages(spark, sf).select("position", F.explode(F.array(doc)).alias("doc"))
     return rows.select("position", jsonf.text_key(F.col("doc"), "event_id").alias("key"))
 
 
@@ -394,7 +395,7 @@ _D = "CAST({0} AS DECIMAL(14,4))"
 )
 def order_rules(spark, sf):
     basket, fee, discount = F.col("order_basket_value"), F.col("order_shipping_fee"), F.col("order_discount")
-    return frames.clean(spark, sf).select(
+    return frames.clean_table(spark, sf).select(
         "event_id",
         orders.shipping_rule(basket, fee).alias("shipping"),
         orders.total_rule(basket, fee, discount).alias("total"),
@@ -437,7 +438,7 @@ def dropna_rows(spark, sf):
 )
 def required_keys(spark, sf):
     bad = frames.inspected(spark, sf).where(F.col("reason").isNotNull())
-    return bad.select("position", "reason", F.coalesce(F.concat_ws(",", "missing"), F.lit("")).alias("missing"))
+    return bad.select("position", "reason", F.coalesce("missing", F.lit("")).alias("missing"))
 
 
 @query("distinct_rows", oracle.sql("norm", "SELECT DISTINCT order_id, customer_country, order_device, order_channel, order_main_category FROM norm"))

@@ -11,7 +11,6 @@ from orderloom.ml import metrics, models, prep, splits
 from orderloom.plans import frames, oracle
 from orderloom.plans.catalog_reports import DIGITS, rounded
 from orderloom.plans.registry import query
-from orderloom.session import materialise
 
 _NUMERIC = list(schemas.NUMERIC_COLUMNS)
 _TRAIN_STEP = ["order_n_items", "order_basket_value", "order_discount", "event_month"]
@@ -21,7 +20,7 @@ _TRAIN_STEP = ["order_n_items", "order_basket_value", "order_discount", "event_m
 
 @query("split_random", oracle.sql("clean", f"SELECT event_id, {oracle.HASH} < 0.2e0 AS is_test FROM clean"))
 def split_random(spark, sf):
-    return splits.random_split(frames.clean(spark, sf), "event_id").select("event_id", "is_test")
+    return splits.random_split(frames.clean_table(spark, sf), "event_id").select("event_id", "is_test")
 
 
 @query(
@@ -33,7 +32,7 @@ def split_random(spark, sf):
     ),
 )
 def split_stratified(spark, sf):
-    marked = splits.stratified_split(frames.clean(spark, sf), "event_id", "order_is_returned")
+    marked = splits.stratified_split(frames.clean_table(spark, sf), "event_id", "order_is_returned")
     return marked.select("event_id", "order_is_returned", "is_test")
 
 
@@ -49,8 +48,8 @@ def _with_gaps(spark, sf):
     "impute_median",
     oracle.sql(
         "dedup",
-        """SELECT event_id, coalesce(order_discount, (SELECT median(order_discount) FROM dedup)) AS order_discount,
-                  coalesce(CAST(order_n_items AS DOUBLE), (SELECT median(order_n_items) FROM dedup)) AS order_n_items FROM dedup""",
+        f"""SELECT event_id, coalesce(order_discount, (SELECT {oracle.median('order_discount')} FROM dedup)) AS order_discount,
+                  coalesce(CAST(order_n_items AS DOUBLE), (SELECT {oracle.median('order_n_items')} FROM dedup)) AS order_n_items FROM dedup""",
     ),
 )
 def impute_median(spark, sf):
@@ -86,12 +85,12 @@ _CLIPPED = ["order_shipping_fee", "order_discount", "price_average_per_item"]
         "SELECT event_id, "
         + ", ".join(f"greatest(least({c}, {c}_q3 + 1.5e0 * ({c}_q3 - {c}_q1)), {c}_q1 - 1.5e0 * ({c}_q3 - {c}_q1)) AS {c}" for c in _CLIPPED)
         + " FROM clean, (SELECT "
-        + ", ".join(f"quantile_cont({c}, 0.25) AS {c}_q1, quantile_cont({c}, 0.75) AS {c}_q3" for c in _CLIPPED)
+        + ", ".join(f"{oracle.quantile(c, 0.25)} AS {c}_q1, {oracle.quantile(c, 0.75)} AS {c}_q3" for c in _CLIPPED)
         + " FROM clean)",
     ),
 )
 def iqr_clip(spark, sf):
-    rows = frames.clean(spark, sf).select("event_id", *_CLIPPED)
+    rows = frames.clean_table(spark, sf).select("event_id", *_CLIPPED)
     return prep.IqrClipper(inputCols=_CLIPPED).fit(rows).transform(rows)
 
 
@@ -108,7 +107,7 @@ _SEGMENTS = ["building", "furniture", "household", "machinery"]
     ),
 )
 def one_hot(spark, sf):
-    rows = frames.clean(spark, sf).select("event_id", "order_main_category", "order_device")
+    rows = frames.clean_table(spark, sf).select("event_id", "order_main_category", "order_device")
     return prep.one_hot(rows, prep.categories(rows, ["order_main_category", "order_device"]))
 
 
@@ -120,15 +119,14 @@ def one_hot(spark, sf):
         + ", ".join(f"({c} - {c}_m) / CASE WHEN {c}_w = 0 THEN 1e0 ELSE {c}_w END AS {c}" for c in _TRAIN_STEP)
         + " FROM clean, (SELECT "
         + ", ".join(
-            f"""quantile_cont(CAST({c} AS DOUBLE), 0.5) AS {c}_m,
-                quantile_cont(CAST({c} AS DOUBLE), 0.75) - quantile_cont(CAST({c} AS DOUBLE), 0.25) AS {c}_w"""
+            f"{oracle.quantile(c, 0.5)} AS {c}_m, {oracle.quantile(c, 0.75)} - {oracle.quantile(c, 0.25)} AS {c}_w"
             for c in _TRAIN_STEP
         )
         + " FROM clean)",
     ),
 )
 def robust_scale(spark, sf):
-    rows = frames.clean(spark, sf).select("event_id", *_TRAIN_STEP)
+    rows = frames.clean_table(spark, sf).select("event_id", *_TRAIN_STEP)
     return prep.scale_columns(rows, prep.robust_scales(rows, _TRAIN_STEP))
 
 
@@ -146,7 +144,7 @@ def robust_scale(spark, sf):
     ),
 )
 def standard_scale(spark, sf):
-    rows = frames.clean(spark, sf).select("event_id", *_TRAIN_STEP)
+    rows = frames.clean_table(spark, sf).select("event_id", *_TRAIN_STEP)
     return rounded(prep.scale_columns(rows, prep.standard_scales(rows, _TRAIN_STEP)), *_TRAIN_STEP)
 
 
@@ -175,23 +173,17 @@ def feature_audit(spark, sf):
 
 
 # ---- models ----------------------------------------------------------------
-# A model is fitted once per session and table folder, on a written copy of the
-# clean set; the queries below all read that copy.
-
-
-@cache
-def _clean_copy(spark, sf):
-    return materialise(frames.clean(spark, sf), "clean")
+# A model is fitted once per session and table folder, on the written clean set.
 
 
 @cache
 def _return_run(spark, sf):
-    return models.train_return_model(_clean_copy(spark, sf))
+    return models.train_return_model(frames.clean_table(spark, sf))
 
 
 @cache
 def _basket_run(spark, sf):
-    return models.train_basket_model(_clean_copy(spark, sf))
+    return models.train_basket_model(frames.clean_table(spark, sf))
 
 
 @query("train_logistic")
@@ -353,7 +345,7 @@ _ERROR = "(order_basket_value - order_order_total)"
     ),
 )
 def reg_metrics(spark, sf):
-    out = metrics.regression_metrics(frames.clean(spark, sf), "order_basket_value", "order_order_total")
+    out = metrics.regression_metrics(frames.clean_table(spark, sf), "order_basket_value", "order_order_total")
     return rounded(out, "mae", "mse", "rmse", "r2", "mape")
 
 
@@ -366,5 +358,5 @@ def reg_metrics(spark, sf):
     ),
 )
 def residual_summary(spark, sf):
-    out = metrics.residual_summary(frames.clean(spark, sf), "order_basket_value", "order_order_total")
+    out = metrics.residual_summary(frames.clean_table(spark, sf), "order_basket_value", "order_order_total")
     return rounded(out, "mean", "std")

@@ -21,17 +21,17 @@ _PREDICTIONS = "event_id, order_id, customer_customer_id, score AS return_proba"
 
 @query("star_customers", oracle.sql("customers", f"SELECT {_CUSTOMERS} FROM customers"))
 def star_customers(spark, sf):
-    return relational.customers(frames.clean(spark, sf))
+    return relational.customers(frames.clean_table(spark, sf))
 
 
 @query("star_orders", oracle.sql("star_o", f"SELECT {_ORDERS} FROM star_o"))
 def star_orders(spark, sf):
-    return relational.orders(frames.clean(spark, sf))
+    return relational.orders(frames.clean_table(spark, sf))
 
 
 @query("star_events", oracle.sql("star_e", f"SELECT {_EVENTS} FROM star_e"))
 def star_events(spark, sf):
-    return relational.events(frames.clean(spark, sf))
+    return relational.events(frames.clean_table(spark, sf))
 
 
 @query("star_predictions", oracle.sql("scored", f"SELECT {_PREDICTIONS} FROM scored"))
@@ -227,7 +227,7 @@ def sort_events(spark, sf):
     oracle.sql("star_o", f"SELECT {_ORDERS} FROM star_o ORDER BY order_id LIMIT 20"),
 )
 def table_limit(spark, sf):
-    return relational.top_rows(relational.orders(frames.clean(spark, sf)), [F.col("order_id")], 20)
+    return relational.top_rows(relational.orders(frames.clean_table(spark, sf)), [F.col("order_id")], 20)
 
 
 @query(

@@ -145,15 +145,12 @@ _MEDIANS = ["order_n_items", *schemas.MONEY_COLUMNS]
 
 @query(
     "median_cols",
-    oracle.sql("dedup", f"SELECT {', '.join(f'CAST(median({c}) AS DOUBLE) AS {c}' for c in _MEDIANS)} FROM dedup"),
+    oracle.sql("dedup", f"SELECT {', '.join(f'{oracle.median(c)} AS {c}' for c in _MEDIANS)} FROM dedup"),
 )
 def median_cols(spark, sf):
     return ranks.medians_row(frames.dedup(spark, sf), _MEDIANS)
 
 
-_Q = "quantile_cont(CAST({c} AS DOUBLE), {p})"
-
-
 @query(
     "describe_numeric",
     oracle.sql(
@@ -162,13 +159,13 @@ _Q = "quantile_cont(CAST({c} AS DOUBLE), {p})"
             _NUMERIC,
             f"""SELECT '{{c}}' AS "column", count({{c}}) AS n_values, round(avg({{c}}), {DIGITS}) AS mean,
                    round(stddev_samp({{c}}), {DIGITS}) AS std, CAST(min({{c}}) AS DOUBLE) AS min_value,
-                   CAST(max({{c}}) AS DOUBLE) AS max_value, {_Q.replace('{p}', '0.25')} AS q25,
-                   {_Q.replace('{p}', '0.5')} AS q50, {_Q.replace('{p}', '0.75')} AS q75 FROM clean""",
+                   CAST(max({{c}}) AS DOUBLE) AS max_value, {oracle.quantile('{c}', 0.25)} AS q25,
+                   {oracle.quantile('{c}', 0.5)} AS q50, {oracle.quantile('{c}', 0.75)} AS q75 FROM clean""",
         ),
     ),
 )
 def describe_numeric(spark, sf):
-    return rounded(profile.describe_numeric(frames.clean(spark, sf), _NUMERIC), "mean", "std")
+    return rounded(profile.describe_numeric(frames.clean_table(spark, sf), _NUMERIC), "mean", "std")
 
 
 _TEXT = [*schemas.ID_COLUMNS, *schemas.CATEGORY_COLUMNS, "order_is_returned"]
@@ -187,7 +184,7 @@ _TEXT = [*schemas.ID_COLUMNS, *schemas.CATEGORY_COLUMNS, "order_is_returned"]
     ),
 )
 def describe_categorical(spark, sf):
-    return profile.describe_categorical(frames.clean(spark, sf), _TEXT)
+    return profile.describe_categorical(frames.clean_table(spark, sf), _TEXT)
 
 
 @query(
@@ -196,13 +193,13 @@ def describe_categorical(spark, sf):
         "clean",
         oracle.unpivoted(
             _NUMERIC,
-            """SELECT "column", q1, q3, q3 - q1 AS iqr FROM (SELECT '{c}' AS "column", quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q1,
-               quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q3 FROM clean)""",
+            f"""SELECT "column", q1, q3, q3 - q1 AS iqr FROM (SELECT '{{c}}' AS "column", {oracle.quantile('{c}', 0.25)} AS q1,
+               {oracle.quantile('{c}', 0.75)} AS q3 FROM clean)""",
         ),
     ),
 )
 def iqr_bounds(spark, sf):
-    return profile.iqr_bounds(frames.clean(spark, sf), _NUMERIC)
+    return profile.iqr_bounds(frames.clean_table(spark, sf), _NUMERIC)
 
 
 @query(
@@ -259,7 +256,7 @@ _DELTA = "order_order_total - (order_basket_value + order_shipping_fee - order_d
     ),
 )
 def total_check_counts(spark, sf):
-    return profile.total_check_counts(frames.clean(spark, sf))
+    return profile.total_check_counts(frames.clean_table(spark, sf))
 
 
 @query(
@@ -271,7 +268,7 @@ def total_check_counts(spark, sf):
     ),
 )
 def upsert_counters(spark, sf):
-    return relational.handled_keys(frames.clean(spark, sf))
+    return relational.handled_keys(frames.clean_table(spark, sf))
 
 
 # ---- distributions ---------------------------------------------------------
@@ -290,7 +287,7 @@ def upsert_counters(spark, sf):
     ),
 )
 def corr_matrix(spark, sf):
-    return rounded(profile.correlation_matrix(frames.clean(spark, sf), _NUMERIC), "r")
+    return rounded(profile.correlation_matrix(frames.clean_table(spark, sf), _NUMERIC), "r")
 
 
 def _histogram(key: str, column: str) -> None:
@@ -306,7 +303,7 @@ def _histogram(key: str, column: str) -> None:
         ),
     )
     def run(spark, sf):
-        return profile.histogram(frames.clean(spark, sf), column, 30)
+        return profile.histogram(frames.clean_table(spark, sf), column, 30)
 
 
 _histogram("hist_total", "order_order_total")
@@ -317,16 +314,16 @@ _histogram("hist_price", "price_average_per_item")
     "boxplot_total",
     oracle.sql(
         "clean",
-        """SELECT any_value(q25) AS q25, any_value(q50) AS q50, any_value(q75) AS q75,
+        f"""SELECT any_value(q25) AS q25, any_value(q50) AS q50, any_value(q75) AS q75,
                   min(CASE WHEN x BETWEEN q25 - (q75 - q25) * 1.5e0 AND q75 + (q75 - q25) * 1.5e0 THEN x END) AS whisker_low,
                   max(CASE WHEN x BETWEEN q25 - (q75 - q25) * 1.5e0 AND q75 + (q75 - q25) * 1.5e0 THEN x END) AS whisker_high,
                   count(CASE WHEN NOT (x BETWEEN q25 - (q75 - q25) * 1.5e0 AND q75 + (q75 - q25) * 1.5e0) THEN 1 END) AS n_outliers
-           FROM (SELECT order_order_total AS x FROM clean), (SELECT quantile_cont(order_order_total, 0.25) AS q25,
-                  quantile_cont(order_order_total, 0.5) AS q50, quantile_cont(order_order_total, 0.75) AS q75 FROM clean)""",
+           FROM (SELECT order_order_total AS x FROM clean), (SELECT {oracle.quantile('order_order_total', 0.25)} AS q25,
+                  {oracle.quantile('order_order_total', 0.5)} AS q50, {oracle.quantile('order_order_total', 0.75)} AS q75 FROM clean)""",
     ),
 )
 def boxplot_total(spark, sf):
-    return profile.boxplot(frames.clean(spark, sf), "order_order_total")
+    return profile.boxplot(frames.clean_table(spark, sf), "order_order_total")
 
 
 def _relation(key: str, y: str) -> None:
@@ -335,12 +332,12 @@ def _relation(key: str, y: str) -> None:
         oracle.sql(
             "clean",
             f"""SELECT order_n_items, count(*) AS n, round(avg({y}), {DIGITS}) AS mean, min({y}) AS min_value, max({y}) AS max_value,
-                       quantile_cont({y}, 0.25) AS q25, quantile_cont({y}, 0.5) AS q50, quantile_cont({y}, 0.75) AS q75
+                       {oracle.quantile(y, 0.25)} AS q25, {oracle.quantile(y, 0.5)} AS q50, {oracle.quantile(y, 0.75)} AS q75
                 FROM clean GROUP BY order_n_items""",
         ),
     )
     def run(spark, sf):
-        return rounded(profile.relation(frames.clean(spark, sf), "order_n_items", y), "mean")
+        return rounded(profile.relation(frames.clean_table(spark, sf), "order_n_items", y), "mean")
 
 
 _relation("relation_items_basket", "order_basket_value")
@@ -357,7 +354,7 @@ _relation("relation_items_price", "price_average_per_item")
     ),
 )
 def class_balance(spark, sf):
-    return profile.class_balance(frames.clean(spark, sf), "order_is_returned")
+    return profile.class_balance(frames.clean_table(spark, sf), "order_is_returned")
 
 
 @query(
@@ -369,7 +366,7 @@ def class_balance(spark, sf):
     ),
 )
 def target_summary(spark, sf):
-    return rounded(profile.target_summary(frames.clean(spark, sf), "order_basket_value"), "mean", "std")
+    return rounded(profile.target_summary(frames.clean_table(spark, sf), "order_basket_value"), "mean", "std")
 
 
 # ---- business --------------------------------------------------------------
@@ -462,7 +459,7 @@ def eco_summary(spark, sf):
         "eco",
         "SELECT "
         + ", ".join(
-            f"CAST(sum(CAST({c} AS DECIMAL(38,20))) AS DOUBLE) AS total_{c}"
+            f"{oracle.EXACT.format(c)} AS total_{c}"
             for c in ("emissions", "emissions_g", "energy_consumed", "duration")
         )
         + " FROM eco",
@@ -476,7 +473,7 @@ def eco_totals(spark, sf):
     "eco_share",
     oracle.sql(
         "eco",
-        """SELECT project_name, emissions * 100e0 / (SELECT CAST(sum(CAST(emissions AS DECIMAL(38,20))) AS DOUBLE) FROM eco) AS share_pct FROM eco""",
+        f"""SELECT project_name, emissions * 100e0 / (SELECT {oracle.EXACT.format('emissions')} FROM eco) AS share_pct FROM eco""",
     ),
 )
 def eco_share(spark, sf):

@@ -35,6 +35,27 @@ SELECT {STRIP.format('event_id')} AS event_id, event_time, {STRIP.format('order_
        order_is_returned, tie1, tie2
 FROM raw"""
 
+
+
+def quantile(x: str, p: float) -> str:
+    """Linear interpolation between order statistics, from the nearer end (as an aggregate)."""
+    values = f"list_sort(list(CAST({x} AS DOUBLE)) FILTER (WHERE {x} IS NOT NULL))"
+    at = f"((count({x}) - 1) * {p}e0)"
+    low = f"{values}[CAST(floor({at}) AS BIGINT) + 1]"
+    high = f"{values}[CAST(ceil({at}) AS BIGINT) + 1]"
+    part = f"({at} - floor({at}))"
+    return (
+        f"CASE WHEN {part} >= 0.5e0 THEN {high} - ({high} - {low}) * (1 - {part}) "
+        f"ELSE {low} + ({high} - {low}) * {part} END"
+    )
+
+
+def median(x: str) -> str:
+    """Mean of the middle two values (as an aggregate)."""
+    values = f"list_sort(list(CAST({x} AS DOUBLE)) FILTER (WHERE {x} IS NOT NULL))"
+    return f"({values}[(count({x}) + 1) // 2] + {values}[(count({x}) + 2) // 2]) / 2"
+
+
 _RANKED = "row_number() OVER (PARTITION BY event_id ORDER BY event_time DESC NULLS LAST, tie1, tie2) = 1"
 
 _MODE = "(SELECT {0} FROM dedup WHERE {0} IS NOT NULL GROUP BY {0} ORDER BY count(*) DESC, {0} LIMIT 1)"
@@ -45,8 +66,8 @@ SELECT event_id, event_time, order_id, customer_customer_id,
        coalesce(order_device, {_MODE.format('order_device')}) AS order_device,
        coalesce(order_channel, {_MODE.format('order_channel')}) AS order_channel,
        coalesce(order_main_category, {_MODE.format('order_main_category')}) AS order_main_category,
-       coalesce(order_n_items, CAST(round_even((SELECT median(order_n_items) FROM dedup), 0) AS BIGINT)) AS order_n_items,
-       coalesce(order_basket_value, (SELECT median(order_basket_value) FROM dedup)) AS order_basket_value,
+       coalesce(order_n_items, CAST(round_even((SELECT {median('order_n_items')} FROM dedup), 0) AS BIGINT)) AS order_n_items,
+       coalesce(order_basket_value, (SELECT {median('order_basket_value')} FROM dedup)) AS order_basket_value,
        coalesce(order_shipping_fee, 0e0) AS order_shipping_fee,
        coalesce(order_discount, 0e0) AS order_discount,
        order_order_total, order_is_returned,
@@ -137,7 +158,9 @@ SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S') AS "timestamp", event_type AS project_n
        event_id AS line_no
 FROM events"""
 
-_EXACT = "CAST(sum(CAST({0} AS DECIMAL(38,20))) AS DOUBLE)"
+# Through text both ways, because direct casts between double and a wide decimal
+# are not correctly rounded.
+EXACT = "CAST(CAST(sum(CAST(CAST({0} AS VARCHAR) AS DECIMAL(38,20))) AS VARCHAR) AS DOUBLE)"
 
 _FIRST = "QUALIFY row_number() OVER (PARTITION BY {0} ORDER BY event_time DESC NULLS LAST, event_id) = 1"
 
@@ -183,8 +206,8 @@ CTES = {
     "eco": (
         ("runs_once",),
         f"""SELECT *, emissions * 1000e0 AS emissions_g, duration / 60e0 AS duration_min FROM (
-            SELECT project_name, {_EXACT.format('emissions')} AS emissions, {_EXACT.format('energy_consumed')} AS energy_consumed,
-                   {_EXACT.format('duration')} AS duration FROM runs_once GROUP BY project_name)""",
+            SELECT project_name, {EXACT.format('emissions')} AS emissions, {EXACT.format('energy_consumed')} AS energy_consumed,
+                   {EXACT.format('duration')} AS duration FROM runs_once GROUP BY project_name)""",
     ),
     "train": (("clean",), f"SELECT * FROM clean WHERE {HASH} >= 0.2e0"),
 }
