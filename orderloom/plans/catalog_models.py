@@ -177,36 +177,36 @@ def feature_audit(spark, sf):
 
 
 @cache
-def _return_run(spark, sf):
+def return_run(spark, sf):
     return models.train_return_model(frames.clean_table(spark, sf))
 
 
 @cache
-def _basket_run(spark, sf):
+def basket_run(spark, sf):
     return models.train_basket_model(frames.clean_table(spark, sf))
 
 
 @query("train_logistic")
 def train_logistic(spark, sf):
-    run = _return_run(spark, sf)
+    run = return_run(spark, sf)
     return models.coefficients(spark, run.pipeline, run.features)
 
 
 @query("train_linear")
 def train_linear(spark, sf):
-    run = _basket_run(spark, sf)
+    run = basket_run(spark, sf)
     return models.coefficients(spark, run.pipeline, run.features)
 
 
 @query("score_batch")
 def score_batch(spark, sf):
-    run = _return_run(spark, sf)
+    run = return_run(spark, sf)
     return models.score_returns(run.pipeline, run.test)
 
 
 @query("coef_topk")
 def coef_topk(spark, sf):
-    run = _return_run(spark, sf)
+    run = return_run(spark, sf)
     return models.top_coefficients(models.coefficients(spark, run.pipeline, run.features))
 
 
@@ -214,12 +214,12 @@ def coef_topk(spark, sf):
 def prep_replay(spark, sf):
     """Serving-time preparation of normalised messages with the fitted state."""
     rows = frames.normalized(spark, sf).drop("event_time", "order_is_returned")
-    return _return_run(spark, sf).pipeline.stages[0].transform(rows)
+    return return_run(spark, sf).pipeline.stages[0].transform(rows)
 
 
 @query("return_model_metrics")
 def return_model_metrics(spark, sf):
-    run = _return_run(spark, sf)
+    run = return_run(spark, sf)
     label = F.col(models.RETURN_TARGET).cast("int").alias("label")
     scored = models.score_returns(run.pipeline, run.test, keep=["event_id", label])
     return metrics.classification_metrics(scored, "label", "return_proba")
@@ -227,7 +227,7 @@ def return_model_metrics(spark, sf):
 
 @query("basket_model_metrics")
 def basket_model_metrics(spark, sf):
-    run = _basket_run(spark, sf)
+    run = basket_run(spark, sf)
     predicted = run.pipeline.transform(run.test.withColumn("actual", F.col(models.BASKET_TARGET)))
     return metrics.regression_metrics(predicted, "actual", "prediction")
 

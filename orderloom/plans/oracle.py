@@ -146,7 +146,7 @@ SELECT *, CAST(year(event_time) AS INTEGER) AS event_year, CAST(month(event_time
        coalesce({_x('order_discount', 'DOUBLE')}, 0e0) AS order_discount,
        coalesce({_x('order_order_total', 'DOUBLE')}, 0e0) AS order_order_total,
        coalesce({_x('order_is_returned', 'BOOLEAN')}, false) AS order_is_returned,
-       position
+       position, value, broker_time
   FROM reasoned WHERE reason IS NULL)"""
 
 _RUNS = """
