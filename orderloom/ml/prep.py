@@ -10,6 +10,7 @@ quantiles are not interpolated, they reject text, and they drop another category
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
@@ -43,16 +44,50 @@ def most_frequent(df: DataFrame, columns: Iterable[str]) -> dict[str, str]:
     return ranks.modes_row(df, columns).first().asDict()
 
 
+@dataclass
+class Spread:
+    """Quartile points of one column: prob -> (low, high, part), and how many values it has."""
+
+    total: int
+    points: dict[float, tuple[float, float, float]]
+
+    def at(self, prob: float) -> float:
+        return ranks.interpolate(*self.points[prob])
+
+    def median(self) -> float:
+        low, high, _ = self.points[0.5]
+        return (low + high) / 2.0
+
+    def limits(self) -> list[float]:
+        q1, q3 = self.at(0.25), self.at(0.75)
+        return [q1 - IQR_REACH * (q3 - q1), q3 + IQR_REACH * (q3 - q1)]
+
+    def scale(self) -> list[float]:
+        """[median, IQR]; a zero IQR counts as one."""
+        return [self.median(), (self.at(0.75) - self.at(0.25)) or 1.0]
+
+    def clipped(self) -> Spread:
+        """The same points after clipping to the limits.
+
+        Clipping never changes the order of values, so the order statistics of the
+        clipped column are the clipped order statistics: no second pass is needed.
+        """
+        floor, ceiling = self.limits()
+        cut = lambda v: max(min(v, ceiling), floor)
+        return Spread(self.total, {p: (cut(lo), cut(hi), part) for p, (lo, hi, part) in self.points.items()})
+
+
+def spreads(df: DataFrame, columns: Iterable[str]) -> dict[str, Spread]:
+    """Quartile points of every column that has values, in one run."""
+    found: dict[str, Spread] = {}
+    for r in ranks.quantile_points(df, columns, [0.25, 0.5, 0.75]).collect():  # three rows per column
+        found.setdefault(r["column"], Spread(r["total"], {})).points[r["prob"]] = (r["low"], r["high"], r["part"])
+    return found
+
+
 def iqr_limits(df: DataFrame, columns: Iterable[str]) -> dict[str, list[float]]:
     """[Q1 - 1.5 IQR, Q3 + 1.5 IQR] per column."""
-    rows = ranks.quantiles_wide(df, columns, {"q1": 0.25, "q3": 0.75}).collect()  # a row per column
-    return {
-        r["column"]: [
-            r["q1"] - IQR_REACH * (r["q3"] - r["q1"]),
-            r["q3"] + IQR_REACH * (r["q3"] - r["q1"]),
-        ]
-        for r in rows
-    }
+    return {c: s.limits() for c, s in spreads(df, columns).items()}
 
 
 def clip_columns(df: DataFrame, limits: dict[str, list[float]]) -> DataFrame:
@@ -61,8 +96,7 @@ def clip_columns(df: DataFrame, limits: dict[str, list[float]]) -> DataFrame:
 
 def robust_scales(df: DataFrame, columns: Iterable[str]) -> dict[str, list[float]]:
     """[median, IQR] per column; a zero IQR counts as one."""
-    rows = ranks.quantiles_wide(df, columns, {"q1": 0.25, "q2": 0.5, "q3": 0.75}).collect()
-    return {r["column"]: [r["q2"], (r["q3"] - r["q1"]) or 1.0] for r in rows}
+    return {c: s.scale() for c, s in spreads(df, columns).items()}
 
 
 def standard_scales(df: DataFrame, columns: Iterable[str]) -> dict[str, list[float]]:
@@ -167,11 +201,20 @@ class OrderPrep(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         typed = dataset.select(
             *[F.col(c).cast("double").alias(c) for c in numeric], *[F.col(c) for c in category]
         )
-        fills = medians(typed, numeric) | (most_frequent(typed, category) if category else {})
+        spread = spreads(typed, numeric)
+        modes = most_frequent(typed, category) if category else {}
+        fills = {c: s.median() for c, s in spread.items()} | modes
         filled = fill(typed, fills)
-        limits = iqr_limits(filled, numeric)
-        clipped = clip_columns(filled, limits)
-        scales = (robust_scales if self.getOrDefault("scaler") == "robust" else standard_scales)(clipped, numeric)
+        # Filling moves the quartiles, but only of columns that had gaps.
+        rows = typed.count()
+        gaps = [c for c, s in spread.items() if s.total < rows]
+        if gaps:
+            spread |= spreads(filled, gaps)
+        limits = {c: s.limits() for c, s in spread.items()}
+        if self.getOrDefault("scaler") == "robust":
+            scales = {c: s.clipped().scale() for c, s in spread.items()}
+        else:
+            scales = standard_scales(clip_columns(filled, limits), numeric)
         values = categories(filled, category) if category else {}
         hot = [f"{c}_{v}" for c, vs in values.items() for v in vs[1:]]
         state = {

@@ -130,29 +130,47 @@ def order_statistics(
     )
 
 
-def exact_quantiles(
+def interpolate(low, high, part):
+    """Between two neighbouring order statistics, from the nearer one (floats)."""
+    return high - (high - low) * (1.0 - part) if part >= 0.5 else low + (high - low) * part
+
+
+def quantile_points(
     df: DataFrame, columns: Iterable[str], probs: Iterable[float], by: Iterable[str] = (), **options
 ) -> DataFrame:
-    """Exact, linearly interpolated quantiles: rows ``(by..., column, prob, value)``.
-
-    Missing values are ignored; a column without values yields no row.
-    """
+    """What each quantile is interpolated from: ``(by..., column, total, prob, low, high, part)``."""
     probs, by = [float(p) for p in probs], list(by)
     group = [*by, "column"]
     hits = order_statistics(df, columns, lambda total: _wanted_ranks(total, probs), by, **options)
-    # A handful of order statistics per group remain to interpolate between.
+    # A handful of order statistics per group remain.
     found = hits.groupBy(*group, "total").agg(
         F.map_from_entries(F.collect_list(F.struct("rank_no", "value"))).alias("at")
     )
     spread = found.withColumn("prob", F.explode(F.array(*[F.lit(p) for p in probs])))
     position = F.col("prob") * (F.col("total") - 1)
     floor_rank = F.floor(position).cast("bigint")
-    low = F.element_at("at", floor_rank)
-    high = F.element_at("at", F.ceil(position).cast("bigint"))
-    # Interpolate from the nearer end, so the result is the same from both sides.
-    part = position - floor_rank
+    return spread.select(
+        *group,
+        "total",
+        "prob",
+        F.element_at("at", floor_rank).alias("low"),
+        F.element_at("at", F.ceil(position).cast("bigint")).alias("high"),
+        (position - floor_rank).alias("part"),
+    )
+
+
+def exact_quantiles(
+    df: DataFrame, columns: Iterable[str], probs: Iterable[float], by: Iterable[str] = (), **options
+) -> DataFrame:
+    """Exact, linearly interpolated quantiles: rows ``(by..., column, prob, value)``.
+
+    Missing values are ignored; a column without values yields no row.
+    """
+    points = quantile_points(df, columns, probs, by, **options)
+    low, high, part = F.col("low"), F.col("high"), F.col("part")
+    # The same rule as ``interpolate``: the result is the same from both sides.
     value = F.when(part >= 0.5, high - (high - low) * (1.0 - part)).otherwise(low + (high - low) * part)
-    return spread.select(*group, "prob", value.alias("value"))
+    return points.select(*by, "column", "prob", value.alias("value"))
 
 
 def quantiles_wide(

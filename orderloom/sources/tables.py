@@ -24,9 +24,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores on an input that comes in fewer pieces than there are cores.
+
+    One unsplittable file would otherwise keep every step up to the first shuffle in
+    one task.  An input that already has enough pieces is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem - orders - customer - nation; which sides are broadcast is up to size statistics."""
-    lineitem, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    lineitem = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
+    orders = table(spark, sf_dir, "orders")
     customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
     return (
         lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))

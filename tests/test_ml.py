@@ -188,3 +188,18 @@ def test_basket_model_and_reports(spark, trained):
     assert doc["n_features"] == len(trained.features) == len(doc["feature_names"])
     assert len(doc["classification_report"]) == 5 and doc["run_id"]
     assert doc["confusion_matrix"]["tn"] + doc["confusion_matrix"]["fp"] > 0
+
+
+def test_prep_state_matches_step_by_step(spark):
+    """The single-pass fit gives what filling, clipping and scaling one after the other give."""
+    df = spark.createDataFrame(
+        [(float(v) if v is not None else None, float(i % 7)) for i, v in enumerate([1, 2, 2, 3, None, 4, 900, None, -50, 5, 6])],
+        "x double, y double",
+    )
+    columns = ["x", "y"]
+    fills = prep.medians(df, columns)
+    filled = prep.fill(df, fills)
+    limits = prep.iqr_limits(filled, columns)
+    scales = prep.robust_scales(prep.clip_columns(filled, limits), columns)
+    state = prep.OrderPrep(numericCols=columns, categoryCols=[]).fit(df).getOrDefault("state")
+    assert (state["fills"], state["limits"], state["scales"]) == (fills, limits, scales)
