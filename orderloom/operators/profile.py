@@ -200,11 +200,10 @@ def correlation_matrix(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     columns = list(columns)
     pairs = list(combinations_with_replacement(columns, 2))
 
+    # The regression sums skip rows where either side is missing.
     def pair(a: str, b: str) -> Column:
         x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        x, y = F.when(both, x), F.when(both, y)
-        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+        return F.try_divide(F.regr_sxy(y, x), F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x)))
 
     wide = df.agg(*[pair(a, b).alias(f"{a}|{b}") for a, b in pairs])
     both_ways = {(a, b): f"{a}|{b}" for a, b in pairs} | {(b, a): f"{a}|{b}" for a, b in pairs}
