@@ -18,8 +18,11 @@ def clean_batch(nested: DataFrame, ties=()) -> DataFrame:
 
     The deduplicated rows are written once: the imputation statistics and the rows
     themselves are then read from that copy instead of repeating scan and shuffle.
+    Without ``ties`` all columns decide between rows of one event and time, so the
+    row kept never depends on the order of arrival.
     """
     flat = cleaning.typed(cleaning.normalize_text(cleaning.flatten(nested)))
+    ties = list(ties) or [c for c in flat.columns if c not in ("event_id", "event_time")]
     deduped = materialise(cleaning.dedupe(flat, ties), "dedup")
     return cleaning.clean_columns(cleaning.derive(cleaning.impute(deduped)))
 
@@ -47,7 +50,7 @@ def run(
     if not files.exists(spark, raw_path):
         raise FileNotFoundError(raw_path)
     nested = files.read_json_tolerant(spark, raw_path) if tolerant else files.read_raw_events(spark, raw_path)
-    batch = clean_batch(nested, ties=["order_id", "customer_customer_id", "order_basket_value", "order_order_total"])
+    batch = clean_batch(nested)
     merged = snapshots.upsert_clean(spark, f"{root}/clean", batch)
     version = snapshots.latest(spark, f"{root}/clean")
     exports = {}

@@ -34,10 +34,9 @@ def read_json_tolerant(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_clean_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The clean set from CSV with its declared types (columns matched by header)."""
-    text_schema = ", ".join(f"`{f.name}` string" for f in schemas.CLEAN.fields)
-    rows = spark.read.schema(text_schema).option("header", True).option("enforceSchema", False).csv(path)
-    return cleaning.typed(rows, schemas.CLEAN)
+    """The clean set from CSV: columns matched by header name, cast to their declared types."""
+    rows = spark.read.option("header", True).csv(path)
+    return cleaning.typed(rows.select(*[f.name for f in schemas.CLEAN.fields if f.name in rows.columns]), schemas.CLEAN)
 
 
 def read_existing_clean(spark: SparkSession, parquet_path: str, csv_path: str | None = None) -> DataFrame | None:

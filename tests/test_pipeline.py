@@ -98,6 +98,24 @@ def test_second_batch_upserts_and_repeats_are_harmless(spark, tmp_path, as_rows)
     assert as_rows(snapshots.read_predictions(spark, f"{root}/star").select("event_id", "return_proba")) == [("a", 0.75)]
 
 
+def test_csv_columns_are_matched_by_name(spark, tmp_path, as_rows):
+    rows = clean_rows(spark, 5).withColumn("event_time", F.lit("2026-01-01T00:00:00.000Z"))
+    rows.select(*sorted(rows.columns)).write.option("header", True).csv(str(tmp_path / "c"))
+    back = files.read_clean_csv(spark, str(tmp_path / "c"))
+    assert back.columns == [f.name for f in schemas.CLEAN.fields]
+    assert dict(back.dtypes)["order_is_returned"] == "boolean" and dict(back.dtypes)["event_time"] == "timestamp"
+    assert as_rows(back.select("event_id", "order_n_items")) == as_rows(rows.select("event_id", "order_n_items"))
+
+
+def test_equal_times_do_not_depend_on_arrival(spark, as_rows):
+    events = [raw_event("a", "2026-01-01T10:00:00Z", device=d) for d in ("tablet", "desktop", "mobile")]
+    lines = lambda es: spark.createDataFrame([(json.dumps(e),) for e in es], "v string").select(
+        F.from_json("v", schemas.RAW).alias("e")
+    ).select("e.*")
+    one = as_rows(etl.clean_batch(lines(events)))
+    assert one == as_rows(etl.clean_batch(lines(events[::-1]).repartition(3))) and len(one) == 1
+
+
 def test_missing_input(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         etl.run(spark, str(tmp_path / "none.jsonl"), str(tmp_path / "x"))
