@@ -161,16 +161,16 @@ def test_one_to_many_is_ordered(spark):
 
 @pytest.fixture()
 def logs(tmp_path):
-    (tmp_path / "emissions.csv").write_text(
+    (tmp_path / "runs.csv").write_text(
         "timestamp,project_name,run_id,duration,emissions,energy_consumed,gpu\n"
         "t1,etl,r1,60,0.5,2,\nt2,train,r2,120,0.25,1,\nt3,etl,r1,30,0.75,3,\n"
     )
-    (tmp_path / "emissions.csv.bak").write_text(
+    (tmp_path / "runs.csv.bak").write_text(
         "project_name,timestamp,run-id,emissions(kg),duration(s),energy_consumed(kWh)\n"
         "etl,t1,r1,9,9,9\netl,t4,r4,1,60,4\n"
     )
-    (tmp_path / "emissions.csv_1.bak").write_text("")
-    return str(tmp_path / "emissions.csv*")
+    (tmp_path / "runs.csv_1.bak").write_text("")
+    return str(tmp_path / "runs.csv*")
 
 
 def test_run_logs_with_drifting_headers(spark, logs, as_rows):
