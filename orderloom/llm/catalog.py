@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import decontam, jaccard, lang_id, mixing, pii, secrets, vptree, warc
+from orderloom.llm import decontam, jaccard, lang_id, mixing, pii, secrets, suffix_dedup, vptree, warc
 from orderloom.llm.shared import read_table
 from orderloom.session import shared_dir
 
@@ -30,6 +30,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(read_table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate(read_table(spark, sf_dir, "documents"), keep_bytes=False)
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(read_table(spark, sf_dir, "documents"))
 
@@ -50,7 +54,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_warc_writer, op2_pii, op3_decontamination, op4_mixing, op6_secrets, op7_jaccard_join,
+        op1_warc_writer, op2_pii, op3_decontamination, op4_mixing, op5_suffix_dedup, op6_secrets, op7_jaccard_join,
         op9_vp_trees, op10_language_id,
     )
 }
