@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderloom.llm import decontam, jaccard, lang_id, mixing, pii, secrets, suffix_dedup, vptree, warc
+from orderloom.llm import decontam, jaccard, lang_id, licenses, mixing, pii, secrets, suffix_dedup, vptree, warc
 from orderloom.llm.shared import read_table
 from orderloom.session import shared_dir
 
+#: Documents of at most so many words count as license files if they match a template.
+LICENSE_FILE_WORDS = 12
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -42,6 +46,15 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of ``source/language/`` folders; a short document that is mostly a notice is a license file."""
+    docs = read_table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), F.concat(F.lit("doc-"), F.col("doc_id")))
+    notice = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"\S+")) <= LICENSE_FILE_WORDS
+    files = docs.select(F.col("doc_id").alias("id"), path.alias("path"), "text", notice.alias("is_license"))
+    return licenses.scan(files).withColumnRenamed("id", "doc_id")
+
+
 def op9_vp_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.search(read_table(spark, sf_dir, "embeddings"))
 
@@ -55,7 +68,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_warc_writer, op2_pii, op3_decontamination, op4_mixing, op5_suffix_dedup, op6_secrets, op7_jaccard_join,
-        op9_vp_trees, op10_language_id,
+        op8_license_scan, op9_vp_trees, op10_language_id,
     )
 }
 
