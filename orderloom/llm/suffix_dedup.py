@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -181,10 +182,22 @@ def _suffixes(table: pa.Table, extra: pa.Table, buckets: int) -> pa.Table:
     ]
     out["part"] = [table.column("part")[0].as_py()] * len(out["h"]) if table.num_rows else []
     kinds = [pa.int64()] * 5 + [pa.int32(), pa.binary()]
-    return pa.table([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out))
+    found = pa.table([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out))
+    settled = found.filter(found.column("suffix").is_null())
+    if not settled.num_rows:
+        return found
+    # What is settled here travels as one packed row.
+    blob = packed(settled.column("rid").to_numpy(), settled.column("at").to_numpy(), np.full(settled.num_rows, -1))
+    part = settled.column("part")[0].as_py()
+    row = pa.table([pa.array([v], t) for v, t in zip((part, part, 0, 0, 0, -1, blob), kinds, strict=True)], names=list(out))
+    return pa.concat_tables([found.filter(found.column("suffix").is_valid()), row])
 
 
-MARKS = "part bigint, rid bigint, at bigint, marks bigint"
+def packed(rid: np.ndarray, at: np.ndarray, marks: np.ndarray) -> bytes:
+    return np.stack([rid, at, marks]).astype(np.int64).tobytes()
+
+
+MARKS = "part bigint, marks binary"
 
 
 def marked(before: np.ndarray, suffix: list[bytes], doc_id: np.ndarray) -> np.ndarray:
@@ -192,8 +205,10 @@ def marked(before: np.ndarray, suffix: list[bytes], doc_id: np.ndarray) -> np.nd
     n, width = len(suffix), SPREAD + LENGTH
     rows = np.zeros((n, width), np.uint8)
     after = np.array([len(s) for s in suffix]) - before
-    for i, s in enumerate(suffix):
-        rows[i, SPREAD - before[i] : SPREAD - before[i] + len(s)] = np.frombuffer(s, np.uint8)
+    sizes = after + before
+    flat = np.frombuffer(b"".join(suffix), np.uint8)
+    left = np.arange(n) * width + SPREAD - before - (np.cumsum(sizes) - sizes)
+    rows.ravel()[np.repeat(left, sizes) + np.arange(len(flat))] = flat
     running = np.zeros((n, width + 1), np.uint64)
     for c in range(width):
         running[:, c + 1] = running[:, c] * _U(_BASE) + rows[:, c] + _U(1)
@@ -223,24 +238,29 @@ def marked(before: np.ndarray, suffix: list[bytes], doc_id: np.ndarray) -> np.nd
 
 
 def _mark(table: pa.Table) -> pa.Table:
-    """Marks of a bucket of suffixes, some whole anchor groups at a time."""
-    table = table.sort_by("h")
-    h, settled = table.column("h").to_numpy(), table.column("suffix").is_null().to_numpy()
+    """Marks of a bucket of suffixes, some whole anchor groups at a time, packed per part.
+
+    What a part has settled itself passes through; its marks are all ones.
+    """
+    through = table.filter(pc.equal(table.column("before"), -1))
+    table = table.filter(pc.not_equal(table.column("before"), -1)).sort_by("h")
+    h, part = table.column("h").to_numpy(), table.column("part").to_numpy()
     before, doc_id = table.column("before").to_numpy(), table.column("doc_id").to_numpy()
     suffix = table.column("suffix").to_pylist()
     marks = np.zeros(len(h), np.int64)
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(h)) + 1, [len(h)]])
     start = 0
     for i, end in enumerate(cuts[1:], 1):
-        if end - start >= 20_000 or i == len(cuts) - 1:
-            use = np.arange(start, end)[~settled[start:end]]
-            if len(use):
-                marks[use] = marked(before[use], [suffix[j] for j in use], doc_id[use])
+        if end > start and (end - start >= 20_000 or i == len(cuts) - 1):
+            marks[start:end] = marked(before[start:end], suffix[start:end], doc_id[start:end])
             start = end
-    # A settled one has every string that its text holds; -1 says so.
-    marks[settled] = -1
-    keep = marks != 0
-    return pa.table([table.column("part"), table.column("rid"), table.column("at"), pa.array(marks)], names=["part", "rid", "at", "marks"]).filter(pa.array(keep))
+    keep = np.flatnonzero(marks)
+    keep = keep[np.argsort(part[keep], kind="stable")]
+    rid, at = table.column("rid").to_numpy()[keep], table.column("at").to_numpy()[keep]
+    edge = np.flatnonzero(np.diff(part[keep], prepend=-1))
+    blobs = [packed(*x) for x in zip(*(np.split(v, edge[1:]) for v in (rid, at, marks[keep])), strict=True)] if len(keep) else []
+    parts = pa.array(np.concatenate([part[keep][edge], through.column("part").to_numpy()]), pa.int64())
+    return pa.table([parts, pa.array(blobs + through.column("suffix").to_pylist(), pa.binary())], names=["part", "marks"])
 
 
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
@@ -249,10 +269,10 @@ RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_
 def _cut(table: pa.Table, extra: pa.Table, keep_bytes: bool) -> pa.Table:
     """Remaining bytes of each document of a part, by its copies and marks."""
     skip = _copies(extra)
-    by_row: dict[int, list] = {}
-    for rid, at, marks in zip(*(extra.column(c).to_pylist() for c in ("rid", "at", "marks")), strict=True):
-        if rid is not None:
-            by_row.setdefault(rid, []).append((at, marks))
+    blobs = [np.frombuffer(m, np.int64).reshape(3, -1) for m in extra.column("marks").to_pylist() if m]
+    rids, places, bitmaps = np.concatenate(blobs, axis=1) if blobs else np.empty((3, 0), np.int64)
+    order = np.argsort(rids, kind="stable")
+    rids, places, bitmaps = rids[order], places[order], bitmaps[order]
     out: list[tuple] = []
     bits = np.arange(SPREAD + 1)
     for rid, doc_id, text in zip(*(table.column(c).to_pylist() for c in ("rid", "doc_id", "text")), strict=True):
@@ -260,8 +280,8 @@ def _cut(table: pa.Table, extra: pa.Table, keep_bytes: bool) -> pa.Table:
         n, gone = len(data), np.zeros(0, bool)
         if doc_id in skip and n >= LENGTH:
             gone = np.ones(n, bool)
-        elif rid in by_row:
-            at, marks = np.array(by_row[rid], np.int64).T
+        elif (own := slice(*np.searchsorted(rids, [rid, rid + 1]))).start < own.stop:
+            at, marks = places[own], bitmaps[own]
             starts = (at[:, None] - bits)[(marks[:, None] >> bits & 1).astype(bool)]
             starts = starts[(starts >= 0) & (starts + LENGTH <= n)]
             edge = np.bincount(starts, minlength=n + 1) - np.bincount(starts + LENGTH, minlength=n + 1)[: n + 1]
