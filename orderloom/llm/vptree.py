@@ -80,7 +80,7 @@ class Tree:
                 d = np.sqrt(np.maximum(0.0, 2 - 2 * queries[who] @ self.unit[ids].T))
                 d[own[who][:, None] == ids[None, :]] = np.inf
                 best[who] = np.sort(np.concatenate([best[who], d], axis=1), axis=1)[:, :k]
-                near = d <= best[who, -1][:, None] + 1e-9
+                near = (d <= best[who, -1][:, None] + 1e-9) & np.isfinite(d)
                 for row in np.flatnonzero(near.any(axis=1)):
                     kept[who[row]].append(np.stack([ids[near[row]], d[row, near[row]]]))
                 continue
@@ -134,7 +134,8 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, factor: float = 1.0,
     shards = max(1, -(-rows.count() // shard_rows))
     queries = rows.filter(F.col("vec_id") % every == 0)
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    part = lambda seed, n: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n))
+    # The cogrouped keys must have one type on both sides.
+    part = lambda seed, n: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n)).cast("int")
     span = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     stored = rows.select("dim", part(1, shards).alias("shard"), span(blocks).alias("block"), "vec_id", "v")
     asked = queries.select("dim", part(2, blocks).alias("block"), span(shards).alias("shard"), "vec_id", "v")
