@@ -113,17 +113,14 @@ def scale_columns(df: DataFrame, scales: dict[str, list[float]]) -> DataFrame:
     return df.withColumns({c: (F.col(c) - F.lit(m)) / F.lit(s) for c, (m, s) in scales.items()})
 
 
-def categories(df: DataFrame, columns: Iterable[str], limit: int = 2000) -> dict[str, list[str]]:
-    """Sorted values per category column; refuses columns that are not categories.
+def categories(df: DataFrame, columns: Iterable[str]) -> dict[str, list[str]]:
+    """Sorted values per category column, all of them.
 
-    Encoding makes a column per value, so the list has to be short; beyond
-    ``limit`` values in total the fit stops instead of encoding part of them.
+    The fit holds one string per value and encoding makes a column per value, so
+    this is for columns that are categories.
     """
     columns = list(columns)
-    pairs = melt(df, columns, as_type="string").where(F.col("value").isNotNull()).distinct()
-    rows = pairs.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} categories in {columns}")
+    rows = melt(df, columns, as_type="string").where(F.col("value").isNotNull()).distinct().collect()
     return {c: sorted(r["value"] for r in rows if r["column"] == c) for c in columns}
 
 

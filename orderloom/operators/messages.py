@@ -98,7 +98,8 @@ def to_clean(
     """Inspected messages to clean rows.
 
     A missing, null or unreadable field takes its default.  ``stream_price`` uses
-    total / max(items, 1) for the unit price; otherwise the batch formula applies.
+    total / max(items, 1) for the unit price; otherwise the batch formula applies,
+    and the former where it has no value (no items): the price is never missing.
     """
     e: dict[str, Column] = {c: text.strip(_field(c, "string")) for c in schemas.ID_COLUMNS}
     e["event_time"] = temporal.event_time_with_fallback(_field("event_time", "string"), F.col(broker_time), now)
@@ -111,10 +112,8 @@ def to_clean(
     e["order_is_returned"] = F.coalesce(_field("order_is_returned", "boolean"), F.lit(RETURNED_DEFAULT))
     flat = accepted.select(*keep, *[e[f.name].alias(f.name) for f in schemas.EVENT.fields])
     items = F.col("order_n_items")
-    price = (
-        orders.price_per_item_stream(F.col("order_order_total"), items)
-        if stream_price
-        else orders.price_per_item(F.col("order_basket_value"), items)
-    )
+    price = orders.price_per_item_stream(F.col("order_order_total"), items)
+    if not stream_price:
+        price = F.coalesce(orders.price_per_item(F.col("order_basket_value"), items), price)
     timed = flat.withColumns(temporal.time_parts(F.col("event_time")) | {"price_average_per_item": price})
     return timed.select(*keep, *[f.name for f in schemas.CLEAN.fields])

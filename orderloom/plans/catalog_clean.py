@@ -441,11 +441,9 @@ def required_keys(spark, sf):
     return bad.select("position", "reason", F.coalesce("missing", F.lit("")).alias("missing"))
 
 
-@query("distinct_rows", oracle.sql("norm", "SELECT DISTINCT order_id, customer_country, order_device, order_channel, order_main_category FROM norm"))
+@query("distinct_rows", oracle.sql("norm", f"SELECT DISTINCT {_EVENT} FROM norm"))
 def distinct_rows(spark, sf):
-    return dedup.distinct_rows(
-        frames.norm(spark, sf).select("order_id", "customer_country", "order_device", "order_channel", "order_main_category")
-    )
+    return dedup.distinct_rows(frames.flat(frames.norm(spark, sf)))
 
 
 @query("dedup_latest", oracle.sql("dedup", f"SELECT {_EVENT} FROM dedup"))

@@ -21,10 +21,11 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 _NUMERIC = list(schemas.NUMERIC_COLUMNS)
 _EVENT_COLUMNS = [f.name for f in schemas.EVENT.fields]
+_ALL = ", ".join(_EVENT_COLUMNS)
 
 # ---- counts ----------------------------------------------------------------
 
-_COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+_COUNTED = tables.TABLES
 
 
 @query(
@@ -38,6 +39,22 @@ def table_counts(spark, sf):
 _PROFILED = {
     "orders": {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double",
                "o_orderdate": "timestamp_ntz", "o_orderpriority": "string"},
+    "region": {"r_regionkey": "int", "r_name": "string"},
+    "nation": {"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"},
+    "supplier": {"s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double"},
+    "part": {"p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_type": "string", "p_size": "int",
+             "p_retailprice": "double"},
+    "lineitem": {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
+                 "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double",
+                 "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz"},
+    "events": {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string",
+               "value": "double", "props": "string"},
+    "documents": {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"},
+    "embeddings": {"vec_id": "bigint", "embedding": "array<float>", "label": "int"},
+    "pages": {"page_id": "bigint", "url": "string", "html": "string"},
+    "benchmark": {"item_id": "bigint", "text": "string"},
+    "labels": {"doc_id": "bigint", "quality": "int", "toxic": "int"},
+    "conversations": {"conv_id": "bigint", "turn": "bigint", "role": "string", "text": "string"},
     "customer": {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string"},
 }
 
@@ -206,13 +223,12 @@ def iqr_bounds(spark, sf):
     "dup_counts",
     oracle.sql(
         "norm",
-        """SELECT CAST((SELECT count(*) FROM norm) - (SELECT count(*) FROM (SELECT DISTINCT event_id, event_time, order_device FROM norm)) AS BIGINT) AS exact_duplicates,
-                  CAST((SELECT count(*) FROM (SELECT DISTINCT event_id, event_time, order_device FROM norm)) - (SELECT count(DISTINCT event_id) FROM norm) AS BIGINT) AS key_duplicates""",
+        f"""SELECT CAST((SELECT count(*) FROM norm) - (SELECT count(*) FROM (SELECT DISTINCT {_ALL} FROM norm)) AS BIGINT) AS exact_duplicates,
+                  CAST((SELECT count(*) FROM (SELECT DISTINCT {_ALL} FROM norm)) - (SELECT count(DISTINCT event_id) FROM norm) AS BIGINT) AS key_duplicates""",
     ),
 )
 def dup_counts(spark, sf):
-    rows = frames.norm(spark, sf).select("event_id", "event_time", "order_device")
-    return profile.duplicate_counts(rows, "event_id")
+    return profile.duplicate_counts(frames.norm(spark, sf).select(*_EVENT_COLUMNS), "event_id")
 
 
 _CHECKS = [*[(f"{c}_negative", f"{c} < 0") for c in ("order_n_items", *schemas.MONEY_COLUMNS)], ("event_time_missing", "event_time IS NULL")]
@@ -409,12 +425,11 @@ _CALENDAR = """SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1
 
 @query(
     "daily_events",
-    f"""WITH days AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE event_type = 'purchase' GROUP BY 1)
+    f"""WITH days AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1)
         SELECT c.day, coalesce(n, 0) AS n_events FROM ({_CALENDAR}) c LEFT JOIN days d ON c.day = d.day""",
 )
 def daily_events(spark, sf):
-    rows = tables.table(spark, sf, "events").where(F.col("event_type") == "purchase")
-    return profile.daily_events(rows, "ts")
+    return profile.daily_events(tables.table(spark, sf, "events"), "ts")
 
 
 @query(

@@ -4,8 +4,9 @@ Each micro-batch appends one partition ``batch_id=<n>`` to three logs under the
 root folder: ``accepted`` (clean rows), ``predictions`` and ``rejected`` (with a
 reason).  A partition is written by overwrite, so a batch that is retried after a
 failure replaces its own output: together with the checkpoint every message takes
-effect exactly once, and a batch costs what it brings, not what is stored.  The
-star tables are views over the accepted log.
+effect exactly once.  With ``against_history`` a batch also reads the event ids of
+all earlier batches; with ``bounded_dedup`` it costs what it brings.  The star
+tables are views over the accepted log.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from orderloom import schemas
 from orderloom.functions import text
 from orderloom.ml.models import score_returns
-from orderloom.operators import dedup, messages, relational
+from orderloom.operators import dedup, messages
 from orderloom.sources import files
 
 ACCEPTED, PREDICTIONS, REJECTED = "accepted", "predictions", "rejected"
@@ -39,11 +40,6 @@ _LOG_SCHEMAS = {
     REJECTED: _REJECTED_SCHEMA,
 }
 
-# Event ids of a batch are broadcast against the history up to this many; a larger
-# batch is joined by shuffle.  2 million ids stay well below 200 MB.
-BROADCAST_IDS = 2_000_000
-
-
 def read_log(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One of the logs, with its ``batch_id``; empty when nothing was written yet."""
     schema = T.StructType([*_LOG_SCHEMAS[name].fields, T.StructField("batch_id", T.LongType())])
@@ -96,9 +92,8 @@ class ScoringJob:
             inspected.unpersist()
         # From here on the batch is read back from its own files.
         rows = self._partition(spark, ACCEPTED, batch_id)
-        scored = score_returns(self.pipeline, rows).select(*schemas.PREDICTION_COLUMNS)
-        references = {"events": rows, "orders": rows, "customers": rows}
-        self._write(relational.valid_references(scored, references).select(*schemas.PREDICTION_COLUMNS), PREDICTIONS, batch_id)
+        # The batch's own rows are its events, orders and customers: every reference is met.
+        self._write(score_returns(self.pipeline, rows).select(*schemas.PREDICTION_COLUMNS), PREDICTIONS, batch_id)
 
     def _fresh(self, spark: SparkSession, good: DataFrame, batch_id: int) -> DataFrame:
         """Clean rows of events met for the first time."""
@@ -112,8 +107,6 @@ class ScoringJob:
         history = read_log(spark, self.root, ACCEPTED).where(F.col("batch_id") < batch_id).select("event_id")
         ids = good.select(F.col("parsed.fields.event_id").alias("raw_id")).distinct()
         ids = ids.select(text.strip(F.col("raw_id")).alias("event_id"))
-        if good.count() <= BROADCAST_IDS:
-            ids = F.broadcast(ids)
         known = history.join(ids, "event_id", "left_semi").distinct()
         return first.join(known, "event_id", "left_anti").select(*first.columns)
 
@@ -145,11 +138,16 @@ def bounded_dedup(stream: DataFrame, delay: str, value: str = "value") -> DataFr
     """Drop repeated events inside a time window, with state bounded by the watermark.
 
     An alternative to comparing with the whole history, for streams whose copies
-    arrive close together; use it with ``against_history=False``.
+    arrive close together; use it with ``against_history=False``.  Messages are
+    checked first: a refused one never hides a good one of the same event, and
+    only equal refused ones count as repeats.  Ids are compared as they are stored.
     """
-    key = F.coalesce(F.get_json_object(value, "$.event_id"), F.col(value))
+    checked = messages.inspect(stream, value)
+    event = F.concat(F.lit("event "), text.strip(F.col("parsed.fields.event_id")))
+    key = F.when(F.col("reason").isNull(), event).otherwise(F.concat(F.lit("refused "), F.coalesce(value, F.lit(""))))
     return (
-        stream.withColumn("dedup_key", key)
+        checked.withColumn("dedup_key", key)
+        .select(*stream.columns, "dedup_key")
         .withWatermark("broker_time", delay)
         .dropDuplicatesWithinWatermark(["dedup_key"])
         .drop("dedup_key")

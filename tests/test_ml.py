@@ -116,8 +116,12 @@ def test_one_hot_unseen_and_missing(spark):
     assert values == {"s": ["a", "b", "c"]}
     other = spark.createDataFrame([("c",), ("zzz",), (None,)], "s string")
     assert [tuple(r) for r in prep.one_hot(other, values).collect()] == [(0.0, 1.0), (0.0, 0.0), (0.0, 0.0)]
-    with pytest.raises(ValueError, match="categories"):
-        prep.categories(df, ["s"], limit=2)
+
+
+def test_many_categories(spark):
+    df = spark.range(2500).select(F.format_string("v%04d", "id").alias("s"))
+    values = prep.categories(df, ["s"])
+    assert len(values["s"]) == 2500 and values["s"][:2] == ["v0000", "v0001"]
 
 
 def clean_rows(spark, n=400, seed=1):

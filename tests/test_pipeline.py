@@ -265,3 +265,20 @@ def test_bounded_dedup_option(spark, tmp_path, pipeline):
     scoring.start(stream, job, str(tmp_path / "cp")).awaitTermination()
     assert scoring.read_log(spark, job.root, scoring.ACCEPTED).count() == 2
     assert scoring.read_log(spark, job.root, scoring.REJECTED).count() == 2
+
+
+def test_bad_then_good_copy_keeps_the_good_one(spark, tmp_path, pipeline):
+    """In both modes a refused message does not hide a later good one of its event."""
+    good = message("a")
+    for mode in ("history", "bounded"):
+        inbox = tmp_path / mode
+        inbox.mkdir()
+        write_lines(inbox / "1.jsonl", ['{"event_id": "a", "order_id": null}', good, message(" a ")])
+        job = scoring.ScoringJob(str(tmp_path / f"out-{mode}"), pipeline, against_history=mode == "history")
+        stream = sources.from_text_files(spark, str(inbox))
+        stream = scoring.bounded_dedup(stream, "1 hour") if mode == "bounded" else stream
+        scoring.start(stream, job, str(tmp_path / f"cp-{mode}")).awaitTermination()
+        accepted = scoring.read_log(spark, job.root, scoring.ACCEPTED).collect()
+        assert [r.event_id for r in accepted] == ["a"]
+        assert all(r.price_average_per_item is not None for r in accepted)
+        assert scoring.read_log(spark, job.root, scoring.REJECTED).count() == 1
