@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from functools import cache
-
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom import schemas
@@ -11,6 +12,8 @@ from orderloom.ml import metrics, models, prep, splits
 from orderloom.plans import frames, oracle
 from orderloom.plans.catalog_reports import DIGITS, rounded
 from orderloom.plans.registry import query
+from orderloom.plans.stages import stage
+from orderloom.session import materialise
 
 _NUMERIC = list(schemas.NUMERIC_COLUMNS)
 _TRAIN_STEP = ["order_n_items", "order_basket_value", "order_discount", "event_month"]
@@ -41,7 +44,7 @@ def split_stratified(spark, sf):
 
 def _with_gaps(spark, sf):
     """Cleaned log before imputation, so every step has gaps to fill."""
-    return frames.dedup(spark, sf)
+    return frames.dedup_table(spark, sf)
 
 
 @query(
@@ -176,60 +179,190 @@ def feature_audit(spark, sf):
 # A model is fitted once per session and table folder, on the written clean set.
 
 
-@cache
+@stage
 def return_run(spark, sf):
     return models.train_return_model(frames.clean_table(spark, sf))
 
 
-@cache
+@stage
 def basket_run(spark, sf):
     return models.train_basket_model(frames.clean_table(spark, sf))
 
 
-@query("train_logistic")
+# Coefficients and probabilities have no value that SQL could compute.  Each query below returns who got one and
+# whether it meets the condition that defines it; the figures themselves come from ``models``.
+
+_STATIONARY = 1e-3
+_CATEGORIES = list(schemas.CATEGORY_COLUMNS)
+
+
+def _gradients(run, target: str, predicted, penalty: float):
+    """Per feature: the slope of the mean loss on the training rows, in the coefficient."""
+    model = run.pipeline.stages[-1]
+    rows = run.pipeline.transform(run.train.withColumn("actual", F.col(target).cast("double")))
+    sums = rows.agg(*[F.avg((predicted - F.col("actual")) * F.col(f)).alias(f) for f in run.features])
+    penalties = [penalty * float(v) for v in model.coefficients]
+    slopes = [F.struct(F.lit(f).alias("feature"), (F.col(f) + F.lit(p)).alias("slope")) for f, p in zip(run.features, penalties, strict=True)]
+    return sums.select(F.inline(F.array(*slopes)))
+
+
+def _feature_list(train: str, numeric, bools=()) -> str:
+    """The features that a fit on ``train`` has: numbers, booleans, and all values but the first per category."""
+    fixed = ", ".join(f"('{c}')" for c in [*numeric, *bools])
+    hot = " UNION ALL ".join(
+        f"SELECT concat('{c}_', v) AS feature FROM (SELECT DISTINCT {c} AS v FROM {train}) WHERE v > (SELECT min({c}) FROM {train})"
+        for c in _CATEGORIES
+    )
+    return f"SELECT feature, true AS stationary FROM (SELECT * FROM (VALUES {fixed}) AS t(feature) UNION ALL {hot})"
+
+
+@query("train_logistic", oracle.sql("train_strata", _feature_list("train_strata", _NUMERIC)))
 def train_logistic(spark, sf):
+    """Every feature's coefficient is finite and the penalised log-loss is flat in it."""
     run = return_run(spark, sf)
-    return models.coefficients(spark, run.pipeline, run.features)
+    penalty = run.pipeline.stages[-1].getOrDefault("regParam")
+    flat = F.abs("slope") < _STATIONARY
+    return _gradients(run, models.RETURN_TARGET, vector_to_array("probability")[1], penalty).select("feature", flat.alias("stationary"))
 
 
-@query("train_linear")
+@query(
+    "train_linear",
+    oracle.sql("train", _feature_list("train", [c for c in _NUMERIC if c != models.BASKET_TARGET], [models.RETURN_TARGET])),
+)
 def train_linear(spark, sf):
+    """Every feature is uncorrelated with the residual, as least squares demands (relative to the target's spread)."""
     run = basket_run(spark, sf)
-    return models.coefficients(spark, run.pipeline, run.features)
+    spread = run.train.agg(F.stddev_pop(models.BASKET_TARGET)).scalar()
+    flat = F.abs("slope") < _STATIONARY * spread
+    return _gradients(run, models.BASKET_TARGET, F.col("prediction"), 0.0).select("feature", flat.alias("stationary"))
 
 
-@query("score_batch")
+@query(
+    "score_batch",
+    oracle.sql("test_strata", f"SELECT {', '.join(schemas.ID_COLUMNS)}, true AS proba_valid, true AS decision_valid FROM test_strata"),
+)
 def score_batch(spark, sf):
+    """One score per test row; the probability is the logistic of the fitted margin, the decision its comparison with 0.5."""
     run = return_run(spark, sf)
-    return models.score_returns(run.pipeline, run.test)
+    model = run.pipeline.stages[-1]
+    rows = models.score_returns(run.pipeline, run.test, keep=[*schemas.ID_COLUMNS, *run.features])
+    margin = F.lit(float(model.intercept))
+    for feature, weight in zip(run.features, model.coefficients, strict=True):
+        margin = margin + F.col(feature) * F.lit(float(weight))
+    proba = F.col("return_proba")
+    return rows.select(
+        *schemas.ID_COLUMNS,
+        (F.abs(proba - 1.0 / (1.0 + F.exp(-margin))) < 1e-9).alias("proba_valid"),
+        (F.col("predicted_return") == (proba > models.DEFAULT_THRESHOLD)).alias("decision_valid"),
+    )
 
 
-@query("coef_topk")
+@query(
+    "coef_topk",
+    f"""SELECT side, CAST(rank AS INTEGER) AS rank, true AS in_order
+        FROM (VALUES ('positive'), ('negative')) AS s(side), range(1, {models.TOP_COEFFICIENTS + 1}) AS r(rank)""",
+)
 def coef_topk(spark, sf):
+    """Sides and ranks of the reported coefficients; each has exactly the better ones before it."""
     run = return_run(spark, sf)
-    return models.top_coefficients(models.coefficients(spark, run.pipeline, run.features))
+    coefs = models.coefficients(spark, run.pipeline, run.features)
+    every = coefs.agg(F.collect_list("coef")).scalar()  # one number per feature
+    place = Window.partitionBy("side").orderBy(F.when(F.col("side") == "positive", -F.col("coef")).otherwise(F.col("coef")), "feature")
+    ranked = models.top_coefficients(coefs).withColumn("rank", F.row_number().over(place)).withColumn("every", every)
+    positive = F.col("side") == "positive"
+    better = F.size(F.filter("every", lambda v: F.when(positive, v > F.col("coef")).otherwise(v < F.col("coef"))))
+    no_worse = F.size(F.filter("every", lambda v: F.when(positive, v >= F.col("coef")).otherwise(v <= F.col("coef"))))
+    return ranked.select("side", "rank", ((better < F.col("rank")) & (F.col("rank") <= no_worse)).alias("in_order"))
+
+
+def _hot(column: str) -> str:
+    known = f"SELECT DISTINCT {column} FROM train_strata WHERE {column} > (SELECT min({column}) FROM train_strata)"
+    return f"CASE WHEN {column} IN ({known}) THEN concat('{column}_', {column}) END"
+
+
+_REPLAYED = oracle.sql(
+    "train_strata normalized",
+    ", fitted AS (SELECT "
+    + ", ".join(
+        f"{oracle.median(c)} AS {c}_m, {oracle.quantile(c, 0.25)} AS {c}_q1, {oracle.quantile(c, 0.75)} AS {c}_q3" for c in _NUMERIC
+    )
+    + " FROM train_strata), cut AS (SELECT "
+    + ", ".join(
+        f"greatest(least(CAST({c} AS DOUBLE), {c}_q3 + 1.5e0 * ({c}_q3 - {c}_q1)), {c}_q1 - 1.5e0 * ({c}_q3 - {c}_q1)) AS {c}"
+        for c in _NUMERIC
+    )
+    + " FROM train_strata, fitted), scales AS (SELECT "
+    + ", ".join(
+        f"{oracle.median(c)} AS {c}_c, {oracle.quantile(c, 0.75)} - {oracle.quantile(c, 0.25)} AS {c}_w" for c in _NUMERIC
+    )
+    + " FROM cut) SELECT position, event_id, order_id, customer_customer_id, "
+    + ", ".join(
+        f"(greatest(least(CAST({c} AS DOUBLE), {c}_q3 + 1.5e0 * ({c}_q3 - {c}_q1)), {c}_q1 - 1.5e0 * ({c}_q3 - {c}_q1)) - {c}_c)"
+        f" / CASE WHEN {c}_w = 0 THEN 1e0 ELSE {c}_w END AS {c}"
+        for c in _NUMERIC
+    )
+    + f", concat_ws(',', {', '.join(map(_hot, _CATEGORIES))}) AS indicators FROM normalized, fitted, scales",
+)
 
 
-@query("prep_replay")
+@query("prep_replay", _REPLAYED)
 def prep_replay(spark, sf):
-    """Serving-time preparation of normalised messages with the fitted state."""
+    """Serving-time preparation of normalised messages with the fitted state; indicator columns are listed by name."""
     rows = frames.normalized(spark, sf).drop("event_time", "order_is_returned")
-    return return_run(spark, sf).pipeline.stages[0].transform(rows)
+    fitted = return_run(spark, sf).pipeline.stages[0]
+    hot = [f for f in fitted.features if f not in _NUMERIC]
+    names = F.concat_ws(",", *[F.when(F.col(f) == 1.0, F.lit(f)) for f in hot])
+    return fitted.transform(rows).select("position", *schemas.ID_COLUMNS, *_NUMERIC, names.alias("indicators"))
+
+
+def _agree(computed: DataFrame, expected: DataFrame) -> DataFrame:
+    """Per column of two one-row frames: do they hold the same number?"""
+    rows = computed.select(F.struct("*").alias("a"), expected.select(F.struct("*")).scalar().alias("b"))
+    pairs = [
+        F.struct(F.lit(c).alias("metric"), (F.abs(F.col(f"a.`{c}`") - F.col(f"b.`{c}`")) < 1e-9).alias("agrees"))
+        for c in expected.columns
+    ]
+    return rows.select(F.inline(F.array(*pairs)))
 
 
-@query("return_model_metrics")
+def _names(*metric: str) -> str:
+    return "SELECT metric, true AS agrees FROM (VALUES " + ", ".join(f"('{m}')" for m in metric) + ") AS t(metric)"
+
+
+@query("return_model_metrics", _names("accuracy", "precision", "recall", "f1", "log_loss", "brier_score", "roc_auc"))
 def return_model_metrics(spark, sf):
+    """Measures of the fitted classifier against those that ``pyspark.ml`` and plain averages give on its scores."""
     run = return_run(spark, sf)
     label = F.col(models.RETURN_TARGET).cast("int").alias("label")
-    scored = models.score_returns(run.pipeline, run.test, keep=["event_id", label])
-    return metrics.classification_metrics(scored, "label", "return_proba")
+    scored = materialise(models.score_returns(run.pipeline, run.test, keep=["event_id", label]), "return-scores")
+    p, y, said = F.col("return_proba"), F.col("label"), F.col("predicted_return").cast("int")
+    hits, said_yes, yes = F.sum(said * y), F.sum(said), F.sum(y)
+    area = BinaryClassificationEvaluator(rawPredictionCol="return_proba", numBins=0).evaluate(scored)
+    plain = scored.agg(
+        F.avg((said == y).cast("double")).alias("accuracy"),
+        F.coalesce(F.try_divide(hits, said_yes), F.lit(0.0)).alias("precision"),
+        F.coalesce(F.try_divide(hits, yes), F.lit(0.0)).alias("recall"),
+        F.coalesce(F.try_divide(2 * hits, said_yes + yes), F.lit(0.0)).alias("f1"),
+        F.avg(-F.when(y == 1, F.ln(p)).otherwise(F.ln(1 - p))).alias("log_loss"),
+        F.avg((p - y) * (p - y)).alias("brier_score"),
+        F.lit(area).alias("roc_auc"),
+    )
+    return _agree(metrics.classification_metrics(scored, "label", "return_proba"), plain)
 
 
-@query("basket_model_metrics")
+@query("basket_model_metrics", _names("mae", "mse", "rmse", "r2"))
 def basket_model_metrics(spark, sf):
+    """Measures of the fitted regression against those that ``pyspark.ml`` gives on its predictions."""
     run = basket_run(spark, sf)
-    predicted = run.pipeline.transform(run.test.withColumn("actual", F.col(models.BASKET_TARGET)))
-    return metrics.regression_metrics(predicted, "actual", "prediction")
+    predicted = run.pipeline.transform(run.test.withColumn("actual", F.col(models.BASKET_TARGET))).select("actual", "prediction")
+    predicted = materialise(predicted, "basket-scores")
+    by_ml = {m: RegressionEvaluator(labelCol="actual", metricName=m).evaluate(predicted) for m in ("mae", "mse", "rmse", "r2")}
+    plain = spark.range(1).select(*[F.lit(v).alias(m) for m, v in by_ml.items()])
+    ours = metrics.regression_metrics(predicted, "actual", "prediction")
+    # The errors are relative to the size of the target.
+    size = predicted.agg(F.stddev_pop("actual")).scalar()
+    relative = {"mae": F.col("mae") / size, "mse": F.col("mse") / (size * size), "rmse": F.col("rmse") / size}
+    return _agree(ours.withColumns(relative), plain.withColumns(relative))
 
 
 # ---- metrics ---------------------------------------------------------------

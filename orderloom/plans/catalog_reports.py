@@ -84,7 +84,7 @@ def table_profile(spark, sf):
     ),
 )
 def na_report(spark, sf):
-    return profile.na_report(frames.flat(frames.dedup(spark, sf)).select(*_EVENT_COLUMNS))
+    return profile.na_report(frames.dedup_table(spark, sf).select(*_EVENT_COLUMNS))
 
 
 @query(
@@ -99,7 +99,7 @@ def na_report(spark, sf):
     ),
 )
 def na_any(spark, sf):
-    return profile.na_any(frames.flat(frames.dedup(spark, sf)))
+    return profile.na_any(frames.dedup_table(spark, sf))
 
 
 _DISTINCT = ["event_id", "order_id", "customer_customer_id", *schemas.CATEGORY_COLUMNS]
@@ -125,7 +125,7 @@ def _value_counts(key: str, column: str, top: int | None) -> None:
 
     @query(key, oracle.sql("dedup", f"SELECT {column} AS value, count(*) AS n FROM dedup GROUP BY {column}{limit}"))
     def run(spark, sf):
-        return profile.value_counts(frames.dedup(spark, sf), column, top)
+        return profile.value_counts(frames.dedup_table(spark, sf), column, top)
 
 
 # The exploration shows the 20 most frequent values.
@@ -154,7 +154,7 @@ def hour_counts(spark, sf):
     ),
 )
 def mode_cols(spark, sf):
-    return ranks.modes(frames.dedup(spark, sf), schemas.CATEGORY_COLUMNS)
+    return ranks.modes(frames.dedup_table(spark, sf), schemas.CATEGORY_COLUMNS)
 
 
 _MEDIANS = ["order_n_items", *schemas.MONEY_COLUMNS]
@@ -165,7 +165,7 @@ _MEDIANS = ["order_n_items", *schemas.MONEY_COLUMNS]
     oracle.sql("dedup", f"SELECT {', '.join(f'{oracle.median(c)} AS {c}' for c in _MEDIANS)} FROM dedup"),
 )
 def median_cols(spark, sf):
-    return ranks.medians_row(frames.dedup(spark, sf), _MEDIANS)
+    return ranks.medians_row(frames.dedup_table(spark, sf), _MEDIANS)
 
 
 @query(
@@ -245,7 +245,7 @@ _CHECKS = [*[(f"{c}_negative", f"{c} < 0") for c in ("order_n_items", *schemas.M
 )
 def quality_checks(spark, sf):
     return profile.quality_checks(
-        frames.dedup(spark, sf), ["order_n_items", *schemas.MONEY_COLUMNS], ["event_time"]
+        frames.dedup_table(spark, sf), ["order_n_items", *schemas.MONEY_COLUMNS], ["event_time"]
     )
 
 
@@ -392,7 +392,7 @@ _RATE = "CAST(sum(CAST(order_is_returned AS INTEGER)) AS DOUBLE) / count(*)"
 
 @query("return_rate", oracle.sql("clean", f"SELECT {_RATE} AS return_rate, count(*) AS n FROM clean"))
 def return_rate(spark, sf):
-    return profile.return_rate(frames.clean(spark, sf))
+    return profile.return_rate(frames.clean_table(spark, sf))
 
 
 def _rate_by(key: str, column: str) -> None:
@@ -401,7 +401,7 @@ def _rate_by(key: str, column: str) -> None:
         oracle.sql("clean", f"SELECT {column}, {_RATE} AS return_rate, count(*) AS n FROM clean GROUP BY {column}"),
     )
     def run(spark, sf):
-        return profile.return_rate_by(frames.clean(spark, sf), column)
+        return profile.return_rate_by(frames.clean_table(spark, sf), column)
 
 
 _rate_by("return_rate_by_category", "order_main_category")
@@ -417,7 +417,7 @@ _rate_by("return_rate_by_channel", "order_channel")
     ),
 )
 def revenue_by_category(spark, sf):
-    return profile.revenue_by(frames.clean(spark, sf), "order_main_category")
+    return profile.revenue_by(frames.clean_table(spark, sf), "order_main_category")
 
 
 _CALENDAR = """SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM days"""
@@ -442,7 +442,7 @@ def daily_events(spark, sf):
     ),
 )
 def daily_revenue(spark, sf):
-    return profile.daily_revenue(frames.clean(spark, sf))
+    return profile.daily_revenue(frames.clean_table(spark, sf))
 
 
 # ---- energy log ------------------------------------------------------------

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +10,7 @@ from orderloom.functions.orders import ScoreLabels, rule_return_score
 from orderloom.operators import clean as cleaning
 from orderloom.operators import dedup as keyed
 from orderloom.operators import eco, messages, relational
+from orderloom.plans.stages import stage
 from orderloom.session import materialise
 from orderloom.sources import tables
 
@@ -35,14 +34,17 @@ def clean(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.clean_columns(cleaning.derive(cleaning.impute(dedup(spark, sf))))
 
 
-@cache
-def clean_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The clean set as a written table, like any later step of the pipeline reads it.
+@stage
+def dedup_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The deduplicated log as a written table: imputation and several reports visit it."""
+    return materialise(flat(dedup(spark, sf)), "dedup")
 
-    The deduplicated log is written first: imputation visits it several times.
-    """
-    deduped = materialise(flat(dedup(spark, sf)), "dedup")
-    return materialise(cleaning.clean_columns(cleaning.derive(cleaning.impute(deduped))), "clean")
+
+@stage
+def clean_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The clean set as a written table, like any later step of the pipeline reads it."""
+    rows = cleaning.impute(dedup_table(spark, sf))
+    return materialise(cleaning.clean_columns(cleaning.derive(rows)), "clean")
 
 
 def star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:

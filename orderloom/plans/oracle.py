@@ -210,6 +210,13 @@ CTES = {
                    {EXACT.format('duration')} AS duration FROM runs_once GROUP BY project_name)""",
     ),
     "train": (("clean",), f"SELECT * FROM clean WHERE {HASH} >= 0.2e0"),
+    "strata": (
+        ("clean",),
+        f"""SELECT *, row_number() OVER (PARTITION BY order_is_returned ORDER BY {HASH})
+              <= round_even(count(*) OVER (PARTITION BY order_is_returned) * 0.2e0, 0) AS is_test FROM clean""",
+    ),
+    "train_strata": (("strata",), "SELECT * EXCLUDE (is_test) FROM strata WHERE NOT is_test"),
+    "test_strata": (("strata",), "SELECT * EXCLUDE (is_test) FROM strata WHERE is_test"),
 }
 
 

@@ -176,6 +176,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def state(spark: SparkSession, path: str) -> tuple:
+    """What tells whether anything under a folder changed: its entries with times and sizes, and its size in all."""
+    p, fs = _fs(spark, path)
+    entries = sorted((s.getPath().getName(), s.getModificationTime(), s.getLen()) for s in fs.listStatus(p))
+    whole = fs.getContentSummary(p)
+    return (*entries, whole.getFileCount(), whole.getLength())
+
+
 def list_files(spark: SparkSession, pattern: str) -> list[str]:
     """Files matching a glob, sorted by name."""
     p, fs = _fs(spark, pattern)
