@@ -176,14 +176,13 @@ def valid_references(rows: DataFrame, tables: Mapping[str, DataFrame], refs: Map
 
 
 def orphans(rows: DataFrame, tables: Mapping[str, DataFrame], refs: Mapping[str, str] = PREDICTION_REFERENCES) -> DataFrame:
-    """Rows with a dangling foreign key, once per reason."""
-    reports = [
-        rows.join(tables[name].select(column), column, "left_anti")
-        .select(*rows.columns)
-        .withColumn("reason", F.lit(f"unknown {column}"))
-        for column, name in refs.items()
-    ]
-    return reduce(DataFrame.unionByName, reports)
+    """Rows with a dangling foreign key, once per reason; a missing key dangles.  The rows are read once."""
+    found = rows
+    for column, name in refs.items():
+        keys = tables[name].select(F.col(column).alias(f"__{column}")).distinct()
+        found = found.join(keys, F.col(column) == F.col(f"__{column}"), "left")
+    reasons = [F.when(F.col(f"__{column}").isNull(), F.lit(f"unknown {column}")) for column in refs]
+    return found.select(*rows.columns, F.explode(F.array_compact(F.array(*reasons))).alias("reason"))
 
 
 def not_null_violations(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
