@@ -1,8 +1,8 @@
-"""Removal of repeated byte strings by sampled, hash-compared suffixes.
+"""Removal of repeated byte strings by a hash-compared sort of sampled suffixes.
 
-A byte goes if a ``LENGTH``-byte string that covers it also starts in a document with a smaller id.  Suffixes are compared by prefix
-polynomial hashes: with H the running hash of a text, the hash of any stretch is one subtraction and one product, so
-equality of two stretches costs one comparison, and sorting suffixes by it puts equal beginnings side by side.
+A byte goes if a ``LENGTH``-byte string that covers it also starts in a document with a smaller id.  Two suffixes are compared by a
+binary search for their common extension on prefix polynomial hashes and by the byte after it, so a comparison takes a
+logarithmic number of steps; a mergesort orders them by it, and the result is verified byte by byte.
 
 A suffix array of the whole corpus would shuffle every byte's suffix.  Here suffixes are sampled: a position is an anchor if its
 ``GRAM``-byte hash is the least in some ``LENGTH``-byte string around it.  Equal strings have the same anchors at the
@@ -13,8 +13,9 @@ same places, so it is enough to compare strings around anchors that several docu
 3. Each part asks, per hash bucket, which of its distinct anchor hashes (4 bytes within the bucket) other parts hold too.
 4. For shared anchors the suffix around the anchor (``LENGTH`` bytes after it, LENGTH - GRAM before) is dealt by anchor hash.
    A part sends a suffix that several of its documents have once, for the smallest id; the others are settled on the spot.
-5. Per bucket and offset, the strings are sorted by polynomial hash, equal ones are verified byte by byte, and all but those of the
-   smallest id are marked; marks go back to the part, which cuts the bytes.
+5. Per bucket, the suffixes of each anchor are sorted, forwards from the anchor and backwards; the common extensions of
+   neighbours tell which strings are equal, and all but those of the smallest id are marked.  Marks go back to the part, which cuts
+   the bytes.
 
 A very common passage costs one row per part and anchor.  Only suffixes that differ (around the passage's ends) are sent per
 document.
@@ -200,40 +201,134 @@ def packed(rid: np.ndarray, at: np.ndarray, marks: np.ndarray) -> bytes:
 MARKS = "part bigint, marks binary"
 
 
-def marked(before: np.ndarray, suffix: list[bytes], doc_id: np.ndarray) -> np.ndarray:
-    """Per suffix a bit for each x: the string that starts x bytes before the anchor also starts in a smaller id."""
+class Suffixes:
+    """Byte strings laid out as rows (value + 1, 0 beyond the end), with the polynomial hash of every prefix."""
+
+    def __init__(self, rows: np.ndarray):
+        self.rows, self.width = np.ascontiguousarray(rows), rows.shape[1]
+        hashes = np.zeros((len(rows), self.width + 1), np.uint64)
+        for c in range(self.width):
+            hashes[:, c + 1] = hashes[:, c] * _U(_BASE) + rows[:, c]
+        self.hashes = hashes.ravel()
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Length of the common beginning of each pair, by binary search on prefix hashes."""
+        a_at, b_at = a * (self.width + 1), b * (self.width + 1)
+        length = np.zeros(len(a), np.int64)
+        step = 1 << (self.width.bit_length() - 1)
+        while step:
+            more = length + step
+            inside = np.minimum(more, self.width)
+            equal = (more == inside) & (self.hashes[a_at + inside] == self.hashes[b_at + inside])
+            length = np.where(equal, more, length)
+            step >>= 1
+        return length
+
+    def before(self, a: np.ndarray, b: np.ndarray, or_equal: np.ndarray) -> np.ndarray:
+        """Whether a sorts before b; where ``or_equal``, also if they are equal."""
+        length = self.common(a, b)
+        end = length == self.width
+        at = np.where(end, 0, length)
+        return np.where(end, or_equal, self.rows[a, at] < self.rows[b, at])
+
+    def sort(self, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row numbers sorted within each group (rows of a group lie side by side), and each one's common beginning with the one
+        before it (-1 for a group's first).
+
+        Bottom-up mergesort of all groups at once: a row finds its place in the neighbouring run by bisection.  Neighbours in
+        the result are compared byte by byte; if a hash has deceived, all is sorted by the bytes.
+        """
+        n = len(group)
+        first = np.flatnonzero(np.diff(group, prepend=group[:1] - 1)) if n else np.empty(0, np.int64)
+        size = np.diff(np.append(first, n))
+        low, high = np.repeat(first, size), np.repeat(first + size, size)
+        order, run = np.arange(n), 1
+        while n and run < size.max():
+            at = np.flatnonzero(high - low > run)
+            place = at - low[at]
+            left = place // run % 2 == 0
+            start = low[at] + (place // run + np.where(left, 1, -1)) * run
+            stop = np.minimum(start + run, high[at])
+            partner = start < high[at]
+            at, left, start, stop = at[partner], left[partner], start[partner], stop[partner]
+            lo, hi = start.copy(), stop.copy()
+            open_ = np.arange(len(at))
+            while len(open_):
+                mid = (lo[open_] + hi[open_]) // 2
+                ahead = self.before(order[mid], order[at[open_]], ~left[open_])
+                lo[open_] = np.where(ahead, mid + 1, lo[open_])
+                hi[open_] = np.where(ahead, hi[open_], mid)
+                open_ = open_[lo[open_] < hi[open_]]
+            merged = order.copy()
+            merged[np.where(left, at, at - run) + lo - start] = order[at]
+            order, run = merged, run * 2
+        shared = np.full(n, -1, np.int64)
+        inner = np.setdiff1d(np.arange(n), first, assume_unique=True)
+        a, b = order[inner - 1], order[inner]
+        shared[inner] = self.common(a, b)
+        if not self._holds(a, b, shared[inner]):
+            order = np.lexsort((*self.rows.T[::-1], group))
+            a, b = order[inner - 1], order[inner]
+            differ = self.rows[a] != self.rows[b]
+            shared[inner] = np.where(differ.any(axis=1), differ.argmax(axis=1), self.width)
+        return order, shared
+
+    def _holds(self, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> bool:
+        """Whether each b shares exactly ``length`` bytes with its a and does not sort before it."""
+        left, right = self.rows[a], self.rows[b]
+        wrong = ((left != right) & (np.arange(self.width) < length[:, None])).any()
+        some = np.flatnonzero(length < self.width)
+        at = length[some]
+        return not wrong and bool((left[some, at] < right[some, at]).all())
+
+
+def marked(before: np.ndarray, suffix: list[bytes], doc_id: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """Per suffix a bit for each x: the string that starts x bytes before the anchor also starts in a smaller id.
+
+    Rows of one anchor lie side by side.  Equal windows are one; the others are sorted by what follows the anchor's start and by
+    what precedes it, backwards.  Two windows share the string at x if they have LENGTH - x bytes in common after and x before, which the
+    sorted neighbours' common extensions tell.
+    """
     n, width = len(suffix), SPREAD + LENGTH
     rows = np.zeros((n, width), np.uint8)
     after = np.array([len(s) for s in suffix]) - before
     sizes = after + before
     flat = np.frombuffer(b"".join(suffix), np.uint8)
     left = np.arange(n) * width + SPREAD - before - (np.cumsum(sizes) - sizes)
-    rows.ravel()[np.repeat(left, sizes) + np.arange(len(flat))] = flat
-    running = np.zeros((n, width + 1), np.uint64)
+    rows.ravel()[np.repeat(left, sizes) + np.arange(len(flat))] = flat + np.uint8(1)  # no byte of UTF-8 is 255
+    # Equal windows of an anchor; one that only looks equal by its hash stays on its own.
+    code = np.zeros(n, np.uint64)
     for c in range(width):
-        running[:, c + 1] = running[:, c] * _U(_BASE) + rows[:, c] + _U(1)
-    power = _U(pow(_BASE, LENGTH, 1 << 64))
+        code = code * _U(_BASE) + rows[:, c]
+    order = np.lexsort((code, anchor))
+    new = np.ones(n, bool)
+    new[1:] = (code[order[1:]] != code[order[:-1]]) | (anchor[order[1:]] != anchor[order[:-1]])
+    new[1:] |= (rows[order[1:]] != rows[order[:-1]]).any(axis=1)
+    window = np.empty(n, np.int64)
+    window[order] = np.cumsum(new) - 1
+    head = order[new]
+    least = np.minimum.reduceat(doc_id[order], np.flatnonzero(new)) if n else doc_id
     out = np.zeros(n, np.int64)
+    valid = lambda x, i: (before[i] >= x) & (after[i] >= LENGTH - x)
+    # Windows that are alone at their anchor need no order.
+    _, which, count = np.unique(anchor[head], return_inverse=True, return_counts=True)
+    several = np.flatnonzero(count[which] > 1)
+    rows, group = rows[head[several]], which[several]
+    ahead, ahead_shared = Suffixes(rows[:, SPREAD:]).sort(group)
+    back, back_shared = Suffixes(rows[:, SPREAD - 1 :: -1]).sort(group)
+    right, behind = np.empty(len(several), np.int64), np.empty(len(several), np.int64)
     for x in range(SPREAD + 1):
-        use = np.flatnonzero((before >= x) & (after >= LENGTH - x))
-        if len(use) < 2:
-            continue
-        low = SPREAD - x
-        code = running[use, low + LENGTH] - running[use, low] * power
-        order = use[np.lexsort((doc_id[use], code))]
-        code = running[order, low + LENGTH] - running[order, low] * power
-        new = np.ones(len(order), bool)
-        new[1:] = code[1:] != code[:-1]
-        head = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
-        strings = rows[:, low : low + LENGTH]
-        same = (strings[order] == strings[head]).all(axis=1)
-        later = doc_id[order] > doc_id[head]
-        if not same.all():  # different strings with one hash: settle this offset by the strings themselves
-            _, group = np.unique(strings[order], axis=0, return_inverse=True)
-            least = np.full(group.max() + 1, np.iinfo(np.int64).max)
-            np.minimum.at(least, group, doc_id[order])
-            later = doc_id[order] > least[group]
-        out[order[later]] |= 1 << x
+        best = least.copy()
+        use = np.flatnonzero(valid(x, head[several]))
+        if len(use):
+            right[ahead] = np.cumsum(ahead_shared < LENGTH - x)
+            behind[back] = np.cumsum(back_shared < x)
+            code = right[use] * (len(several) + 1) + behind[use]
+            order = np.argsort(code)
+            edge = np.flatnonzero(np.diff(code[order], prepend=-1))
+            smallest = np.minimum.reduceat(least[several[use[order]]], edge)
+            best[several[use[order]]] = np.repeat(smallest, np.diff(np.append(edge, len(order))))
+        out[(doc_id > best[window]) & valid(x, slice(None))] |= 1 << x
     return out
 
 
@@ -252,7 +347,7 @@ def _mark(table: pa.Table) -> pa.Table:
     start = 0
     for i, end in enumerate(cuts[1:], 1):
         if end > start and (end - start >= 20_000 or i == len(cuts) - 1):
-            marks[start:end] = marked(before[start:end], suffix[start:end], doc_id[start:end])
+            marks[start:end] = marked(before[start:end], suffix[start:end], doc_id[start:end], h[start:end])
             start = end
     keep = np.flatnonzero(marks)
     keep = keep[np.argsort(part[keep], kind="stable")]

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -239,3 +240,34 @@ def test_warc_rolls_files_and_repeats_bytes(spark):
         back = held(warc.read(spark, folder))
         assert {r.key: bytes(r.payload).decode() for r in back} == {k: t for k, _, t in rows}
     assert sums[0] == sums[1] and len(sums[0]) > 3 and len({f[:13] for f, _ in sums[0]}) > 1
+
+
+def window_marks(rows):
+    """Bit x of a row: the 50 bytes that start x before its anchor also start in a smaller id at that anchor."""
+    least, out = {}, []
+    strings = lambda b, s: [(x, s[b - x : b - x + 50]) for x in range(35) if b >= x and len(s) - b >= 50 - x]
+    for g, b, s, d in rows:
+        for key in strings(b, s):
+            least[g, *key] = min(least.get((g, *key), d), d)
+    for g, b, s, d in rows:
+        out.append(sum(1 << x for x, t in strings(b, s) if least[g, x, t] < d))
+    return out
+
+
+@pytest.mark.parametrize("base", [suffix_dedup._BASE, 1])  # with base 1 the hashes deceive all the time
+@pytest.mark.parametrize(("n", "anchors"), [(1, 1), (90, 4), (1500, 1), (1500, 400)])
+def test_suffix_sort_marks(monkeypatch, n, anchors, base):
+    monkeypatch.setattr(suffix_dedup, "_BASE", base)
+    rng = random.Random(n)
+    rows = []
+    for g in range(anchors):
+        text = bytes(rng.choice(b"abc") for _ in range(84))
+        for _ in range(-(-n // anchors)):
+            own = bytearray(text)
+            for _ in range(rng.choice([0, 1, 2])):
+                own[rng.randrange(84)] = rng.choice(b"abc")
+            before, after = rng.choice([34, 34, 20, 5, 0]), rng.choice([50, 50, 30, 16])
+            rows.append((g, before, bytes(own[34 - before : 34 + after]), rng.randrange(n)))
+    anchor, before, suffix, doc_id = zip(*rows, strict=True)
+    got = suffix_dedup.marked(np.array(before), list(suffix), np.array(doc_id), np.array(anchor))
+    assert got.tolist() == window_marks(rows)
