@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.operators.reshape import melt
+from orderloom.session import materialise
 
 FANOUT = 4096
 _RANGES_PER_OCTAVE = 32
@@ -66,10 +67,11 @@ def _ranges_with_wanted(counts: DataFrame, group: list[str], within: list[str],
 
 def _join_ranges(values: DataFrame, ranges: DataFrame, group: list[str], by: list[str]) -> DataFrame:
     # Without grouping columns there are at most 2 x columns x probabilities
-    # ranges, so broadcasting is bounded.  With them the number of groups decides,
-    # and the choice is left to the size statistics (AQE).
+    # ranges, so broadcasting is bounded.  With them the number of groups decides:
+    # the ranges are written, so Spark plans with their true size, and the values
+    # are shuffled only if the ranges are too large to be broadcast.
     side = ranges.withColumnsRenamed({g: f"of_{g}" for g in group})
-    side = side if by else F.broadcast(side)
+    side = materialise(side, "ranges") if by else F.broadcast(side)
     condition = F.col("value").between(F.col("low"), F.col("high"))
     for g in group:
         condition = condition & F.col(g).eqNullSafe(F.col(f"of_{g}"))

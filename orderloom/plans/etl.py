@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orderloom import schemas
 from orderloom.operators import clean as cleaning
 from orderloom.operators import profile, relational
-from orderloom.session import materialise
+from orderloom.session import materialise, stage_scope
 from orderloom.sources import files, snapshots
 
 
@@ -50,8 +50,8 @@ def run(
     if not files.exists(spark, raw_path):
         raise FileNotFoundError(raw_path)
     nested = files.read_json_tolerant(spark, raw_path) if tolerant else files.read_raw_events(spark, raw_path)
-    batch = clean_batch(nested)
-    merged = snapshots.upsert_clean(spark, f"{root}/clean", batch)
+    with stage_scope(spark):
+        merged = snapshots.upsert_clean(spark, f"{root}/clean", clean_batch(nested))
     version = snapshots.latest(spark, f"{root}/clean")
     exports = {}
     if export:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -56,15 +59,40 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="orderloom-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    for scope in _scopes.get():
+        scope.append(path)
+    return path
 
 
-def materialise(df, purpose: str):
-    """Write ``df`` once to the shared folder and return a frame that reads it.
+#: Folders handed out inside each ``stage_scope`` that is open in this thread.
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("stage_scopes", default=())
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the shared folders that are handed out inside the block when it ends.
+
+    Frames that read them are of no use afterwards: write what is to stay to a folder
+    of its own, taken before the block.  Only folders of this block are touched.
+    """
+    scope: list[str] = []
+    token = _scopes.set((*_scopes.get(), scope))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for folder in scope:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def materialise(df, purpose: str, path: str | None = None):
+    """Write ``df`` once to the shared folder (or to ``path``) and return a frame that reads it.
 
     Used where several later jobs need the same expensive result: the lineage
     is cut by durable files, so a lost executor never replays the upstream.
     """
-    path = shared_dir(df.sparkSession, purpose)
+    path = path or shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -20,6 +20,26 @@ def test_daily_series_fills_empty_days(spark, as_rows):
     assert as_rows(profile.daily_revenue(df, "t")) == [(day(1), 3.5), (day(2), 0.0), (day(3), 0.0), (day(4), 4.0)]
 
 
+def test_correlation_of_every_pair(spark):
+    data = [(1.0, 2.0, 5.0, None, 7.0), (2.0, 1.0, 5.0, 3.0, 1.5), (3.0, 7.0, 5.0, 4.0, 2.0), (5.0, 3.0, 5.0, 9.0, None)]
+    df = spark.createDataFrame(data, "a double, b double, c double, d double, e double")
+    got = {(r.x, r.y): r.r for r in profile.correlation_matrix(df, df.columns).collect()}
+    assert len(got) == 25
+    pandas = df.toPandas().corr()
+    for (x, y), r in got.items():
+        assert r is None if "c" in (x, y) else r == pytest.approx(pandas.loc[x, y])
+    assert profile.correlation_matrix(df, []).count() == 0
+
+
+def test_grouped_quantiles_do_not_send_the_values_to_all_tasks(spark):
+    df = spark.range(4000).select((F.col("id") % 40).alias("items"), F.sqrt("id").alias("y"))
+    got = profile.relation(df, "items", "y")
+    assert got.count() == 40
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    joins = [line for line in plan.splitlines() if "value" in line and "Join" in line]
+    assert joins and all("BroadcastHashJoin" in j and "BuildRight" in j for j in joins)
+
+
 def test_histogram_closes_the_last_bin(spark, as_rows):
     df = spark.createDataFrame([(0.0,), (0.5,), (9.99,), (10.0,), (None,)], "x double")
     bins = as_rows(profile.histogram(df, "x", 10))
