@@ -1,7 +1,8 @@
 """Corpus preparation: language ID, near duplicates, benchmark decontamination, secrets, mixing.
 
 Each stage works on all that the one before kept and returns the columns of ``documents``; the last adds what the mix takes.  ``run``
-writes each stage's result as Parquet to the shared folder and reads it back for the next.
+writes each stage's result as Parquet to the shared folder and reads it back for the next; what a stage itself wrote on the way is removed
+once its result is there.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.llm import decontam, jaccard, lang_id, mixing, secrets
 from orderloom.llm.shared import bounded_batches, read_table
-from orderloom.session import materialise
+from orderloom.session import materialise, shared_dir, stage_scope
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +54,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        result = shared_dir(spark, name)
+        with stage_scope(spark):
+            docs = materialise(stage(spark, docs, sf_dir), name, result)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
