@@ -1,9 +1,12 @@
 """License scan: TF-IDF cosine of passages to license templates, then inheritance from the nearest ancestor directory.
 
-A text is read in windows of words of three widths (about a notice line, a header, a license paragraph).  A window's vector has
-TF-IDF weights; document frequencies of the templates' words are counted over all files, words outside the templates share the weight
-of a word seen once.  A bound from running sums rules windows out; the others get the exact cosine.  The best template at
-or above ``THRESHOLD`` is the file's own license.
+A text is read in windows of words: three fixed widths (about a notice line, a header, a license paragraph) and the length of each
+template, so an exact notice has a window of its own.  A window's vector has TF-IDF weights, from the document frequencies of all
+words over all files.  Tasks get the weights of the templates' words and of the most frequent ones (at most ``FREQUENT``); any other
+word weighs at least as much as the most frequent word left out, so a bound from running sums rules windows out.  Windows whose
+words are all known get their cosine at once; the few others that may still reach the threshold are joined with the frequencies of
+their rare words.  The best template at or above ``THRESHOLD`` is the file's own license; below it, the score is the best of the
+windows that the bound left.
 
 A file without one inherits from license files (by name, or by ``is_license``) of the nearest ancestor directory: every
 ancestor path of a directory is a row, joined by equality with the directories that have license files, and the deepest wins.
@@ -17,15 +20,15 @@ give an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.shared import bounded_batches
-from orderloom.llm.words import words
+from orderloom.llm.words import distinct_per_text, word_hashes, words
 from orderloom.session import materialise
 
 # Notices and opening sentences of common licenses.
@@ -53,8 +56,11 @@ TEMPLATES = {
     ],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"],
 }
+#: Fixed widths; those of the templates are added.
 WIDTHS = (6, 10, 20)
 THRESHOLD = 0.75
+#: At most so many words' weights are sent to every task; the others are joined.
+FREQUENT = 50_000
 LICENSE_FILE = r"(?i)^(?:licen[cs]e|copying|notice)(?:[.-].*)?$"
 
 
@@ -70,91 +76,144 @@ def template_words() -> tuple[list[str], list[str], np.ndarray]:
     return vocabulary, [name for name, _ in texts], counts
 
 
-def term_ids(texts: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Vocabulary places of all words (its size for others), and the texts' offsets."""
-    flat, offsets = words(texts)
-    return pc.fill_null(pc.index_in(flat, value_set=vocabulary), len(vocabulary)).to_numpy().astype(np.int64), offsets
-
-
-def document_frequencies(files: DataFrame, vocabulary: list[str]) -> tuple[np.ndarray, int]:
-    """Files that hold each template word, and the number of files."""
-    listed = pa.array(vocabulary, pa.string())
+def document_frequencies(files: DataFrame) -> DataFrame:
+    """``(h, n)``: files that hold each word, by the word's hash; the null hash has the number of files."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(vocabulary) + 1, np.int64)
-        rows = 0
         for batch in batches:
-            ids, offsets = term_ids(batch.column(0), listed)
-            owner = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
-            pairs = np.unique(owner * (len(vocabulary) + 1) + ids)
-            total += np.bincount(pairs % (len(vocabulary) + 1), minlength=len(total))
-            rows += batch.num_rows
-        total[-1] = rows  # the last one carries the number of files
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["term", "n"])
-
-    summed = files.select("text").mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
-    out = np.zeros(len(vocabulary) + 1, np.int64)
-    for r in summed.collect():  # one row per template word
-        out[r["term"]] = r["n"]
-    return out[:-1], int(out[-1])
-
-
-def best_windows(ids: np.ndarray, offsets: np.ndarray, idf: np.ndarray, templates: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Best cosine of each text and its template; ``templates`` are unit rows, ``idf`` ends with the other words' weight."""
-    n = len(offsets) - 1
+            h, n = np.unique(distinct_per_text(*word_hashes(batch.column(0)))[0], return_counts=True)
+            hashes = pa.concat_arrays([pa.array(h.view(np.int64)), pa.array([None], pa.int64())])
+            yield pa.RecordBatch.from_arrays([hashes, pa.array(np.append(n, batch.num_rows))], ["h", "n"])
+
+    return files.select("text").mapInArrow(count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
+
+
+class Weights(NamedTuple):
+    """Words with known weights by sorted hash, their place among the templates' words (or the number of these), and the least
+    weight of all other words."""
+
+    hashes: np.ndarray
+    idf: np.ndarray
+    term: np.ndarray
+    rest: float
+
+
+def known_weights(frequencies: DataFrame, vocabulary: list[str], total: int) -> tuple[Weights, bool]:
+    """Weights of the templates' and the most frequent words, and whether these are all words."""
+    by_size = {r["b"]: r["count"] for r in frequencies.filter("h is not null").groupBy(F.length(F.bin("n")).alias("b")).count().collect()}
+    bits, held = max(by_size, default=0) + 1, 0
+    while bits > 1 and held + by_size.get(bits - 1, 0) <= FREQUENT:
+        bits -= 1
+        held += by_size.get(bits, 0)
+    terms = word_hashes(pa.array([" ".join(vocabulary)]))[0]
+    common = frequencies.filter("h is not null").filter((F.col("n") >= 1 << (bits - 1)) | F.col("h").isin(terms.view(np.int64).tolist())).toArrow()
+    n = dict.fromkeys(terms.view(np.int64).tolist(), 0) | dict(zip(common.column("h").to_pylist(), common.column("n").to_pylist(), strict=True))
+    hashes = np.array(list(n), np.int64).view(np.uint64)
+    term = np.append(np.arange(len(terms)), np.full(len(n) - len(terms), len(terms)))
+    order = np.argsort(hashes)
+    idf = np.log((1 + total) / (1 + np.array(list(n.values())))) + 1
+    return Weights(hashes[order], idf[order], term[order], float(np.log(max(1.0, (1 + total) / (1 << (bits - 1)))) + 1)), bits == 1
+
+
+class Window(NamedTuple):
+    """A window with words of unknown weight: product with its best template, squared norm of the known words, and the others."""
+
+    dot: float
+    which: int
+    norm2: float
+    others: list[dict]
+
+
+def best_windows(hashes: np.ndarray, offsets: np.ndarray, known: Weights, templates: np.ndarray, widths: list[int], threshold: float) -> tuple[np.ndarray, np.ndarray, list[list[Window]]]:
+    """Best cosine of each text and its template, by windows of known words; and each text's other windows that may be better.
+
+    ``templates`` are unit rows.
+    """
+    n, terms = len(offsets) - 1, templates.shape[1]
     best, which = np.zeros(n), np.zeros(n, np.int64)
-    weight = np.concatenate([templates, np.zeros((len(templates), 1))], axis=1) * idf
-    known = (ids < len(idf) - 1).astype(np.float64)
-    near = np.concatenate([[0.0], np.cumsum(known)])
-    inside = np.concatenate([[0.0], np.cumsum(idf[ids] ** 2 * known)])
-    mass = np.concatenate([[0.0], np.cumsum(idf[ids] ** 2)])
-    padded = np.concatenate([ids, np.full(max(WIDTHS), len(idf))])
-    for width in WIDTHS:
+    open_: list[list[tuple[float, Window]]] = [[] for _ in range(n)]
+    at = np.minimum(np.searchsorted(known.hashes, hashes), len(known.hashes) - 1)
+    here = known.hashes[at] == hashes
+    term, idf = np.where(here, known.term[at], terms), np.where(here, known.idf[at], known.rest)
+    own = np.zeros(terms)
+    own[known.term[known.term < terms]] = known.idf[known.term < terms]
+    weight = np.concatenate([templates * own, np.zeros((len(templates), 1))], axis=1).T
+    sums = lambda v: np.concatenate([[0.0], np.cumsum(v)])
+    near, gain, mass = sums(term < terms), sums(weight.max(axis=1)[term]), sums(idf**2)
+    fill = np.zeros(max(widths))
+    words_, term, idf, here = np.append(hashes, fill.astype(np.uint64)), np.append(term, fill.astype(np.int64) + terms), np.append(idf, fill), np.append(here, fill == 0)
+    for width in widths:
         counts = np.where(np.diff(offsets) > 0, np.maximum(np.diff(offsets) - width, 0) + 1, 0)
         text = np.repeat(np.arange(n), counts)
         start = offsets[text] + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         end = np.minimum(start + width, offsets[text + 1])
-        # A squared cosine is at most the known words' share of the squared norm.  Repeats raise a term's square by at most
-        # the width, hence the division.
+        # A product is at most the sum of its words' greatest parts; a squared norm is at least the sum of squared weights.
         some = np.flatnonzero(near[end] - near[start] >= 2)
-        share = (inside[end[some]] - inside[start[some]]) / np.maximum(mass[end[some]] - mass[start[some]], 1e-12)
-        some = some[share >= THRESHOLD**2 / width]
-        for at in range(0, len(some), 2048):
-            pick = some[at : at + 2048]
+        some = some[gain[end[some]] - gain[start[some]] >= (threshold - 1e-9) * np.sqrt(np.maximum(mass[end[some]] - mass[start[some]], 0))]
+        for low in range(0, len(some), 2048):
+            pick = some[low : low + 2048]
             place = start[pick][:, None] + np.arange(width)
-            terms = np.where(place < end[pick][:, None], padded[place], len(idf))
-            tf = np.zeros((len(pick), len(idf) + 1))
-            np.add.at(tf, (np.arange(len(pick))[:, None], terms), 1)
-            tf = tf[:, :-1]
-            # Other words are distinct as a rule: each adds its own square.
-            norm = np.sqrt((tf[:, :-1] ** 2 * idf[:-1] ** 2).sum(axis=1) + tf[:, -1] * idf[-1] ** 2)
-            cosine = (tf * 1.0) @ weight.T / np.maximum(norm, 1e-12)[:, None]
-            top = cosine.argmax(axis=1)
-            value = cosine[np.arange(len(pick)), top]
-            for t, v, k in zip(text[pick], value, top, strict=True):
-                if v > best[t] + 1e-12 or (abs(v - best[t]) <= 1e-12 and v > 0 and k < which[t]):
+            place = np.where(place < end[pick][:, None], place, len(hashes))
+            row, known_ = words_[place], here[place]
+            tf = ((row[:, :, None] == row[:, None, :]) & (place < len(hashes))[:, None, :]).sum(axis=2)
+            squares = idf[place] ** 2 * tf
+            dot = weight[term[place]].sum(axis=1)
+            top = dot.argmax(axis=1)
+            dot = dot[np.arange(len(pick)), top]
+            value = dot / np.sqrt(np.maximum(squares.sum(axis=1), 1e-24))
+            sure = known_.all(axis=1)
+            for i in np.flatnonzero(value >= best[text[pick]] - 1e-12):
+                t, v, k = text[pick[i]], value[i], top[i]
+                if not sure[i]:
+                    if v >= threshold - 1e-9:
+                        _, first = np.unique(row[i], return_index=True)
+                        others = [{"h": int(row[i, j].view(np.int64)), "tf": int(tf[i, j])} for j in first if not known_[i, j]]
+                        open_[t].append((v, Window(float(dot[i]), int(k), float(squares[i][known_[i]].sum()), others)))
+                elif v > best[t] + 1e-12 or (abs(v - best[t]) <= 1e-12 and v > 0 and k < which[t]):
                     best[t], which[t] = v, k
-    return best, which
+    return best, which, [[w for v, w in ws if v >= best[t] - 1e-12] for t, ws in enumerate(open_)]
+
+
+OPEN = "array<struct<dot:double,which:int,norm2:double,others:array<struct<h:bigint,tf:int>>>>"
 
 
 def own_licenses(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(id, path, is_license, license, score)`` of each file by its own text."""
     vocabulary, names, counts = template_words()
-    df, total = document_frequencies(files, vocabulary)
-    idf = np.append(np.log((1 + total) / (1 + df)) + 1, np.log((1 + total) / 2) + 1)
-    unit = counts * idf[:-1]
+    frequencies = materialise(document_frequencies(files), "license-words")
+    total = (frequencies.filter("h is null").first() or {"n": 0})["n"]
+    known, complete = known_weights(frequencies, vocabulary, total)
+    own = np.zeros(len(vocabulary))
+    own[known.term[known.term < len(vocabulary)]] = known.idf[known.term < len(vocabulary)]
+    unit = counts * own
     unit = unit / np.sqrt((unit**2).sum(axis=1, keepdims=True))
-    listed = pa.array(vocabulary, pa.string())
+    widths = sorted({*WIDTHS, *counts.sum(axis=1).astype(int).tolist()})
+    others = pa.list_(pa.struct([("h", pa.int64()), ("tf", pa.int32())]))
+    kind = pa.list_(pa.struct([("dot", pa.float64()), ("which", pa.int32()), ("norm2", pa.float64()), ("others", others)]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, offsets = term_ids(batch.column("text"), listed)
-            best, which = best_windows(ids, offsets, idf, unit)
-            found = [names[k] if s >= threshold else None for s, k in zip(best, which, strict=True)]
-            columns = [batch.column(c) for c in ("id", "path", "is_license")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.string()), pa.array(best)], ["id", "path", "is_license", "license", "score"])
-
-    return files.select("id", "path", "is_license", "text").mapInArrow(run, "id bigint, path string, is_license boolean, license string, score double")
+            best, which, more = best_windows(*word_hashes(batch.column("text")), known, unit, widths, threshold)
+            columns = [batch.column(c) for c in ("rid", "id", "path", "is_license")]
+            rows = pa.array([[w._asdict() for w in ws] for ws in more], kind)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(which), pa.array(best), rows], ["rid", "id", "path", "is_license", "which", "score", "open"])
+
+    schema = f"rid bigint, id bigint, path string, is_license boolean, which bigint, score double, open {OPEN}"
+    held = materialise(files.select(F.monotonically_increasing_id().alias("rid"), "id", "path", "is_license", "text").mapInArrow(run, schema), "license-windows")
+    score, which = F.col("score"), F.col("which")
+    if not complete:
+        rare = held.select("rid", F.posexplode("open").alias("k", "w")).select("rid", "k", "w.dot", "w.which", "w.norm2", F.inline("w.others"))
+        weight = F.col("tf") * (F.log((1 + total) / (1 + F.col("n"))) + 1)
+        norm2 = F.first("norm2") + F.sum(weight * weight * 1.0)
+        cosines = rare.join(frequencies, "h").groupBy("rid", "k").agg((F.first("dot") / F.sqrt(norm2)).alias("s"), F.first("which").alias("t"))
+        found = cosines.groupBy("rid").agg(F.min(F.struct((-F.round("s", 12)).alias("s"), "t")).alias("x"))
+        held = held.join(found, "rid", "left")
+        s = -F.col("x.s")
+        better = F.coalesce((s > score + 1e-12) | ((F.abs(s - score) <= 1e-12) & (F.col("x.t") < which)), F.lit(False))
+        score, which = F.when(better, s).otherwise(score), F.when(better, F.col("x.t")).otherwise(which)
+    held = held.select("id", "path", "is_license", score.alias("score"), which.cast("int").alias("which"))
+    license_ = F.when(F.col("score") >= threshold - 1e-12, F.get(F.array(*map(F.lit, names)), "which"))
+    return held.select("id", "path", "is_license", license_.alias("license"), "score")
 
 
 def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

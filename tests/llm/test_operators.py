@@ -216,6 +216,27 @@ def test_licenses(spark):
     assert licenses.scan(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("frequent", [licenses.FREQUENT, 20])  # all weights known, and rare words joined
+def test_license_notices_in_a_large_table(spark, monkeypatch, frequent):
+    """Notices keep their score among words that occur once, in a table of 12,000 files."""
+    monkeypatch.setattr(licenses, "FREQUENT", frequent)
+    notices = [(name, t) for name, ts in licenses.TEMPLATES.items() for t in ts]
+    rows = [(i, None, f"once{i}a once{i}b {t}, once{i}c once{i}d") for i, (_, t) in enumerate(notices)]
+    rows += [(100, None, "x Released under the MIT rare License y"), (101, None, "once Released under the MIT and once License")]
+    rows += [(1000 + i, None, prose(12)) for i in range(12_000)]
+    df = spark.createDataFrame(rows, "id bigint, path string, text string").repartition(3)
+    got = {r.id: (r.license, r.score) for r in held(licenses.scan(df))}
+    assert len(got) == len(rows)
+    assert {i: got[i][0] for i in range(len(notices))} == {i: name for i, (name, _) in enumerate(notices)}
+    assert all(got[i][1] == pytest.approx(1) for i in range(len(notices)))
+    assert all(got[i][0] is None for i in got if i >= 1000)
+    # By hand: five words of the MIT notice and one word that one file holds.
+    texts = [set(re.findall(r"\w+", t.lower())) for _, _, t in rows]
+    idf = lambda w: np.log((1 + len(rows)) / (1 + sum(w in t for t in texts))) + 1
+    notice = sum(idf(w) ** 2 for w in ("released", "under", "the", "mit", "license"))
+    assert got[100][1] == pytest.approx(np.sqrt(notice / (notice + idf("rare") ** 2)))
+
+
 def test_warc_round_trip(spark):
     long = "x" * 150
     rows = [(5, "u5", long), (2, "u2", long), (9, "u9", long), (3, "u3", "short"), (4, "u4", "short"), (6, None, None), (7, "a\r\nb", "é😀\r\n\r\n" * 40), (None, "n", long)]
