@@ -2,8 +2,9 @@
 
 Rows fall into shards by hash of their id.  Each shard builds a vantage-point tree over unit vectors (chord distance, a metric that
 orders as the cosine does) and answers blocks of queries; the best of all shards win.  A subtree is left out when the
-triangle inequality puts it ``factor`` times beyond a query's k-th distance so far: factor 1 is exact, smaller
-factors prune more.  Scores are cosines of the original vectors in double precision.
+triangle inequality puts it ``factor`` times beyond a query's k-th distance so far: factor 1 is exact, larger
+factors prune more.  Chords of equal vectors differ by the root of a product's rounding, so all comparisons of chords allow
+``slack`` and what they leave is ordered by exact scores.  Scores are cosines of the original vectors in double precision.
 
 Scale: the query set is dealt in blocks of ``QUERY_BLOCK`` to every shard, and (shard, block) is the unit of work, so a task
 holds one shard (``SHARD_ROWS`` vectors) and one block.  A shard's vectors are sent once for each block of queries.
@@ -37,6 +38,8 @@ class Tree:
 
     def __init__(self, unit: np.ndarray, leaf: int = LEAF):
         self.unit, self.order = unit, np.arange(len(unit))
+        # A product of unit vectors is off by at most about their length times the machine's epsilon.
+        self.slack = 4 * float(np.sqrt(unit.shape[1] * np.finfo(float).eps))
         self.nodes: list[tuple] = []  # (vantage, radius, inside, outside) or (start, end)
         stack = [(0, len(unit), None, 0)]
         while stack:
@@ -70,7 +73,7 @@ class Tree:
         stack = [(0, np.arange(n), np.zeros(n))]
         while stack:
             at, who, least = stack.pop()
-            alive = least * factor <= best[who, -1] + 1e-9
+            alive = least * factor <= best[who, -1] + self.slack
             who = who[alive]
             if not len(who):
                 continue
@@ -80,7 +83,7 @@ class Tree:
                 d = np.sqrt(np.maximum(0.0, 2 - 2 * queries[who] @ self.unit[ids].T))
                 d[own[who][:, None] == ids[None, :]] = np.inf
                 best[who] = np.sort(np.concatenate([best[who], d], axis=1), axis=1)[:, :k]
-                near = (d <= best[who, -1][:, None] + 1e-9) & np.isfinite(d)
+                near = (d <= best[who, -1][:, None] + self.slack) & np.isfinite(d)
                 for row in np.flatnonzero(near.any(axis=1)):
                     kept[who[row]].append(np.stack([ids[near[row]], d[row, near[row]]]))
                 continue
@@ -93,7 +96,7 @@ class Tree:
         out = []
         for i, found in enumerate(kept):
             both = np.concatenate(found, axis=1) if found else np.empty((2, 0))
-            out.append(both[0, both[1] <= best[i, -1] + 1e-9].astype(np.int64))
+            out.append(both[0, both[1] <= best[i, -1] + self.slack].astype(np.int64))
         return out
 
 
