@@ -21,7 +21,7 @@ A very common passage costs one row per part and anchor.  Only suffixes that dif
 document.
 
 Defined cases: null text is empty; texts shorter than ``LENGTH`` bytes stay; rows with a null id stay whole and are no source; rows that
-share an id do not cut each other; equal rows get equal results; an empty table gives an empty result.
+share an id do not cut each other, and each is cut by its own text; equal rows get equal results; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -88,12 +88,13 @@ def anchors(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def slices(table: pa.Table, skip: set[int], size: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Texts of a part end to end, about ``size`` bytes at a time: bytes, starts, row numbers, ids."""
-    texts, ids = table.column("text").to_pylist(), table.column("doc_id").to_pylist()
+    """Texts of a part end to end, without the rows (by ``rid``) of ``skip``, about ``size`` bytes at a time: bytes, starts, row
+    numbers, ids."""
+    texts, ids, rids = (table.column(c).to_pylist() for c in ("text", "doc_id", "rid"))
     held, rows, total = [], [], 0
     for row, (text, doc_id) in enumerate(zip(texts, ids, strict=True)):
         data = (text or "").encode()
-        if doc_id is not None and doc_id not in skip and len(data) >= LENGTH:
+        if doc_id is not None and rids[row] not in skip and len(data) >= LENGTH:
             held.append(data)
             rows.append(row)
             total += len(data)
@@ -109,6 +110,7 @@ def _joined(held: list[bytes]) -> np.ndarray:
 
 
 def _copies(extra: pa.Table) -> set[int]:
+    """Row ids of the part's copies of whole texts."""
     return {i for row in extra.column("copies").to_pylist() if row for i in row}
 
 
@@ -373,7 +375,7 @@ def _cut(table: pa.Table, extra: pa.Table, keep_bytes: bool) -> pa.Table:
     for rid, doc_id, text in zip(*(table.column(c).to_pylist() for c in ("rid", "doc_id", "text")), strict=True):
         data = (text or "").encode()
         n, gone = len(data), np.zeros(0, bool)
-        if doc_id in skip and n >= LENGTH:
+        if rid in skip and n >= LENGTH:
             gone = np.ones(n, bool)
         elif (own := slice(*np.searchsorted(rids, [rid, rid + 1]))).start < own.stop:
             at, marks = places[own], bitmaps[own]
@@ -403,10 +405,10 @@ def deduplicate(docs: DataFrame, keep_bytes: bool = True, part_bytes: int = PART
     held = spark.table(table)
 
     sums = materialise(
-        held.filter(F.col("doc_id").isNotNull()).select("part", "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sum")), "dedup-sums"
+        held.filter(F.col("doc_id").isNotNull()).select("part", "rid", "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sum")), "dedup-sums"
     )
     first = sums.groupBy("sum").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter(F.col("first") < F.col("last"))
-    copies = sums.join(first, "sum").filter(F.col("doc_id") > F.col("first")).groupBy("part").agg(F.collect_set("doc_id").alias("copies"))
+    copies = sums.join(first, "sum").filter(F.col("doc_id") > F.col("first")).groupBy("part").agg(F.collect_set("rid").alias("copies"))
     copies = materialise(copies, "dedup-copies")
 
     def with_parts(run, extra: DataFrame, schema: str) -> DataFrame:

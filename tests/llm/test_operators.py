@@ -147,6 +147,17 @@ def test_suffix_dedup(docs):
     assert suffix_dedup.deduplicate(docs.limit(0)).count() == 0
 
 
+def test_suffix_dedup_of_repeated_ids(spark):
+    """Of two rows with one id only the copy goes; the other one's text stays, and is a source for larger ids."""
+    own = prose(40)
+    rows = [(1, BASE[0]), (2, BASE[0]), (2, own), (3, own + " " + BASE[1])]
+    got = suffix_dedup.deduplicate(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    size = len(own.encode())
+    left = sorted((r.doc_id, r.n_bytes, r.n_removed) for r in got)
+    assert left[:3] == sorted([(1, len(BASE[0]), 0), (2, len(BASE[0]), len(BASE[0])), (2, size, 0)])
+    assert left[3][2] >= size
+
+
 def test_near_duplicates(docs):
     got = held(jaccard.near_duplicates(docs))
     words = lambda t: [w for w in re.split(r"[^\w]+|_", (t or "").lower()) if w]
