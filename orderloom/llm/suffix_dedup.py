@@ -17,8 +17,10 @@ same places, so it is enough to compare strings around anchors that several docu
    neighbours tell which strings are equal, and all but those of the smallest id are marked.  Marks go back to the part, which cuts
    the bytes.
 
-A very common passage costs one row per part and anchor.  Only suffixes that differ (around the passage's ends) are sent per
-document.
+A very common passage costs one row per part and anchor.  Suffixes that differ (around the passage's ends) are sent per
+document; at an anchor with more than ``HOT_ROWS`` rows in all parts they are sent as their ``LENGTH``-byte strings instead, dealt by the
+hash of the string, and a part sends a string once, for the smallest id.  So a group has at most ``HOT_ROWS`` rows or, for a string, one
+document of each part, however many documents hold the passage.
 
 Defined cases: null text is empty; texts shorter than ``LENGTH`` bytes stay; rows with a null id stay whole and are no source; rows that
 share an id do not cut each other, and each is cut by its own text; equal rows get equal results; an empty table gives an empty result.
@@ -33,6 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +48,8 @@ GRAM = 16
 SPREAD = LENGTH - GRAM  # an anchor lies at most so many bytes after its string's start
 PART_BYTES = 8 << 20
 MAX_PARTS = 50_000
+#: Rows of an anchor in all parts above which its strings are dealt instead of its suffixes.
+HOT_ROWS = 10_000
 _BASE = 0x9E3779B97F4A7C15
 _U = np.uint64
 
@@ -120,38 +125,54 @@ def _place(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _ask(table: pa.Table, extra: pa.Table, buckets: int) -> pa.Table:
-    """The part's distinct anchor hashes per bucket."""
-    found = [np.unique(anchors(data, starts)[1]) for data, starts, _, _ in slices(table, _copies(extra))]
-    hashes = np.unique(np.concatenate(found)) if found else np.empty(0, np.uint64)
-    bucket, rest = _place(hashes, buckets)
-    order = np.lexsort((rest, bucket))
-    bucket, rest = bucket[order].astype(np.int64), rest[order]
+    """The part's distinct anchor hashes per bucket, and which of them it has several rows of: ``(place, rows)`` pairs."""
+    found = [anchors(data, starts)[1] for data, starts, _, _ in slices(table, _copies(extra))]
+    bucket, rest = _place(np.concatenate(found), buckets) if found else (np.empty(0, np.uint64), np.empty(0, np.uint32))
+    codes, count = np.unique((bucket << _U(32)) | rest.astype(np.uint64), return_counts=True)
+    bucket, rest = (codes >> _U(32)).astype(np.int64), codes.astype(np.uint32)
     cut = np.flatnonzero(np.diff(bucket, prepend=-1))
-    blobs = [np.unique(x).tobytes() for x in np.split(rest, cut[1:])] if len(rest) else []
+    blobs, several = [], []
+    for hashes, n in zip(np.split(rest, cut[1:]), np.split(count, cut[1:]), strict=True) if len(rest) else ():
+        blobs.append(hashes.tobytes())
+        some = np.flatnonzero(n > 1)
+        several.append(np.stack([some, n[some]]).astype(np.uint32).tobytes())
     part = table.column("part")[0].as_py() if table.num_rows else 0
-    return pa.table([pa.array(bucket[cut] if len(rest) else [], pa.int64()), pa.array([part] * len(blobs), pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "part", "blob"])
+    arrays = [pa.array(bucket[cut], pa.int64()), pa.array([part] * len(blobs), pa.int64()), pa.array(blobs, pa.binary()), pa.array(several, pa.binary())]
+    return pa.table(arrays, names=["bucket", "part", "blob", "several"])
 
 
-def _answer(asked: pa.Table) -> pa.Table:
-    """For each part of a bucket: those of its hashes that other parts hold too."""
+def _answer(asked: pa.Table, hot_rows: int) -> pa.Table:
+    """For each part of a bucket: those of its hashes that other parts hold too, and which of them have more than ``hot_rows`` rows."""
     blobs = [np.frombuffer(b, np.uint32) for b in asked.column("blob").to_pylist()]
-    values, count = np.unique(np.concatenate(blobs), return_counts=True)
-    shared = values[count > 1]
-    kept = [b[np.isin(b, shared, assume_unique=True)].tobytes() for b in blobs]
-    out = pa.table([asked.column("part"), asked.column("bucket"), pa.array(kept, pa.binary())], names=["part", "bucket", "blob"])
+    values, where, count = np.unique(np.concatenate(blobs), return_inverse=True, return_counts=True)
+    rows = count.astype(np.int64)
+    start = 0
+    for blob, more in zip(blobs, asked.column("several").to_pylist(), strict=True):
+        place, n = np.frombuffer(more, np.uint32).reshape(2, -1).astype(np.int64)
+        rows[where[start + place]] += n - 1  # a part's hashes are distinct
+        start += len(blob)
+    shared, hot = values[count > 1], values[(count > 1) & (rows > hot_rows)]
+    kept, large = ([b[np.isin(b, x, assume_unique=True)].tobytes() for b in blobs] for x in (shared, hot))
+    out = pa.table([asked.column("part"), asked.column("bucket"), pa.array(kept, pa.binary()), pa.array(large, pa.binary())], names=["part", "bucket", "blob", "hot"])
     return out.filter(pa.array([bool(k) for k in kept]))
 
 
+def _codes(extra: pa.Table, column: str) -> np.ndarray:
+    """One sorted list of the (bucket, rest) codes that the answers hold in ``column``."""
+    held = [
+        (_U(b) << _U(32)) | np.frombuffer(x, np.uint32).astype(np.uint64)
+        for b, x in zip(extra.column("bucket").to_pylist(), extra.column(column).to_pylist(), strict=True)
+        if x
+    ]
+    return np.sort(np.concatenate(held)) if held else np.empty(0, np.uint64)
+
+
 SUFFIX = "h bigint, part bigint, rid bigint, doc_id bigint, at bigint, before int, suffix binary"
 
 
 def _suffixes(table: pa.Table, extra: pa.Table, buckets: int) -> pa.Table:
-    """Suffixes around the part's shared anchors; ``suffix`` is null if a smaller id of this part has the same one."""
-    known = {b: np.frombuffer(x, np.uint32) for b, x in zip(extra.column("bucket").to_pylist(), extra.column("blob").to_pylist(), strict=True) if x}
-    order = np.array(sorted(known), np.int64)
-    sizes = [len(known[b]) for b in order]
-    # One sorted list of (bucket, rest) codes to look hashes up in.
-    codes = np.sort((np.repeat(order.astype(np.uint64), sizes) << _U(32)) | np.concatenate([known[b] for b in order]).astype(np.uint64)) if sizes else np.empty(0, np.uint64)
+    """Suffixes around the part's shared anchors, or the strings of hot anchors; what a smaller id of this part has too is settled here."""
+    codes, hot_codes = _codes(extra, "blob"), _codes(extra, "hot")
     skip = _copies(extra)
     local: list[np.ndarray] = []
     for data, starts, _, ids in slices(table, skip):
@@ -163,11 +184,14 @@ def _suffixes(table: pa.Table, extra: pa.Table, buckets: int) -> pa.Table:
     several = every[count > 1]
     rids = table.column("rid").to_numpy()
     out: dict[str, list] = {c.split()[0]: [] for c in SUFFIX.split(", ")}
+    hot: list[bool] = []
     for data, starts, rows, ids in slices(table, skip):
         at, hashes = anchors(data, starts)
         bucket, rest = _place(hashes, buckets)
-        pick = np.isin((bucket << _U(32)) | rest.astype(np.uint64), codes) | np.isin(hashes, several)
+        code = (bucket << _U(32)) | rest.astype(np.uint64)
+        pick = np.isin(code, codes) | np.isin(hashes, several)
         at, hashes = at[pick], hashes[pick]
+        hot += np.isin(code[pick], hot_codes).tolist()
         text = np.searchsorted(starts, at, side="right") - 1
         low, high = np.maximum(at - SPREAD, starts[text]), np.minimum(at + LENGTH, starts[text + 1])
         raw = data.tobytes()
@@ -177,23 +201,38 @@ def _suffixes(table: pa.Table, extra: pa.Table, buckets: int) -> pa.Table:
         out["at"] += (at - starts[text]).tolist()
         out["before"] += (at - low).tolist()
         out["suffix"] += [raw[a:b] for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+    part = table.column("part")[0].as_py() if table.num_rows else 0
+    columns = ("h", "rid", "doc_id", "at", "before", "suffix")
+    rows, settled = _least(list(zip(*(out[c] for c in columns), strict=True)))
+    settled = [(rid, at, -1) for _, rid, _, at, _, _ in settled]
+    if any(hot):
+        large = {h for h, is_hot in zip(out["h"], hot, strict=True) if is_hot}
+        strings = []
+        for h, rid, doc_id, at, before, suffix in rows:
+            if h in large:
+                for x in range(max(0, LENGTH - len(suffix) + before), min(before, SPREAD) + 1):
+                    text = suffix[before - x : before - x + LENGTH]
+                    # Its own window: only the string that starts x before the anchor fits in it.
+                    strings.append((int(np.uint64(xxhash.xxh3_64_intdigest(text, x)).view(np.int64)), rid, doc_id, at, x, text))
+        strings, more = _least(strings)
+        rows = [row for row in rows if row[0] not in large] + strings
+        settled += [(rid, at, 1 << x) for _, rid, _, at, x, _ in more]
+    if settled:
+        # What is settled here travels as one packed row.
+        rows.append((part, 0, 0, 0, -1, packed(*np.array(settled, np.int64).T)))
+    kinds = {c: pa.int32() if c == "before" else pa.binary() if c == "suffix" else pa.int64() for c in out}
+    held = dict(zip(columns, zip(*rows, strict=True), strict=True)) if rows else dict.fromkeys(columns, ())
+    held["part"] = [part] * len(rows)
+    return pa.table([pa.array(list(held[c]), t) for c, t in kinds.items()], names=list(kinds))
+
+
+def _least(rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+    """Rows ``(h, rid, doc_id, at, before, suffix)`` of the smallest id of each window, and the others."""
     first: dict[tuple, int] = {}
-    for key, doc_id in zip(zip(out["before"], out["suffix"], strict=True), out["doc_id"], strict=True):
-        first[key] = min(first.get(key, doc_id), doc_id)
-    out["suffix"] = [
-        s if first[b, s] == d else None for b, s, d in zip(out["before"], out["suffix"], out["doc_id"], strict=True)
-    ]
-    out["part"] = [table.column("part")[0].as_py()] * len(out["h"]) if table.num_rows else []
-    kinds = [pa.int64()] * 5 + [pa.int32(), pa.binary()]
-    found = pa.table([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out))
-    settled = found.filter(found.column("suffix").is_null())
-    if not settled.num_rows:
-        return found
-    # What is settled here travels as one packed row.
-    blob = packed(settled.column("rid").to_numpy(), settled.column("at").to_numpy(), np.full(settled.num_rows, -1))
-    part = settled.column("part")[0].as_py()
-    row = pa.table([pa.array([v], t) for v, t in zip((part, part, 0, 0, 0, -1, blob), kinds, strict=True)], names=list(out))
-    return pa.concat_tables([found.filter(found.column("suffix").is_valid()), row])
+    for _, _, doc_id, _, *key in rows:
+        first[tuple(key)] = min(first.get(tuple(key), doc_id), doc_id)
+    least = [first[row[4], row[5]] == row[2] for row in rows]
+    return [r for r, k in zip(rows, least, strict=True) if k], [r for r, k in zip(rows, least, strict=True) if not k]
 
 
 def packed(rid: np.ndarray, at: np.ndarray, marks: np.ndarray) -> bytes:
@@ -337,7 +376,7 @@ def marked(before: np.ndarray, suffix: list[bytes], doc_id: np.ndarray, anchor:
 def _mark(table: pa.Table) -> pa.Table:
     """Marks of a bucket of suffixes, some whole anchor groups at a time, packed per part.
 
-    What a part has settled itself passes through; its marks are all ones.
+    What a part has settled itself passes through with its marks.
     """
     through = table.filter(pc.equal(table.column("before"), -1))
     table = table.filter(pc.not_equal(table.column("before"), -1)).sort_by("h")
@@ -391,7 +430,7 @@ def _cut(table: pa.Table, extra: pa.Table, keep_bytes: bool) -> pa.Table:
     return pa.table([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in RESULT.split(", ")])
 
 
-def deduplicate(docs: DataFrame, keep_bytes: bool = True, part_bytes: int = PART_BYTES) -> DataFrame:
+def deduplicate(docs: DataFrame, keep_bytes: bool = True, part_bytes: int = PART_BYTES, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and (with ``keep_bytes``) the remaining bytes."""
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -414,8 +453,8 @@ def deduplicate(docs: DataFrame, keep_bytes: bool = True, part_bytes: int = PART
     def with_parts(run, extra: DataFrame, schema: str) -> DataFrame:
         return held.groupBy("part").cogroup(extra.groupBy("part")).applyInArrow(run, schema)
 
-    asked = with_parts(lambda a, b: _ask(a, b, parts), copies, "bucket bigint, part bigint, blob binary")
-    answers = asked.groupBy("bucket").applyInArrow(_answer, "part bigint, bucket bigint, blob binary")
+    asked = with_parts(lambda a, b: _ask(a, b, parts), copies, "bucket bigint, part bigint, blob binary, several binary")
+    answers = asked.groupBy("bucket").applyInArrow(lambda t: _answer(t, hot_rows), "part bigint, bucket bigint, blob binary, hot binary")
     extra = copies.unionByName(answers, allowMissingColumns=True)
     suffixes = with_parts(lambda a, b: _suffixes(a, b, parts), extra, SUFFIX)
     dealt = suffixes.withColumn("deal", F.pmod(F.xxhash64("h"), F.lit(parts))).groupBy("deal")

@@ -5,6 +5,8 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,6 +149,46 @@ def test_suffix_dedup(docs):
     assert suffix_dedup.deduplicate(docs.limit(0)).count() == 0
 
 
+def removed_bytes(texts):
+    """Of each text, in the order of ids, the bytes that a smaller id's 50-byte strings cover."""
+    seen, out = {}, []
+    for i, t in enumerate(texts):
+        b, gone = t.encode(), set()
+        for p in range(len(b) - 49):
+            if seen.setdefault(b[p : p + 50], i) < i:
+                gone.update(range(p, p + 50))
+        out.append(len(gone))
+    return out
+
+
+def test_suffix_dedup_of_a_very_common_passage(spark):
+    """Anchors at the ends of a passage have another suffix in each document; no group holds them all."""
+    rng = random.Random(8)
+    ends = [prose(4, rng) for _ in range(6)]  # some neighbourhoods repeat too
+    around = lambda: rng.choice(ends) if rng.random() < 0.5 else prose(rng.randint(3, 30), rng)
+    texts = [f"{around()} {PASSAGE} {around()}" for _ in range(300)] + [f"{PASSAGE} {PASSAGE}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    for hot_rows in (20, 10_000):
+        got = suffix_dedup.deduplicate(df, part_bytes=4000, hot_rows=hot_rows).collect()
+        assert [n for _, n in sorted((r.doc_id, r.n_removed) for r in got)] == removed_bytes(texts)
+    tables = []
+    for part in range(4):
+        own = [(i, t) for i, t in enumerate(texts) if i % 4 == part]
+        ids, held_ = zip(*own, strict=True)
+        tables.append(pa.table({"part": [part] * len(ids), "rid": ids, "doc_id": ids, "text": held_}))
+    none = pa.table({"copies": pa.array([None], pa.list_(pa.int64()))})
+    asked = pa.concat_tables([suffix_dedup._ask(t, none, 1) for t in tables])
+    answers = suffix_dedup._answer(asked, 20)
+    sizes = {}
+    for part, t in enumerate(tables):
+        extra = answers.filter(pc.equal(answers.column("part"), part))
+        extra = extra.append_column("copies", pa.nulls(extra.num_rows, pa.list_(pa.int64())))
+        for h, before in zip(*(suffix_dedup._suffixes(t, extra, 1).column(c).to_pylist() for c in ("h", "before")), strict=True):
+            if before >= 0:
+                sizes[h] = sizes.get(h, 0) + 1
+    assert max(sizes.values()) <= 20  # 300 documents before
+
+
 def test_suffix_dedup_of_repeated_ids(spark):
     """Of two rows with one id only the copy goes; the other one's text stays, and is a source for larger ids."""
     own = prose(40)
