@@ -11,9 +11,6 @@ from orderloom.llm import decontam, jaccard, lang_id, licenses, mixing, pii, sec
 from orderloom.llm.shared import read_table
 from orderloom.session import shared_dir
 
-#: Documents of at most so many words count as license files if they match a template.
-LICENSE_FILE_WORDS = 12
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -47,12 +44,13 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files of ``source/language/`` folders; a short document that is mostly a notice is a license file."""
-    docs = read_table(spark, sf_dir, "documents")
-    path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), F.concat(F.lit("doc-"), F.col("doc_id")))
-    notice = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"\S+")) <= LICENSE_FILE_WORDS
-    files = docs.select(F.col("doc_id").alias("id"), path.alias("path"), "text", notice.alias("is_license"))
-    return licenses.scan(files).withColumnRenamed("id", "doc_id")
+    """Documents, which have no path, by their own text; pages as files of their host's directories, by their visible text."""
+    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.lit(None).cast("string").alias("path"), "text")
+    path = F.regexp_replace("url", r"^[A-Za-z]+://|[?#].*$", "")
+    shown = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>|<[^>]*>|&#?\w+;", " ")
+    pages = read_table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), path.alias("path"), shown.alias("text"))
+    found = [licenses.scan(files).select(F.lit(name).alias("table"), "*") for name, files in (("documents", docs), ("pages", pages))]
+    return found[0].unionByName(found[1]).withColumnRenamed("id", "doc_id")
 
 
 def op9_vp_trees(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,8 @@ words are all known get their cosine at once; the few others that may still reac
 their rare words.  The best template at or above ``THRESHOLD`` is the file's own license; below it, the score is the best of the
 windows that the bound left.
 
-A file without one inherits from license files (by name, or by ``is_license``) of the nearest ancestor directory: every
+A file without one inherits from license files (by ``is_license`` where it is given, else by name or if the window that gave the
+license has at least ``LICENSE_SHARE`` of the file's words) of the nearest ancestor directory: every
 ancestor path of a directory is a row, joined by equality with the directories that have license files, and the deepest wins.
 Directories are distinct rows, so a directory with most files is one row in these joins.
 
@@ -61,6 +62,7 @@ WIDTHS = (6, 10, 20)
 THRESHOLD = 0.75
 #: At most so many words' weights are sent to every task; the others are joined.
 FREQUENT = 50_000
+LICENSE_SHARE = 0.5
 LICENSE_FILE = r"(?i)^(?:licen[cs]e|copying|notice)(?:[.-].*)?$"
 
 
@@ -116,21 +118,23 @@ def known_weights(frequencies: DataFrame, vocabulary: list[str], total: int) ->
 
 
 class Window(NamedTuple):
-    """A window with words of unknown weight: product with its best template, squared norm of the known words, and the others."""
+    """A window with words of unknown weight: product with its best template, squared norm of the known words, its
+    length, and the others."""
 
     dot: float
     which: int
     norm2: float
+    words: int
     others: list[dict]
 
 
-def best_windows(hashes: np.ndarray, offsets: np.ndarray, known: Weights, templates: np.ndarray, widths: list[int], threshold: float) -> tuple[np.ndarray, np.ndarray, list[list[Window]]]:
-    """Best cosine of each text and its template, by windows of known words; and each text's other windows that may be better.
+def best_windows(hashes: np.ndarray, offsets: np.ndarray, known: Weights, templates: np.ndarray, widths: list[int], threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[Window]]]:
+    """Best cosine of each text, its template and the window's words, by windows of known words; and each text's other windows that may be better.
 
     ``templates`` are unit rows.
     """
     n, terms = len(offsets) - 1, templates.shape[1]
-    best, which = np.zeros(n), np.zeros(n, np.int64)
+    best, which, length = np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
     open_: list[list[tuple[float, Window]]] = [[] for _ in range(n)]
     at = np.minimum(np.searchsorted(known.hashes, hashes), len(known.hashes) - 1)
     here = known.hashes[at] == hashes
@@ -168,17 +172,17 @@ def best_windows(hashes: np.ndarray, offsets: np.ndarray, known: Weights, templa
                     if v >= threshold - 1e-9:
                         _, first = np.unique(row[i], return_index=True)
                         others = [{"h": int(row[i, j].view(np.int64)), "tf": int(tf[i, j])} for j in first if not known_[i, j]]
-                        open_[t].append((v, Window(float(dot[i]), int(k), float(squares[i][known_[i]].sum()), others)))
+                        open_[t].append((v, Window(float(dot[i]), int(k), float(squares[i][known_[i]].sum()), int(end[pick[i]] - start[pick[i]]), others)))
                 elif v > best[t] + 1e-12 or (abs(v - best[t]) <= 1e-12 and v > 0 and k < which[t]):
-                    best[t], which[t] = v, k
-    return best, which, [[w for v, w in ws if v >= best[t] - 1e-12] for t, ws in enumerate(open_)]
+                    best[t], which[t], length[t] = v, k, end[pick[i]] - start[pick[i]]
+    return best, which, length, [[w for v, w in ws if v >= best[t] - 1e-12] for t, ws in enumerate(open_)]
 
 
-OPEN = "array<struct<dot:double,which:int,norm2:double,others:array<struct<h:bigint,tf:int>>>>"
+OPEN = "array<struct<dot:double,which:int,norm2:double,words:int,others:array<struct<h:bigint,tf:int>>>>"
 
 
 def own_licenses(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``(id, path, is_license, license, score)`` of each file by its own text."""
+    """``(id, path, is_license, license, score, share)`` of each file by its own text."""
     vocabulary, names, counts = template_words()
     frequencies = materialise(document_frequencies(files), "license-words")
     total = (frequencies.filter("h is null").first() or {"n": 0})["n"]
@@ -189,40 +193,44 @@ def own_licenses(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     unit = unit / np.sqrt((unit**2).sum(axis=1, keepdims=True))
     widths = sorted({*WIDTHS, *counts.sum(axis=1).astype(int).tolist()})
     others = pa.list_(pa.struct([("h", pa.int64()), ("tf", pa.int32())]))
-    kind = pa.list_(pa.struct([("dot", pa.float64()), ("which", pa.int32()), ("norm2", pa.float64()), ("others", others)]))
+    kind = pa.list_(pa.struct([("dot", pa.float64()), ("which", pa.int32()), ("norm2", pa.float64()), ("words", pa.int32()), ("others", others)]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            best, which, more = best_windows(*word_hashes(batch.column("text")), known, unit, widths, threshold)
+            hashes, offsets = word_hashes(batch.column("text"))
+            best, which, length, more = best_windows(hashes, offsets, known, unit, widths, threshold)
             columns = [batch.column(c) for c in ("rid", "id", "path", "is_license")]
             rows = pa.array([[w._asdict() for w in ws] for ws in more], kind)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(which), pa.array(best), rows], ["rid", "id", "path", "is_license", "which", "score", "open"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(which), pa.array(best), pa.array(length), pa.array(np.diff(offsets)), rows], ["rid", "id", "path", "is_license", "which", "score", "words", "size", "open"])
 
-    schema = f"rid bigint, id bigint, path string, is_license boolean, which bigint, score double, open {OPEN}"
+    schema = f"rid bigint, id bigint, path string, is_license boolean, which bigint, score double, words bigint, size bigint, open {OPEN}"
     held = materialise(files.select(F.monotonically_increasing_id().alias("rid"), "id", "path", "is_license", "text").mapInArrow(run, schema), "license-windows")
-    score, which = F.col("score"), F.col("which")
+    score, which, length = F.col("score"), F.col("which"), F.col("words")
     if not complete:
-        rare = held.select("rid", F.posexplode("open").alias("k", "w")).select("rid", "k", "w.dot", "w.which", "w.norm2", F.inline("w.others"))
+        rare = held.select("rid", F.posexplode("open").alias("k", "w")).select("rid", "k", "w.dot", "w.which", "w.norm2", "w.words", F.inline("w.others"))
         weight = F.col("tf") * (F.log((1 + total) / (1 + F.col("n"))) + 1)
         norm2 = F.first("norm2") + F.sum(weight * weight * 1.0)
-        cosines = rare.join(frequencies, "h").groupBy("rid", "k").agg((F.first("dot") / F.sqrt(norm2)).alias("s"), F.first("which").alias("t"))
-        found = cosines.groupBy("rid").agg(F.min(F.struct((-F.round("s", 12)).alias("s"), "t")).alias("x"))
+        cosines = rare.join(frequencies, "h").groupBy("rid", "k").agg((F.first("dot") / F.sqrt(norm2)).alias("s"), F.first("which").alias("t"), F.first("words").alias("w"))
+        found = cosines.groupBy("rid").agg(F.min(F.struct((-F.round("s", 12)).alias("s"), "t", "w")).alias("x"))
         held = held.join(found, "rid", "left")
         s = -F.col("x.s")
         better = F.coalesce((s > score + 1e-12) | ((F.abs(s - score) <= 1e-12) & (F.col("x.t") < which)), F.lit(False))
-        score, which = F.when(better, s).otherwise(score), F.when(better, F.col("x.t")).otherwise(which)
-    held = held.select("id", "path", "is_license", score.alias("score"), which.cast("int").alias("which"))
+        score, which, length = (F.when(better, x).otherwise(y) for x, y in ((s, score), (F.col("x.t"), which), (F.col("x.w"), length)))
+    share = F.when(F.col("size") > 0, length / F.col("size")).otherwise(0.0)
+    held = held.select("id", "path", "is_license", score.alias("score"), which.cast("int").alias("which"), share.alias("share"))
     license_ = F.when(F.col("score") >= threshold - 1e-12, F.get(F.array(*map(F.lit, names)), "which"))
-    return held.select("id", "path", "is_license", license_.alias("license"), "score")
+    return held.select("id", "path", "is_license", license_.alias("license"), "score", "share")
 
 
 def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(id, path, license, score, origin, from_dir)`` of ``(id, path, text[, is_license])`` rows; origin is own, inherited or null."""
     bounded_batches(files.sparkSession)
     named = F.regexp_extract("path", r"([^/]*)$", 1).rlike(LICENSE_FILE)
-    marked = F.coalesce(F.col("is_license"), named) if "is_license" in files.columns else named
-    rows = files.select(F.col("id").cast("bigint").alias("id"), F.col("path").cast("string").alias("path"), "text", F.coalesce(marked, F.lit(False)).alias("is_license"))
+    given = F.col("is_license") if "is_license" in files.columns else F.lit(None).cast("boolean")
+    rows = files.select(F.col("id").cast("bigint").alias("id"), F.col("path").cast("string").alias("path"), "text", given.alias("is_license"))
     found = materialise(own_licenses(rows, threshold), "license-own")
+    marked = F.coalesce("is_license", F.coalesce(named, F.lit(False)) | (F.col("share") >= LICENSE_SHARE))
+    found = found.withColumn("is_license", marked)
     folder = F.when(F.col("path").contains("/"), F.regexp_replace("path", r"/[^/]*$", "")).when(F.col("path").isNotNull(), F.lit(""))
     found = found.withColumn("dir", folder)
     owned = found.filter(F.col("is_license") & F.col("license").isNotNull() & F.col("dir").isNotNull())

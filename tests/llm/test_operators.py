@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontam, jaccard, lang_id, licenses, mixing, pii, secrets, suffix_dedup, warc
+from orderloom.llm import catalog, decontam, jaccard, lang_id, licenses, mixing, pii, secrets, suffix_dedup, warc
 from orderloom.session import shared_dir
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, key string, score double, kind int"
@@ -290,6 +290,28 @@ def test_license_notices_in_a_large_table(spark, monkeypatch, frequent):
     assert got[100][1] == pytest.approx(np.sqrt(notice / (notice + idf("rare") ** 2)))
 
 
+def test_license_query_on_pages(spark, tmp_path):
+    """License pages of any length pass their license down the host's directories; documents only have their own."""
+    notice = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"
+    html = lambda t: f"<html><style>p{{}}</style><body><p>{t}</p></body></html>"
+    pages = [
+        (1, "https://h.example/src/license.html?x=1", html(f"{notice} {prose(150)}")), (2, "http://h.example/src/a/b/page#top", html(prose(40))),
+        (3, "https://h.example/other/page", html(prose(40))), (4, "https://h.example/src/a/grant", html(notice.replace(" to any", " <b>to</b> any"))),
+        (5, "https://h.example/src/page", html(prose(40))), (6, "https://h.example/other/b/long", html(f"{prose(100)} Licensed under CC BY 4.0")),
+        (7, "https://h.example/other/b/x", html(prose(30))), (8, None, None),
+    ]
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    docs = [(1, "Released under the MIT License.", "en", "s"), (2, prose(20), "en", "s"), (None, prose(20), "en", "s")]
+    spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.table, r.doc_id): (r.license, r.origin, r.from_dir) for r in catalog.op8_license_scan(spark, str(tmp_path)).collect()}
+    none = (None, None, None)
+    assert got == {
+        ("pages", 1): ("MIT", "own", None), ("pages", 2): ("MIT", "inherited", "h.example/src/a"), ("pages", 3): none,
+        ("pages", 4): ("MIT", "own", None), ("pages", 5): ("MIT", "inherited", "h.example/src"), ("pages", 6): ("CC-BY-4.0", "own", None),
+        ("pages", 7): none, ("pages", 8): none, ("documents", 1): ("MIT", "own", None), ("documents", 2): none, ("documents", None): none,
+    }
+
+
 def test_warc_round_trip(spark):
     long = "x" * 150
     rows = [(5, "u5", long), (2, "u2", long), (9, "u9", long), (3, "u3", "short"), (4, "u4", "short"), (6, None, None), (7, "a\r\nb", "é😀\r\n\r\n" * 40), (None, "n", long)]
