@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.graph import components
-from orderloom.llm.shared import bounded_batches
+from orderloom.llm.shared import bounded_batches, numbered, row_key
 from orderloom.llm.words import distinct_per_text, mixed, shingles, word_hashes
 from orderloom.session import materialise
 
@@ -285,12 +285,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each group (that with the smallest id); rows that repeat an id count once, null ids all stay."""
-    found = materialise(near_duplicates(docs), "jaccard-result")
-    known = found.filter(F.col("doc_id").isNotNull())
-    kept_ids = known.groupBy("doc_id").agg(F.min(F.col("class_id") == F.col("doc_id")).alias("own"), F.count("*").alias("n"))
-    gone = kept_ids.filter(~F.col("own")).select(F.col("doc_id").alias("__id"))
-    kept = docs.join(gone, docs["doc_id"] == F.col("__id"), "left_anti")
-    if kept_ids.filter(F.col("n") > 1).isEmpty():
-        return kept
-    return kept.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(kept.filter(F.col("doc_id").isNull()))
+    """One row of each group, that with the smallest id; null ids all stay.
+
+    Rows are told apart by id and text: where ids repeat with different texts, each (id, text) takes part under a number of its own, in
+    the order of ids.  Of equal ids and texts the row with the smallest other columns stays.
+    """
+    ids = docs.filter(F.col("doc_id").isNotNull())
+    if ids.groupBy("doc_id").count().filter(F.col("count") > 1).isEmpty():
+        found = near_duplicates(docs).filter(F.col("doc_id").isNotNull() & (F.col("class_id") != F.col("doc_id")))
+        gone = materialise(found.select(F.col("doc_id").alias("__id")), "jaccard-result")
+        return docs.join(gone, docs["doc_id"] == F.col("__id"), "left_anti")
+    key = row_key(F.col("doc_id"), F.col("text"))
+    keys = numbered(ids.select("doc_id", key.alias("key")).distinct(), [F.col("doc_id"), F.col("key")], "n", "jaccard-keys")
+    apart = ids.select("text", key.alias("key")).join(keys.select("key", "n"), "key").groupBy("n").agg(F.min("text").alias("text"))
+    apart = materialise(apart.withColumnRenamed("n", "doc_id"), "jaccard-rows")
+    found = near_duplicates(apart).filter(F.col("class_id") == F.col("doc_id")).select(F.col("doc_id").alias("n"))
+    stay = materialise(keys.join(found, "n").select(F.col("key").alias("__key")), "jaccard-result")
+    kept = ids.select(key.alias("__key"), F.struct(*ids.columns).alias("row")).join(stay, "__key").groupBy("__key").agg(F.min("row").alias("row"))
+    return kept.select("row.*").unionByName(docs.filter(F.col("doc_id").isNull()))

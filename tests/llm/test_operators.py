@@ -215,6 +215,15 @@ def test_near_duplicates(docs):
     assert jaccard.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_one_row_of_each_text_class_with_repeated_ids(spark):
+    """Rows of one id with different texts are decided each on its own."""
+    near = " ".join([*BASE[0].split()[:-1], "changed"])
+    rows = [(1, BASE[0]), (2, BASE[0]), (2, BASE[1]), (3, BASE[2]), (3, BASE[3]), (3, BASE[3]), (4, BASE[3]), (5, near), (5, BASE[4]), (6, None), (6, BASE[1]), (None, BASE[0])]
+    kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    want = [(1, BASE[0]), (2, BASE[1]), (3, BASE[2]), (3, BASE[3]), (5, BASE[4]), (6, None), (None, BASE[0])]
+    assert sorted(map(tuple, kept), key=str) == sorted(want, key=str)
+
+
 def test_blocks_count_all_pairs(spark, monkeypatch):
     """A group larger than a block and a bucket gives the same links."""
     monkeypatch.setattr(jaccard, "BLOCK", 7)
