@@ -7,7 +7,8 @@ suffix of its address, and its host.  The posterior is proportional to
 
 The text model is fitted on a documented bounded sample (``TRAIN_DOCS``) of the rows that declare a language; everything else
 - how reliable declarations are, suffixes by language, host priors smoothed towards their suffix and that towards the whole
-corpus - is counted by grouped aggregation over all rows.  The unknown language ``und`` has flat grams; a document that it
+corpus - is counted by grouped aggregation over all rows.  The unknown language ``und`` has flat grams and the prior
+``UNKNOWN_PRIOR`` in every host, whatever the sizes of table and host, as no row is counted for it; a document that it
 wins, or without letters, or whose best language stays below ``LEAST`` is rejected.
 
 Scale: text is read twice (fit, score) and never shuffled; later steps handle narrow rows.  Host priors are one row per
@@ -42,6 +43,8 @@ HOST_WEIGHT = 20.0
 LEAST = 0.5
 LANGUAGE = r"^\s*([A-Za-z]{2,3})(?:[-_].*)?\s*$"
 UNKNOWN = "und"
+#: Prior of the unknown language in any table and host.
+UNKNOWN_PRIOR = 1e-3
 
 
 def gram_bins(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -163,7 +166,7 @@ def identify(docs: DataFrame, least: float = LEAST, train_docs: int = TRAIN_DOCS
     declared, suffix = table("declared"), table("suffix")
     total = {r["text_lang"]: r["count"] for r in seen.groupBy("text_lang").count().collect()}
     everything = sum(total.values())
-    share = [(total.get(l, 0) + 1) / (everything + len(all_names)) for l in all_names]
+    share = [(total.get(l, 0) + 1) / (everything + len(names)) for l in names]
 
     def likelihood(counts: dict[str, dict[str, int]]) -> dict[str, list[float]]:
         """log P(value | language), smoothed by one row."""
@@ -180,10 +183,10 @@ def identify(docs: DataFrame, least: float = LEAST, train_docs: int = TRAIN_DOCS
     def parent(s: str | None) -> list[float]:
         n = suffix.get(s, {})
         size = sum(n.values())
-        return [(n.get(l, 0) + HOST_WEIGHT * p) / (size + HOST_WEIGHT) for l, p in zip(all_names, share, strict=True)]
+        return [(n.get(l, 0) + HOST_WEIGHT * p) / (size + HOST_WEIGHT) for l, p in zip(names, share, strict=True)]
 
     parents = [x for s in suffix for x in (F.lit(s), F.array(*map(F.lit, parent(s))))]
-    corpus = F.array(*map(F.lit, parent(None)))
+    corpus = F.array(*map(F.lit, parent(None))) if names else F.array().cast("array<double>")
     above = F.coalesce(F.try_element_at(F.create_map(*parents), F.col("suffix")), corpus) if parents else corpus
     by_host = (
         seen.filter(F.col("host").isNotNull())
@@ -193,9 +196,10 @@ def identify(docs: DataFrame, least: float = LEAST, train_docs: int = TRAIN_DOCS
     own = lambda l: F.coalesce(F.try_element_at(F.col("n"), F.lit(l)), F.lit(0))
     prior = F.array(
         *(
-            F.log((own(l) + HOST_WEIGHT * F.get(F.col("above"), i)) / (F.coalesce("size", F.lit(0)) + HOST_WEIGHT))
-            for i, l in enumerate(all_names)
-        )
+            math.log(1 - UNKNOWN_PRIOR) + F.log((own(l) + HOST_WEIGHT * F.get(F.col("above"), i)) / (F.coalesce("size", F.lit(0)) + HOST_WEIGHT))
+            for i, l in enumerate(names)
+        ),
+        F.lit(math.log(UNKNOWN_PRIOR)),
     )
     fused = scored.select("*", above.alias("above")).join(by_host, "host", "left")
     add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)

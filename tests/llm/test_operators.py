@@ -299,6 +299,26 @@ def test_license_notices_in_a_large_table(spark, monkeypatch, frequent):
     assert got[100][1] == pytest.approx(np.sqrt(notice / (notice + idf("rare") ** 2)))
 
 
+def test_unidentifiable_text_in_hosts_of_all_sizes(spark):
+    """One gibberish text is rejected alike in a small host and in one that owns most rows."""
+    rng = random.Random(2)
+    alphabets = {"en": ["the", "and", "ing", "tion", "th"], "de": ["sch", "ung", "ein", "lich", "ß"]}
+    odd = ["".join(rng.choice("bqxzvkjwp") for _ in range(n)) for n in range(6, 60, 2)]
+    hosts = {"hot": 3000} | {f"small{i}": 20 for i in range(len(odd))}
+    rows = []
+    for host, n in hosts.items():
+        for i in range(n):
+            lang = ("en", "de")[i % 2]
+            rows.append((len(rows), " ".join("".join(rng.choices(alphabets[lang], k=3)) for _ in range(20)), lang, host))
+    first = len(rows)
+    rows += [(first + i, odd[i // 2], None, ("hot", f"small{i // 2}")[i % 2]) for i in range(2 * len(odd))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    got = {r.doc_id: r.accepted for r in held(lang_id.identify(df))}
+    assert all(got[i] for i in range(first))
+    assert [got[first + 2 * i] for i in range(len(odd))] == [got[first + 2 * i + 1] for i in range(len(odd))]
+    assert not got[first + 2 * len(odd) - 1]
+
+
 def test_license_query_on_pages(spark, tmp_path):
     """License pages of any length pass their license down the host's directories; documents only have their own."""
     notice = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"
