@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontam, jaccard, lang_id, licenses, mixing, pii, secrets, suffix_dedup, vptree, warc
+from orderloom.llm import (
+    decontam, importance, jaccard, lang_id, licenses, merkle, mixing, pii, secrets, suffix_dedup, url_filter, vptree, warc,
+)
 from orderloom.llm.shared import read_table
 from orderloom.session import shared_dir
 
@@ -62,11 +64,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "lang", "posterior", "text_lang", "declared", "accepted")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(read_table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.verdicts(read_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_warc_writer, op2_pii, op3_decontamination, op4_mixing, op5_suffix_dedup, op6_secrets, op7_jaccard_join,
-        op8_license_scan, op9_vp_trees, op10_language_id,
+        op8_license_scan, op9_vp_trees, op10_language_id, op11_merkle_manifest, op12_importance_resampling, op13_url_filter,
     )
 }
 
