@@ -51,6 +51,17 @@ def _split(clean: DataFrame, split: str, label: str, seed: int) -> tuple[DataFra
     return written.where(~F.col("is_test")).drop("is_test"), written.where("is_test").drop("is_test")
 
 
+def _plain(model):
+    """The fitted model without its training summary.
+
+    The summary holds the training frame and its session, which every task that scores would be sent; once
+    the session counts an observation it can not even be sent.
+    """
+    jvm = SparkSession.active()._jvm
+    model._java_obj.setSummary(jvm.scala.Option.empty())
+    return model
+
+
 def fit_return_model(
     train: DataFrame, exclude: Iterable[str] = (), class_weights: bool = False
 ) -> tuple[PipelineModel, list[str]]:
@@ -75,7 +86,7 @@ def fit_return_model(
         rows = rows.withColumn("weight", F.when(F.col("label") == 1, positive).otherwise(negative))
         model = model.setWeightCol("weight")
     matrix = assembler.transform(prepared.transform(rows)).where(F.col("label").isNotNull())
-    return PipelineModel([prepared, assembler, model.fit(matrix)]), prepared.features
+    return PipelineModel([prepared, assembler, _plain(model.fit(matrix))]), prepared.features
 
 
 def fit_basket_model(train: DataFrame, exclude: Iterable[str] = ()) -> tuple[PipelineModel, list[str]]:
@@ -93,7 +104,7 @@ def fit_basket_model(train: DataFrame, exclude: Iterable[str] = ()) -> tuple[Pip
     assembler = VectorAssembler(inputCols=prepared.features, outputCol="features")
     rows = train.withColumn("label", F.col(BASKET_TARGET).cast("double"))
     matrix = assembler.transform(prepared.transform(rows))
-    model = LinearRegression(regParam=0.0, solver="normal").fit(matrix)
+    model = _plain(LinearRegression(regParam=0.0, solver="normal").fit(matrix))
     return PipelineModel([prepared, assembler, model]), prepared.features
 
 

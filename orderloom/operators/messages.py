@@ -6,9 +6,9 @@ and the stream.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from orderloom import schemas
@@ -23,6 +23,9 @@ RETURNED_DEFAULT = False
 
 BLANK, NOT_JSON, NOT_OBJECT = "blank line", "invalid JSON", "not an object"
 
+#: How the messages of a batch went: as the publisher counts its lines, and how many of those sent were refused or accepted.
+INTAKE_COUNTS = ("sent", "skipped_empty", "skipped_invalid_json", "refused", "good")
+
 
 def _parse(lines: DataFrame, value: str) -> DataFrame:
     """Add ``line`` (stripped) and ``parsed`` {fields, valid}.
@@ -70,6 +73,38 @@ def line_counts(lines: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def observe_lines(lines: DataFrame, counts: Observation, value: str = "value") -> DataFrame:
+    """The lines with ``line`` and ``valid``, counted like ``line_counts`` in the pass that first reads them.
+
+    ``counts.get`` has the figures after that pass; it is no scan of its own.
+    """
+    checked = lines.withColumn("line", text.strip(F.col(value))).withColumn("valid", m.is_valid_json(F.col("line")))
+    blank = F.coalesce(F.length("line"), F.lit(0)) == 0
+    return checked.observe(
+        counts,
+        F.count_if(~blank & F.col("valid")).alias("sent"),
+        F.count_if(blank).alias("skipped_empty"),
+        F.count_if(~blank & ~F.col("valid")).alias("skipped_invalid_json"),
+    )
+
+
+def observe_refused(refused: DataFrame, counts: Observation) -> DataFrame:
+    """Refused messages, counted by kind of reason in the pass that writes them."""
+    reason = F.col("reason")
+    return refused.observe(
+        counts,
+        F.count_if(reason == BLANK).alias("skipped_empty"),
+        F.count_if(reason == NOT_JSON).alias("skipped_invalid_json"),
+        F.count_if(~reason.isin(BLANK, NOT_JSON)).alias("refused"),
+    )
+
+
+def intake_counts(refused: Mapping[str, int], accepted: Mapping[str, int]) -> tuple[int, ...]:
+    """``INTAKE_COUNTS`` of a batch from what its two passes observed; what is sent is refused or good."""
+    good, bad = accepted["good"], refused["refused"]
+    return good + bad, refused["skipped_empty"], refused["skipped_invalid_json"], bad, good
+
+
 def payload(lines: DataFrame, value: str = "value", max_messages: int | None = None) -> DataFrame:
     """(key, value) rows to publish: valid lines, keyed by a textual non-blank event id."""
     good = lines.select(text.strip(F.col(value)).alias("value")).where(F.length("value") > 0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from orderloom import schemas
@@ -20,29 +20,31 @@ def any_null(columns: Iterable[str]) -> Column:
 # ---- star schema -----------------------------------------------------------
 
 
-def customers(clean: DataFrame, ties: Iterable[str] = ("event_id",)) -> DataFrame:
+def _newest(clean: DataFrame, columns: Iterable[str], key: str, ties: Iterable[str], as_of: str | None) -> DataFrame:
+    """The columns of each key's newest event; ``as_of`` names a column for that event's time."""
+    columns, time = list(columns), F.col("event_time")
+    needed = list(dict.fromkeys([*columns, "event_time", *ties]))
+    first = dedup.latest_per_key(clean.select(*needed), key, "event_time", ties)
+    return first.select(*columns, *([time.alias(as_of)] if as_of else []))
+
+
+def customers(clean: DataFrame, ties: Iterable[str] = ("event_id",), as_of: str | None = None) -> DataFrame:
     """One row per customer: the first met in newest-first order."""
-    return dedup.latest_per_key(
-        clean.select(*schemas.CUSTOMER_COLUMNS, "event_time", *ties), "customer_customer_id", "event_time", ties
-    ).select(*schemas.CUSTOMER_COLUMNS)
+    return _newest(clean, schemas.CUSTOMER_COLUMNS, "customer_customer_id", ties, as_of)
 
 
-def orders(clean: DataFrame, ties: Iterable[str] = ("event_id",)) -> DataFrame:
+def orders(clean: DataFrame, ties: Iterable[str] = ("event_id",), as_of: str | None = None) -> DataFrame:
     """One row per order: the first met in newest-first order."""
-    return dedup.latest_per_key(
-        clean.select(*schemas.ORDER_COLUMNS, "event_time", *ties), "order_id", "event_time", ties
-    ).select(*schemas.ORDER_COLUMNS)
+    return _newest(clean, schemas.ORDER_COLUMNS, "order_id", ties, as_of)
 
 
-def events(clean: DataFrame, ties: Iterable[str] = ()) -> DataFrame:
+def events(clean: DataFrame, ties: Iterable[str] = (), as_of: str | None = None) -> DataFrame:
     """One row per event."""
-    return dedup.latest_per_key(
-        clean.select(*schemas.EVENT_COLUMNS, *ties), "event_id", "event_time", ties
-    ).select(*schemas.EVENT_COLUMNS)
+    return _newest(clean, schemas.EVENT_COLUMNS, "event_id", ties, as_of)
 
 
-def star(clean: DataFrame) -> dict[str, DataFrame]:
-    return {"customers": customers(clean), "orders": orders(clean), "events": events(clean)}
+def star(clean: DataFrame, as_of: str | None = None) -> dict[str, DataFrame]:
+    return {name: build(clean, as_of=as_of) for name, build in (("customers", customers), ("orders", orders), ("events", events))}
 
 
 def star_wide(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -104,7 +106,7 @@ def handled_keys(clean: DataFrame) -> DataFrame:
     """Distinct customers, orders and events of a batch (missing ids count as one key)."""
 
     def distinct(c: str) -> Column:
-        return F.countDistinct(c) + F.max(F.col(c).isNull().cast("int"))
+        return F.countDistinct(c) + F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0))
 
     return clean.agg(
         distinct("customer_customer_id").alias("customers_upserted"),
@@ -120,11 +122,13 @@ def snapshot_upsert(
     order_col: str = "event_time",
     ties: Iterable[str] = (),
     sequence: Iterable[str] = (),
+    within: Iterable[str] = (),
 ) -> DataFrame:
     """Merge a batch into the stored set and keep the newest row per key.
 
     Columns are aligned on the sorted union.  Without the time column the last
-    row by ``sequence`` wins.  On equal times the incoming row wins.
+    row by ``sequence`` wins.  On equal times the incoming row wins.  ``within`` names columns that
+    follow from the key (its bucket): the rows are dealt by them, and stay so for the write.
     """
     merged = incoming if stored is None else project.align_union(
         stored.withColumn("__batch", F.lit(0)), incoming.withColumn("__batch", F.lit(1))
@@ -132,11 +136,15 @@ def snapshot_upsert(
     if stored is None:
         merged = merged.withColumn("__batch", F.lit(1))
     project.require_columns(merged, [key], "upsert")
+    within = list(within)
+    if within:
+        merged = merged.repartition(*within)
+    keys = [*within, key]
     if order_col in merged.columns:
         order = [F.col(order_col).desc_nulls_last(), F.col("__batch").desc(), *[F.col(t).asc() for t in ties]]
-        latest = dedup.first_per_key(merged, key, order)
+        latest = dedup.first_per_key(merged, keys, order)
     else:
-        latest = dedup.last_by_sequence(merged, key, ["__batch", *sequence])
+        latest = dedup.last_by_sequence(merged, keys, ["__batch", *sequence])
     return latest.drop("__batch")
 
 
@@ -203,6 +211,19 @@ def enforce_not_null(df: DataFrame, columns: Iterable[str] | None = None) -> Dat
     )
 
 
+def split_not_null(df: DataFrame, columns: Iterable[str] | None = None) -> tuple[DataFrame, Observation]:
+    """Rows with ``verdict`` (``valid``, or ``quarantine`` for a missing value) and ``null_columns``, and their counts.
+
+    The counts are of the pass that first reads the rows: nothing is scanned for them.
+    """
+    columns = list(columns or df.columns)
+    counts = Observation()
+    bad = any_null(columns)
+    names = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in columns])
+    seen = df.observe(counts, F.count_if(~bad).alias("valid"), F.count_if(bad).alias("quarantine"))
+    return seen.withColumns({"null_columns": F.when(bad, names), "verdict": F.when(bad, "quarantine").otherwise("valid")}), counts
+
+
 def predictions_for_upsert(
     rows: DataFrame, tables: Mapping[str, DataFrame], validate: bool = True, ties: Iterable[str] = ()
 ) -> DataFrame:

@@ -5,6 +5,7 @@ from orderloom.plans import (  # noqa: F401
     catalog_models,
     catalog_relational,
     catalog_reports,
+    catalog_store,
     catalog_stream,
 )
 from orderloom.plans.registry import CHECKS, QUERIES

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from orderloom import schemas
 from orderloom.operators import clean as cleaning
@@ -32,6 +32,7 @@ class EtlResult:
     clean: DataFrame
     exports: dict[str, str]
     star_counts: dict[str, int] | None
+    line_counts: dict[str, int] | None = None
 
 
 def run(
@@ -41,24 +42,31 @@ def run(
     star: bool = True,
     export: bool = True,
     tolerant: bool = False,
+    on_null: str = "fail",
 ) -> EtlResult:
     """Read a raw JSON file or folder, clean it, merge it into the stored set.
 
-    ``root/clean`` and ``root/star`` hold versioned tables, ``root/export/<version>``
-    the CSV, Parquet and JSON copies of that version.
+    ``root/clean`` and ``root/star`` hold versioned tables of which a batch rewrites the buckets it touches,
+    ``root/export/<version>`` the CSV, Parquet and JSON copies of that version.  A tolerant read skips broken lines and
+    counts them on the way; ``on_null`` says what happens to rows that the star cannot take.
     """
     if not files.exists(spark, raw_path):
         raise FileNotFoundError(raw_path)
-    nested = files.read_json_tolerant(spark, raw_path) if tolerant else files.read_raw_events(spark, raw_path)
+    lines = Observation() if tolerant else None
+    nested = files.read_json_tolerant(spark, raw_path, lines) if lines else files.read_raw_events(spark, raw_path)
+    counts = None
     with stage_scope(spark):
-        merged = snapshots.upsert_clean(spark, f"{root}/clean", clean_batch(nested))
+        batch = materialise(clean_batch(nested), "batch")
+        merged = snapshots.upsert_clean(spark, f"{root}/clean", batch)
+        if star:
+            # The star gets the batch; newer rows win, as if the merged set had been ingested.
+            counts = snapshots.ingest_star(spark, f"{root}/star", batch, newest_wins=True, on_null=on_null)
     version = snapshots.latest(spark, f"{root}/clean")
     exports = {}
     if export:
         ordered = relational.newest_first(merged.select(*[f.name for f in schemas.CLEAN.fields]))
         exports = files.export_clean(ordered, f"{root}/export/v={version}")
-    counts = snapshots.ingest_star(spark, f"{root}/star", merged) if star else None
-    return EtlResult(merged, exports, counts)
+    return EtlResult(merged, exports, counts, lines and dict(lines.get))
 
 
 def describe(clean: DataFrame, root: str) -> None:

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom import schemas
-from orderloom.functions import messages as m
-from orderloom.functions import text
 from orderloom.operators import clean as cleaning
-from orderloom.operators import eco
+from orderloom.operators import eco, messages
 
 # ---- reading ---------------------------------------------------------------
 
@@ -26,10 +24,13 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("source_file"))
 
 
-def read_json_tolerant(spark: SparkSession, path: str) -> DataFrame:
-    """Nested events from the valid lines only; blank and broken lines are skipped."""
-    lines = read_lines(spark, path).withColumn("line", text.strip(F.col("value")))
-    good = lines.where((F.length("line") > 0) & m.is_valid_json(F.col("line")))
+def read_json_tolerant(spark: SparkSession, path: str, counts: Observation | None = None) -> DataFrame:
+    """Nested events from the valid lines only; blank and broken lines are skipped.
+
+    ``counts`` receives how many lines were sent, blank and invalid, in the pass that reads them for the first time.
+    """
+    lines = messages.observe_lines(read_lines(spark, path), counts or Observation())
+    good = lines.where((F.length("line") > 0) & F.col("valid"))
     return good.select(F.from_json("line", schemas.RAW).alias("e")).select("e.*")
 
 
@@ -176,6 +177,33 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or a folder with all it holds, if it is there."""
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The whole text of a small file, such as a marker."""
+    p, fs = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, content: str, path: str) -> None:
+    """A small file that appears under its name only when it is whole."""
+    p, fs = _fs(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.draft")
+    stream = fs.create(draft)
+    stream.write(bytearray(content.encode()))
+    stream.close()
+    if not fs.rename(draft, p):
+        raise OSError(f"cannot put {path} in place")
+
+
 def state(spark: SparkSession, path: str) -> tuple:
     """What tells whether anything under a folder changed: its entries with times and sizes, and its size in all."""
     p, fs = _fs(spark, path)

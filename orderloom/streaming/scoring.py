@@ -1,22 +1,22 @@
 """Continuous ingestion and scoring of order messages.
 
-Each micro-batch appends one partition ``batch_id=<n>`` to three logs under the
-root folder: ``accepted`` (clean rows), ``predictions`` and ``rejected`` (with a
-reason).  A partition is written by overwrite, so a batch that is retried after a
-failure replaces its own output: together with the checkpoint every message takes
-effect exactly once.  With ``against_history`` a batch also reads the event ids of
-all earlier batches; with ``bounded_dedup`` it costs what it brings.  The star
-tables are views over the accepted log.
+Each micro-batch appends one partition ``batch_id=<n>`` to the logs under the
+root folder: ``accepted`` (clean rows), ``predictions``, ``rejected`` (with a
+reason) and ``intake`` (how many messages went which way).  A partition is written by overwrite, so a
+batch that is retried after a failure replaces its own output: together with the
+checkpoint every message takes effect exactly once.  With ``against_history`` events are compared with an
+index of all earlier ids, of which a batch reads the buckets its own ids fall in.  The star
+tables are views over the accepted log; ``current`` keeps them as stored tables.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -24,10 +24,11 @@ from pyspark.sql.streaming import StreamingQuery
 from orderloom import schemas
 from orderloom.functions import text
 from orderloom.ml.models import score_returns
-from orderloom.operators import dedup, messages
-from orderloom.sources import files
+from orderloom.operators import dedup, messages, relational
+from orderloom.session import materialise, stage_scope
+from orderloom.sources import files, id_index
 
-ACCEPTED, PREDICTIONS, REJECTED = "accepted", "predictions", "rejected"
+ACCEPTED, PREDICTIONS, REJECTED, INTAKE, REFUSED = "accepted", "predictions", "rejected", "intake", "refused_predictions"
 
 _REJECTED_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("value", "reason")])
 _PREDICTION_SCHEMA = T.StructType(
@@ -38,8 +39,15 @@ _LOG_SCHEMAS = {
     ACCEPTED: T.StructType([*schemas.CLEAN.fields, T.StructField("arrived", T.TimestampType())]),
     PREDICTIONS: _PREDICTION_SCHEMA,
     REJECTED: _REJECTED_SCHEMA,
+    INTAKE: T.StructType([T.StructField(c, T.LongType()) for c in messages.INTAKE_COUNTS]),
+    REFUSED: T.StructType([*_PREDICTION_SCHEMA.fields, T.StructField("reason", T.StringType())]),
 }
 
+
+def log_schema(name: str) -> T.StructType:
+    return _LOG_SCHEMAS[name]
+
+
 def read_log(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One of the logs, with its ``batch_id``; empty when nothing was written yet."""
     schema = T.StructType([*_LOG_SCHEMAS[name].fields, T.StructField("batch_id", T.LongType())])
@@ -79,19 +87,32 @@ class ScoringJob:
     arrival: Iterable[str] = ("broker_time", "value")
     against_history: bool = True
     stream_price: bool = False
+    id_buckets: int = id_index.BUCKETS
+
+    @property
+    def ids(self) -> id_index.IdIndex:
+        return id_index.IdIndex(f"{self.root}/ids", "event_id", self.id_buckets)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         inspected = messages.inspect(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        bad, good = Observation(), Observation()
         try:
-            bad = inspected.where(F.col("reason").isNotNull()).select("value", "reason")
-            self._write(bad, REJECTED, batch_id)
-            fresh = self._fresh(spark, inspected.where(F.col("reason").isNull()), batch_id)
+            # What is counted is counted in the passes that write.
+            refused = messages.observe_refused(inspected.where(F.col("reason").isNotNull()), bad)
+            self._write(refused.select("value", "reason"), REJECTED, batch_id)
+            taken = inspected.where(F.col("reason").isNull()).observe(good, F.count(F.lit(1)).alias("good"))
+            fresh = self._fresh(spark, taken, batch_id)
             self._write(fresh, ACCEPTED, batch_id)
         finally:
             inspected.unpersist()
+        counts = spark.createDataFrame([messages.intake_counts(bad.get, good.get)], _LOG_SCHEMAS[INTAKE])
+        self._write(counts.coalesce(1), INTAKE, batch_id)
         # From here on the batch is read back from its own files.
         rows = self._partition(spark, ACCEPTED, batch_id)
+        if self.against_history:
+            self.ids.append(rows, batch_id)
+            self.ids.compact(spark, batch_id)
         # The batch's own rows are its events, orders and customers: every reference is met.
         self._write(score_returns(self.pipeline, rows).select(*schemas.PREDICTION_COLUMNS), PREDICTIONS, batch_id)
 
@@ -101,14 +122,19 @@ class ScoringJob:
         rows = messages.to_clean(good, stream_price=self.stream_price, keep=keep)
         first = dedup.first_per_key(rows, "event_id", [F.col(c).asc() for c in self.arrival])
         first = first.withColumnRenamed("broker_time", "arrived").select(*_LOG_SCHEMAS[ACCEPTED].names)
-        if not self.against_history or not files.exists(spark, f"{self.root}/{ACCEPTED}"):
+        if not self.against_history or batch_id == 0:
             return first
+        self._index_log(spark, batch_id)
         # Earlier batches only: a retried batch must not meet its own first attempt.
-        history = read_log(spark, self.root, ACCEPTED).where(F.col("batch_id") < batch_id).select("event_id")
-        ids = good.select(F.col("parsed.fields.event_id").alias("raw_id")).distinct()
-        ids = ids.select(text.strip(F.col("raw_id")).alias("event_id"))
-        known = history.join(ids, "event_id", "left_semi").distinct()
-        return first.join(known, "event_id", "left_anti").select(*first.columns)
+        asked = good.select(text.strip(F.col("parsed.fields.event_id")).alias("event_id"))
+        return first.join(self.ids.known(asked, batch_id), "event_id", "left_anti").select(*first.columns)
+
+    def _index_log(self, spark: SparkSession, batch_id: int) -> None:
+        """An index for a log that was written without one (once)."""
+        if files.exists(spark, self.ids.path) or not files.exists(spark, f"{self.root}/{ACCEPTED}"):
+            return
+        earlier = read_log(spark, self.root, ACCEPTED).where(F.col("batch_id") < batch_id)
+        self.ids.append_range(earlier, 0, batch_id - 1)
 
     def _write(self, df: DataFrame, name: str, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/{name}/batch_id={batch_id}")
@@ -117,6 +143,33 @@ class ScoringJob:
         return spark.read.schema(_LOG_SCHEMAS[name]).parquet(f"{self.root}/{name}/batch_id={batch_id}")
 
 
+def repair_predictions(
+    spark: SparkSession, root: str, pipeline: PipelineModel, tables: Mapping[str, DataFrame] | None = None
+) -> dict[str, int]:
+    """Score the accepted events that have no prediction, and store those whose references exist.
+
+    A prediction is lost when the scoring of a batch fails after its events were stored.  References are checked against ``tables`` (customers,
+    orders, events: the stored star; by default the views over the log).  Repaired predictions go to a batch of their own (-1, -2, ...), and
+    what is refused to a log with one reason a row.  Run it again and nothing is left to do.
+    """
+    tables = tables or star_tables(spark, root)
+    done = read_log(spark, root, PREDICTIONS)
+    lost = relational.anti_new(read_log(spark, root, ACCEPTED), done, "event_id")
+    lost = lost.join(read_log(spark, root, REFUSED).select("event_id"), "event_id", "left_anti")
+    with stage_scope(spark):
+        scored = score_returns(pipeline, lost).select(*schemas.PREDICTION_COLUMNS)
+        scored = materialise(scored, "lost_predictions")
+        valid = relational.valid_references(scored, tables).select(*schemas.PREDICTION_COLUMNS)
+        orphans = relational.orphans(scored, tables)
+        counts = {"repaired": valid.count(), "refused": orphans.select("event_id").distinct().count()}
+        names = [n for log in (PREDICTIONS, REFUSED) for n in files.list_names(spark, f"{root}/{log}") if n.startswith("batch_id=")]
+        number = min([0, *(int(n.removeprefix("batch_id=")) for n in names)]) - 1
+        if any(counts.values()):
+            orphans.write.mode("overwrite").parquet(f"{root}/{REFUSED}/batch_id={number}")
+            valid.write.mode("overwrite").parquet(f"{root}/{PREDICTIONS}/batch_id={number}")
+    return counts
+
+
 def start(
     stream: DataFrame,
     job: ScoringJob,
