@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm import (
-    decontam, importance, jaccard, lang_id, licenses, merkle, mixing, pii, secrets, suffix_dedup, url_filter, vptree, warc,
+    checks, decontam, importance, jaccard, lang_id, licenses, merkle, mixing, pii, secrets, suffix_dedup, url_filter, vptree, warc,
 )
 from orderloom.llm.shared import read_table
 from orderloom.session import shared_dir
@@ -85,4 +85,4 @@ QUERIES: dict[str, Query] = {
 }
 
 #: SQL that another engine can run on the same tables; the other queries are tested against brute force.
-CHECKS: dict[str, str] = {}
+CHECKS: dict[str, str] = checks.CHECKS
