@@ -91,7 +91,7 @@ def test_verdicts_spread_over_links(spark):
     rows = [(i, f"http://bad.net/{i}", None) for i in range(20)]
     rows += [(20 + i, f"http://good.org/fr/{i}", link("friend.info")) for i in range(20)]
     rows += [(40, "http://farm.info/", link("bad.net")), (41, "http://farm.info/b", link("bad.net")), (42, "http://friend.info/", link("worse.net"))]
-    rows += [(100 + i, f"http://worse.net/{i}", None) for i in range(20)]
+    rows += [(100 + i, f"http://worse.net/{i}", None) for i in range(20)] + [(200 + i, f"http://good.org/fr/+{i}", None) for i in range(40)]
     rows += [(43, "http://alone.info/", None), (44, None, None), (45, "http://good.org/x", None), (46, "http://bad.net", None)]
     rows += [(47, "http://example.net/en/", link("bad.net")), (43, "http://alone.info/", None), (None, "http://alone.info/", None)]
     got = url_filter.verdicts(pages(spark, rows))
