@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom import schemas
-from orderloom.ml import metrics, prep, splits
+from orderloom.ml import metrics, prep, sparse, splits
 from orderloom.operators import profile
 from orderloom.session import materialise
 
@@ -89,6 +89,34 @@ def fit_return_model(
     return PipelineModel([prepared, assembler, _plain(model.fit(matrix))]), prepared.features
 
 
+def fit_sparse_return_model(
+    train: DataFrame, category: Iterable[str] = schemas.CATEGORY_COLUMNS, index_path: str | None = None, exclude: Iterable[str] = ()
+) -> PipelineModel:
+    """The return model with categories of any number of values (ids, for instance), as one sparse vector a row."""
+    exclude = set(exclude)
+    numeric = [c for c in schemas.NUMERIC_COLUMNS if c not in exclude]
+    category = [c for c in category if c not in exclude]
+    prepared = sparse.SparsePrep(numericCols=numeric, categoryCols=category, scaler="robust", indexPath=index_path).fit(train)
+    rows = prepared.transform(train.withColumn("label", F.col(RETURN_TARGET).cast("double")))
+    # The fit visits the rows many times; what it reads is the vector.
+    matrix = materialise(rows.where(F.col("label").isNotNull()).select("label", "features"), "sparse_features")
+    model = LogisticRegression(
+        regParam=1.0 / (INVERSE_PENALTY * max(matrix.count(), 1)),
+        elasticNetParam=0.0,
+        standardization=False,
+        maxIter=MAX_ITERATIONS,
+        tol=TOLERANCE,
+    )
+    return PipelineModel([prepared, _plain(model.fit(matrix))])
+
+
+def sparse_coefficients(spark: SparkSession, pipeline: PipelineModel) -> DataFrame:
+    """Coefficient per feature name of a sparse model."""
+    values = [(i, float(v)) for i, v in enumerate(pipeline.stages[-1].coefficients)]
+    coefs = spark.createDataFrame(values, "place bigint, coef double")
+    return pipeline.stages[0].names(spark).join(coefs, "place").select("feature", "coef")
+
+
 def fit_basket_model(train: DataFrame, exclude: Iterable[str] = ()) -> tuple[PipelineModel, list[str]]:
     """Ordinary least squares on the basket value.
 

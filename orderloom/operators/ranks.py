@@ -264,6 +264,22 @@ def running_totals(
     )
 
 
+def positions(df: DataFrame, order: Iterable[str], name: str) -> DataFrame:
+    """Adds the 0-based position of every row in the sorted order, without a window over all rows.
+
+    Rows are range-sorted and written with the number of their partition; each partition is numbered on its own and
+    shifted by the rows of those before it (one offset per partition).
+    """
+    order = list(order)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id())
+    held = materialise(ranged, "positions")
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = held.groupBy("__part").count().select("__part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before"))
+    place = F.row_number().over(Window.partitionBy("__part").orderBy(*order)) - 1
+    return held.join(F.broadcast(offsets), "__part").withColumn(name, place + F.col("__before")).drop("__part", "__before")
+
+
 def scalar_bounds(df: DataFrame, column: str) -> Column:
     """``{low, high}`` of a column as a scalar subquery."""
     x = F.col(column).cast("double")

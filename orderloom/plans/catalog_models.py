@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom import schemas
-from orderloom.ml import metrics, models, prep, splits
+from orderloom.ml import metrics, models, prep, sparse, splits
 from orderloom.plans import frames, oracle
 from orderloom.plans.catalog_reports import DIGITS, rounded
 from orderloom.plans.registry import query
 from orderloom.plans.stages import stage
-from orderloom.session import materialise
+from orderloom.session import materialise, shared_dir
 
 _NUMERIC = list(schemas.NUMERIC_COLUMNS)
 _TRAIN_STEP = ["order_n_items", "order_basket_value", "order_discount", "event_month"]
@@ -97,6 +97,29 @@ def iqr_clip(spark, sf):
     return prep.IqrClipper(inputCols=_CLIPPED).fit(rows).transform(rows)
 
 
+def _slot(column: str) -> str:
+    """Number of a value among the column's values but the first, NULL for that one."""
+    return f"CASE WHEN {column}_rank > 1 THEN {column}_rank - 2 END AS {column}_slot"
+
+
+@query(
+    "one_hot_slots",
+    oracle.sql(
+        "clean",
+        f"""SELECT event_id, {_slot('order_main_category')}, {_slot('customer_customer_id')}
+            FROM (SELECT event_id, dense_rank() OVER (ORDER BY order_main_category) AS order_main_category_rank,
+                         dense_rank() OVER (ORDER BY customer_customer_id) AS customer_customer_id_rank FROM clean)""",
+    ),
+)
+def one_hot_slots(spark, sf):
+    """Places of the values of a small category and of a column with very many values in their sparse vectors."""
+    columns = ["order_main_category", "customer_customer_id"]
+    rows = frames.clean_table(spark, sf).select("event_id", *columns)
+    path = shared_dir(spark, "slots")
+    sparse.build_index(rows, columns, path)
+    return sparse.slots(rows, columns, path).select("event_id", *[f"{c}_slot" for c in columns])
+
+
 _SEGMENTS = ["building", "furniture", "household", "machinery"]
 
 
