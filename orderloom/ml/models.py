@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from orderloom import schemas
 from orderloom.ml import metrics, prep, sparse, splits
 from orderloom.operators import profile
-from orderloom.session import materialise
+from orderloom.session import materialise, stage_scope
+from orderloom.sources import files
 
 RETURN_TARGET = "order_is_returned"
 BASKET_TARGET = "order_basket_value"
@@ -62,6 +63,17 @@ def _plain(model):
     return model
 
 
+def logistic(rows: DataFrame, penalty: float, tolerance: float = TOLERANCE, weight: str | None = None) -> LogisticRegressionModel:
+    """L2-penalised logistic regression of ``label`` on ``features``, neither standardised."""
+    model = LogisticRegression(regParam=penalty, elasticNetParam=0.0, standardization=False, maxIter=MAX_ITERATIONS, tol=tolerance)
+    return _plain((model.setWeightCol(weight) if weight else model).fit(rows))
+
+
+def least_squares(rows: DataFrame) -> LinearRegressionModel:
+    """Ordinary least squares of ``label`` on ``features`` by the normal equations."""
+    return _plain(LinearRegression(regParam=0.0, solver="normal").fit(rows))
+
+
 def fit_return_model(
     train: DataFrame, exclude: Iterable[str] = (), class_weights: bool = False
 ) -> tuple[PipelineModel, list[str]]:
@@ -73,20 +85,14 @@ def fit_return_model(
     assembler = VectorAssembler(inputCols=prepared.features, outputCol="features")
     rows = train.withColumn("label", F.col(RETURN_TARGET).cast("double"))
     sizes = rows.agg(F.count("label").alias("n"), F.sum("label").alias("pos")).first()
-    model = LogisticRegression(
-        regParam=1.0 / (INVERSE_PENALTY * max(sizes["n"], 1)),
-        elasticNetParam=0.0,
-        standardization=False,
-        maxIter=MAX_ITERATIONS,
-        tol=TOLERANCE,
-    )
+    penalty, weight = 1.0 / (INVERSE_PENALTY * max(sizes["n"], 1)), None
     if class_weights and 0 < sizes["pos"] < sizes["n"]:
         positive = sizes["n"] / (2.0 * sizes["pos"])
         negative = sizes["n"] / (2.0 * (sizes["n"] - sizes["pos"]))
         rows = rows.withColumn("weight", F.when(F.col("label") == 1, positive).otherwise(negative))
-        model = model.setWeightCol("weight")
+        weight = "weight"
     matrix = assembler.transform(prepared.transform(rows)).where(F.col("label").isNotNull())
-    return PipelineModel([prepared, assembler, _plain(model.fit(matrix))]), prepared.features
+    return PipelineModel([prepared, assembler, logistic(matrix, penalty, weight=weight)]), prepared.features
 
 
 def fit_sparse_return_model(
@@ -100,14 +106,7 @@ def fit_sparse_return_model(
     rows = prepared.transform(train.withColumn("label", F.col(RETURN_TARGET).cast("double")))
     # The fit visits the rows many times; what it reads is the vector.
     matrix = materialise(rows.where(F.col("label").isNotNull()).select("label", "features"), "sparse_features")
-    model = LogisticRegression(
-        regParam=1.0 / (INVERSE_PENALTY * max(matrix.count(), 1)),
-        elasticNetParam=0.0,
-        standardization=False,
-        maxIter=MAX_ITERATIONS,
-        tol=TOLERANCE,
-    )
-    return PipelineModel([prepared, _plain(model.fit(matrix))])
+    return PipelineModel([prepared, logistic(matrix, 1.0 / (INVERSE_PENALTY * max(matrix.count(), 1)))])
 
 
 def sparse_coefficients(spark: SparkSession, pipeline: PipelineModel) -> DataFrame:
@@ -132,8 +131,7 @@ def fit_basket_model(train: DataFrame, exclude: Iterable[str] = ()) -> tuple[Pip
     assembler = VectorAssembler(inputCols=prepared.features, outputCol="features")
     rows = train.withColumn("label", F.col(BASKET_TARGET).cast("double"))
     matrix = assembler.transform(prepared.transform(rows))
-    model = _plain(LinearRegression(regParam=0.0, solver="normal").fit(matrix))
-    return PipelineModel([prepared, assembler, model]), prepared.features
+    return PipelineModel([prepared, assembler, least_squares(matrix)]), prepared.features
 
 
 def train_return_model(clean: DataFrame, seed: int = 42, **options) -> Trained:
@@ -170,6 +168,22 @@ def top_coefficients(coefs: DataFrame, n: int = TOP_COEFFICIENTS) -> DataFrame:
     return top.unionByName(low)
 
 
+def feature_sets(trained: Trained, target: str) -> dict[str, DataFrame]:
+    """The prepared training and test rows: the model's features and the target."""
+    prepared = trained.pipeline.stages[0]
+    return {side: prepared.transform(rows).select(*trained.features, target) for side, rows in (("train", trained.train), ("test", trained.test))}
+
+
+def store_run(spark: SparkSession, trained: Trained, root: str, target: str = RETURN_TARGET, csv: bool = True) -> None:
+    """What a training run leaves behind: both feature sets, the bundle, and the document about it, under ``root``."""
+    for side, frame in feature_sets(trained, target).items():
+        files.write_features(frame, f"{root}/features/{side}", csv)
+    save_bundle(trained.pipeline, f"{root}/bundle")
+    with stage_scope(spark):
+        report = return_model_report(spark, trained) if target == RETURN_TARGET else basket_model_report(spark, trained)
+        files.write_document(report, f"{root}/report")
+
+
 def save_bundle(pipeline: PipelineModel, path: str) -> None:
     """Preparation and model together."""
     pipeline.write().overwrite().save(path)
@@ -188,6 +202,8 @@ def return_model_report(spark: SparkSession, trained: Trained, threshold: float
     scored = score_returns(
         trained.pipeline, trained.test, threshold, keep=["event_id", F.col(RETURN_TARGET).cast("int").alias("label")]
     )
+    # Scored once; the parts of the document read the scores.
+    scored = materialise(scored, "report_scores")
     measures = metrics.classification_metrics(scored, "label", "return_proba", threshold)
     report = metrics.classification_report(scored, "label", "return_proba", threshold)
     matrix = metrics.confusion(scored, "label", "return_proba", threshold)
@@ -209,9 +225,8 @@ def return_model_report(spark: SparkSession, trained: Trained, threshold: float
 
 def basket_model_report(spark: SparkSession, trained: Trained) -> DataFrame:
     """One-row document about a regression run."""
-    scored = trained.pipeline.transform(trained.test).select("event_id", "prediction").join(
-        trained.test.select("event_id", BASKET_TARGET), "event_id"
-    )
+    # The target is no feature, so it passes through the preparation with its row.
+    scored = materialise(trained.pipeline.transform(trained.test).select("event_id", BASKET_TARGET, "prediction"), "report_scores")
     coefs = top_coefficients(coefficients(spark, trained.pipeline, trained.features))
     parts = {
         "metrics": metrics.regression_metrics(scored, BASKET_TARGET, "prediction").select(

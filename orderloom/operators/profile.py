@@ -5,11 +5,14 @@ Each report is one pass of map-side-combined aggregates, reshaped afterwards.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping
 from functools import reduce
-from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import VectorAssembler
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions import numeric, orders
@@ -192,42 +195,55 @@ def total_check_counts(df: DataFrame) -> DataFrame:
     )
 
 
-#: Column pairs that one fanned-out row carries; a few keep the aggregation within generated code.
-_PAIRS_PER_ROW = 4
+#: Variance (of standardised values) up to which a column counts as constant on the rows of a pair.
+_CONSTANT = 1e-12
 
 
 def correlation_matrix(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Pearson correlation of every column pair, missing values dropped pairwise.
+    """Pearson correlation of every column pair, missing values (NaN too) dropped pairwise.
 
-    One pass: each row is fanned out to a row per few pairs and combined in place, so
-    only one row per such set and task is shuffled.  (A row per pair takes twice as
-    long on 450,000 rows, one wide aggregate over all pairs longer still.)  A constant
-    column gives NULL.
+    Two reads of the columns: one for their means and deviations, one for the Gram matrix of (value, is there, value squared), whose
+    entries are all the pairwise counts, sums and products.  Rows become vectors and are added up inside their task; a task
+    sends one matrix of (3 x columns) squared, and nothing is fanned out.  Values are standardised first, so squares do not
+    cancel.  A column that is constant, also only on the rows of a pair, gives NULL.
     """
-    pairs = list(combinations_with_replacement(list(columns), 2))
-    if not pairs:
-        return df.sparkSession.createDataFrame([], "x string, y string, r double")
-    sets = [pairs[i : i + _PAIRS_PER_ROW] for i in range(0, len(pairs), _PAIRS_PER_ROW)]
-
-    def values(number: int, chosen: list[tuple[str, str]]) -> Column:
-        padded = chosen + [chosen[-1]] * (_PAIRS_PER_ROW - len(chosen))
-        cells = [F.col(c).cast("double").alias(f"{side}{k}") for k, pair in enumerate(padded) for side, c in zip("xy", pair)]
-        return F.struct(F.lit(number).alias("set"), *cells)
-
-    def r(x: str, y: str) -> Column:
-        # The regression sums skip rows where either side is missing.
-        return F.try_divide(F.regr_sxy(y, x), F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x)))
-
-    def label(a: str, b: str) -> Column:
-        return F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"))
-
-    fanned = df.select(F.inline(F.array(*[values(i, chosen) for i, chosen in enumerate(sets)])))
-    combined = fanned.groupBy("set").agg(F.array(*[r(f"x{k}", f"y{k}") for k in range(_PAIRS_PER_ROW)]).alias("r"))
-    both_ways = F.array(*[F.array(*[label(p, q) for p, q in dict.fromkeys([(a, b), (b, a)])]) for a, b in pairs])
-    by_pair = combined.select("set", F.posexplode("r").alias("k", "r"))
-    by_pair = by_pair.select((F.col("set") * _PAIRS_PER_ROW + F.col("k")).alias("pair"), "r").where(F.col("pair") < len(pairs))
-    named = by_pair.select(F.explode(F.element_at(both_ways, F.col("pair") + 1)).alias("named"), "r")
-    return named.select("named.x", "named.y", "r")
+    columns = list(columns)
+    names = "x string, y string, r double"
+    if not columns:
+        return df.sparkSession.createDataFrame([], names)
+    value = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
+    figures = [f(value[c]).alias(f"{k}{i}") for i, c in enumerate(columns) for k, f in _SHAPE.items()]
+    shape = df.agg(F.count(F.lit(1)).alias("rows"), *figures).first().asDict()
+    if not shape["rows"]:
+        return df.sparkSession.createDataFrame([(a, b, None) for a in columns for b in columns], names)
+    cells = []
+    for i, c in enumerate(columns):
+        # A constant is taken off exactly.
+        constant = shape[f"low{i}"] == shape[f"high{i}"]
+        middle = shape[f"low{i}"] if constant else shape[f"mean{i}"]
+        z = (value[c] - F.lit(middle or 0.0)) / F.lit(1.0 if constant else shape[f"std{i}"] or 1.0)
+        cells.append((F.coalesce(z, F.lit(0.0)).alias(f"z{i}"), value[c].isNotNull().cast("double").alias(f"m{i}")))
+    held = df.select(*[x for pair in cells for x in pair])
+    held = held.withColumns({f"q{i}": F.col(f"z{i}") * F.col(f"z{i}") for i in range(len(columns))})
+    order = [f"{k}{i}" for k in "zmq" for i in range(len(columns))]
+    rows = VectorAssembler(inputCols=order, outputCol="row").transform(held).select("row")
+    gram = RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "row"), 0, len(order)).computeGramianMatrix().toArray()
+    n = len(columns)
+    zz, zm, mm, qm = gram[:n, :n], gram[:n, n : 2 * n], gram[n : 2 * n, n : 2 * n], gram[2 * n :, n : 2 * n]
+    found = []
+    for i, a in enumerate(columns):
+        for j, b in enumerate(columns):
+            count, r = mm[i, j], None
+            if count:
+                # Sums of squares about the means of the pair's own rows.
+                xx, yy = qm[i, j] - zm[i, j] ** 2 / count, qm[j, i] - zm[j, i] ** 2 / count
+                if min(xx, yy) > _CONSTANT * count:
+                    r = float((zz[i, j] - zm[i, j] * zm[j, i] / count) / math.sqrt(xx * yy))
+            found.append((a, b, r))
+    return df.sparkSession.createDataFrame(found, names)
+
+
+_SHAPE = {"mean": F.avg, "std": F.stddev_pop, "low": F.min, "high": F.max}
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
@@ -321,20 +337,19 @@ def revenue_by(df: DataFrame, column: str) -> DataFrame:
 def per_day(df: DataFrame, time_col: str, measures: Mapping[str, Column], empty: Mapping[str, Column]) -> DataFrame:
     """One row per calendar day between the first and last event; empty days get ``empty``.
 
-    The calendar comes from the per-day aggregate (one row per day), not from the
-    events, so the input is read once.
+    Each day's row also stands for the empty days up to the next one, so the input is read once and nothing is joined.
+    The window is over one row per day.
     """
     days = (
         df.where(F.col(time_col).isNotNull())
-        .groupBy(F.to_date(time_col).alias("day"))
+        .groupBy(F.to_date(time_col).alias("first"))
         .agg(*[m.alias(n) for n, m in measures.items()])
     )
-    calendar = days.agg(
-        F.explode(F.sequence(F.min("day"), F.max("day"), F.expr("interval 1 day"))).alias("day")
-    )
-    return calendar.join(days, "day", "left").select(
-        "day", *[F.coalesce(n, empty[n]).alias(n) for n in measures]
-    )
+    following = F.coalesce(F.date_sub(F.lead("first").over(Window.orderBy("first")), 1), F.col("first"))
+    reach = days.withColumn("last", following)
+    spread = reach.select("*", F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("day"))
+    here = F.col("day") == F.col("first")
+    return spread.select("day", *[F.when(here, F.col(n)).otherwise(empty[n]).alias(n) for n in measures])
 
 
 def daily_events(df: DataFrame, time_col: str = "event_time") -> DataFrame:

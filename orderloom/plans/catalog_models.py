@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -260,6 +261,82 @@ def train_linear(spark, sf):
     return _gradients(run, models.BASKET_TARGET, F.col("prediction"), 0.0).select("feature", flat.alias("stationary"))
 
 
+# What a fit with a free intercept and an indicator per category value implies for its predictions, in figures that SQL has: over the
+# training rows, and over those of each value, they have the mean of the target.  The penalty moves the classifier's means a little.
+
+
+@query(
+    "logistic_group_means",
+    oracle.sql(
+        "train_strata",
+        """SELECT order_main_category, count(*) AS n, round(avg(CAST(order_is_returned AS DOUBLE)), 2) AS mean_proba FROM train_strata
+           GROUP BY order_main_category""",
+    ),
+)
+def logistic_group_means(spark, sf):
+    run = return_run(spark, sf)
+    scores = models.score_returns(run.pipeline, run.train.withColumn("group", F.col("order_main_category")), keep=["group"])
+    means = scores.groupBy(F.col("group").alias("order_main_category")).agg(F.count(F.lit(1)).alias("n"), F.avg("return_proba").alias("mean_proba"))
+    return means.withColumn("mean_proba", F.round("mean_proba", 2))
+
+
+@query(
+    "linear_group_means",
+    oracle.sql(
+        "train",
+        """SELECT order_main_category, count(*) AS n, round(avg(order_basket_value), 2) AS mean_prediction FROM train
+           GROUP BY order_main_category""",
+    ),
+)
+def linear_group_means(spark, sf):
+    run = basket_run(spark, sf)
+    rows = run.pipeline.transform(run.train.withColumn("group", F.col("order_main_category")))
+    means = rows.groupBy(F.col("group").alias("order_main_category")).agg(F.count(F.lit(1)).alias("n"), F.avg("prediction").alias("mean_prediction"))
+    return means.withColumn("mean_prediction", F.round("mean_prediction", 2))
+
+
+_TWO = """(SELECT count(*) AS n, covar_pop(order_basket_value, a) AS ya, covar_pop(order_basket_value, b) AS yb, covar_pop(a, b) AS ab,
+    var_pop(a) AS aa, var_pop(b) AS bb, avg(order_basket_value) AS y, avg(a) AS ma, avg(b) AS mb
+    FROM (SELECT order_basket_value, order_shipping_fee AS a, CAST(order_n_items AS DOUBLE) AS b FROM train))"""
+
+
+@query(
+    "linear_two_features",
+    oracle.sql(
+        "train",
+        f"""SELECT feature, round(v, {DIGITS}) AS value FROM (
+              SELECT unnest([('order_shipping_fee', p), ('order_n_items', q), ('intercept', y - p * ma - q * mb)]::STRUCT(feature VARCHAR, v DOUBLE)[], recursive := true)
+              FROM (SELECT *, (ya * bb - yb * ab) / (aa * bb - ab * ab) AS p, (yb * aa - ya * ab) / (aa * bb - ab * ab) AS q FROM {_TWO}))""",
+    ),
+)
+def linear_two_features(spark, sf):
+    """Coefficients of least squares on two unscaled features, as the normal equations give them."""
+    columns = ["order_shipping_fee", "order_n_items"]
+    train = basket_run(spark, sf).train
+    rows = VectorAssembler(inputCols=columns, outputCol="features").transform(train.withColumn("label", F.col(models.BASKET_TARGET)))
+    fitted = models.least_squares(rows)
+    values = [*zip(columns, map(float, fitted.coefficients), strict=True), ("intercept", float(fitted.intercept))]
+    return rounded(spark.createDataFrame(values, "feature string, value double"), "value")
+
+
+@query(
+    "logistic_one_indicator",
+    oracle.sql(
+        "train_strata",
+        """SELECT round(ln(q / (1 - q)) - ln(p / (1 - p)), 4) AS coefficient, round(ln(p / (1 - p)), 4) AS intercept FROM (
+             SELECT avg(CAST(order_is_returned AS DOUBLE)) FILTER (WHERE order_device <> 'mobile') AS p,
+                    avg(CAST(order_is_returned AS DOUBLE)) FILTER (WHERE order_device = 'mobile') AS q FROM train_strata)""",
+    ),
+)
+def logistic_one_indicator(spark, sf):
+    """The unpenalised classifier on one indicator: log odds of either side."""
+    train = return_run(spark, sf).train
+    rows = train.select(F.col(models.RETURN_TARGET).cast("double").alias("label"), (F.col("order_device") == "mobile").cast("double").alias("x"))
+    fitted = models.logistic(VectorAssembler(inputCols=["x"], outputCol="features").transform(rows), penalty=0.0, tolerance=1e-10)
+    found = (round(float(fitted.coefficients[0]), 4), round(float(fitted.intercept), 4))
+    return spark.createDataFrame([found], "coefficient double, intercept double")
+
+
 @query(
     "score_batch",
     oracle.sql("test_strata", f"SELECT {', '.join(schemas.ID_COLUMNS)}, true AS proba_valid, true AS decision_valid FROM test_strata"),

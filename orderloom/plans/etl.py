@@ -43,12 +43,13 @@ def run(
     export: bool = True,
     tolerant: bool = False,
     on_null: str = "fail",
+    report: bool = False,
 ) -> EtlResult:
     """Read a raw JSON file or folder, clean it, merge it into the stored set.
 
     ``root/clean`` and ``root/star`` hold versioned tables of which a batch rewrites the buckets it touches,
     ``root/export/<version>`` the CSV, Parquet and JSON copies of that version.  A tolerant read skips broken lines and
-    counts them on the way; ``on_null`` says what happens to rows that the star cannot take.
+    counts them on the way; ``on_null`` says what happens to rows that the star cannot take, and ``report`` adds a description of the set.
     """
     if not files.exists(spark, raw_path):
         raise FileNotFoundError(raw_path)
@@ -66,6 +67,8 @@ def run(
     if export:
         ordered = relational.newest_first(merged.select(*[f.name for f in schemas.CLEAN.fields]))
         exports = files.export_clean(ordered, f"{root}/export/v={version}")
+    if report:
+        describe(merged, f"{root}/report/v={version}")
     return EtlResult(merged, exports, counts, lines and dict(lines.get))
 
 

@@ -88,6 +88,15 @@ def read_run_logs(spark: SparkSession, pattern: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+#: Rows up to which a database table is read by one task.
+SMALL_TABLE = 1_000_000
+
+
+def require_partitioning(rows: int, table: str, small: int = SMALL_TABLE) -> None:
+    if rows > small:
+        raise ValueError(f"{table} has {rows} rows; name a partition column and its bounds to read it in parallel")
+
+
 def read_table_jdbc(
     spark: SparkSession,
     url: str,
@@ -97,8 +106,15 @@ def read_table_jdbc(
     partitions: int = 8,
     **options: str,
 ) -> DataFrame:
-    """A database table; split into parallel range reads when a numeric or time column is given."""
+    """A database table, in parallel range reads over a numeric or time column.
+
+    Without a column and its bounds the table would be one task's work, however large: that is refused above
+    ``SMALL_TABLE`` rows, which a count in the database tells (a query in ``table`` counts as its own result).
+    """
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options)
+    if not (partition_column and bounds):
+        rows = int(spark.read.format("jdbc").option("url", url).option("query", f"SELECT count(*) AS n FROM {table}").options(**options).load().first()[0])
+        require_partitioning(rows, table)
     if partition_column and bounds:
         reader = (
             reader.option("partitionColumn", partition_column)

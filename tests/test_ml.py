@@ -194,6 +194,24 @@ def test_basket_model_and_reports(spark, trained):
     assert doc["confusion_matrix"]["tn"] + doc["confusion_matrix"]["fp"] > 0
 
 
+def test_stored_run(spark, trained, tmp_path, as_rows):
+    """Feature sets, bundle and document of both kinds of run."""
+    root = str(tmp_path / "run")
+    models.store_run(spark, trained, root)
+    train = spark.read.parquet(f"{root}/features/train/parquet")
+    assert train.columns == [*trained.features, models.RETURN_TARGET] and train.count() == trained.train.count()
+    back = spark.read.option("header", True).csv(f"{root}/features/test/csv")
+    assert back.columns == train.columns and back.count() == trained.test.count()
+    assert as_rows(models.score_returns(models.load_bundle(spark, f"{root}/bundle"), trained.test)) == as_rows(
+        models.score_returns(trained.pipeline, trained.test)
+    )
+    document = spark.read.json(f"{root}/report").first()
+    assert document["test_rows"] == trained.test.count() and 0 <= document["metrics"]["roc_auc"] <= 1
+    basket = models.train_basket_model(clean_rows(spark))
+    models.store_run(spark, basket, str(tmp_path / "basket"), models.BASKET_TARGET, csv=False)
+    assert spark.read.json(str(tmp_path / "basket/report")).first()["metrics"]["r2"] > 0.99
+
+
 def test_prep_state_matches_step_by_step(spark):
     """The single-pass fit gives what filling, clipping and scaling one after the other give."""
     df = spark.createDataFrame(

@@ -61,6 +61,21 @@ def test_batch_pipeline_end_to_end(spark, tmp_path, as_rows):
     assert '"event_time":"2026-01-02T10:00:00.000Z"' in "".join(r.value for r in spark.read.text(first.exports["jsonl"]).collect())
 
 
+def test_description_of_the_set(spark, tmp_path):
+    result = etl.run(spark, write_lines(tmp_path / "one.jsonl", FIRST), str(tmp_path / "store"), star=False, export=False, report=True)
+    numeric = spark.read.option("header", True).csv(str(tmp_path / "store/report/v=1/describe_numeric"))
+    text = spark.read.option("header", True).csv(str(tmp_path / "store/report/v=1/describe_categorical"))
+    assert {r["column"] for r in numeric.collect()} == set(schemas.NUMERIC_COLUMNS)
+    ids = {r["column"]: r for r in text.collect()}["event_id"]
+    assert int(ids["n_values"]) == int(ids["n_unique"]) == result.clean.count() == 3
+
+
+def test_large_database_tables_are_read_in_parallel():
+    files.require_partitioning(files.SMALL_TABLE, "orders")
+    with pytest.raises(ValueError, match="partition column"):
+        files.require_partitioning(files.SMALL_TABLE + 1, "orders")
+
+
 def test_missing_unit_price_blocks_the_star_and_leaves_it_untouched(spark, tmp_path):
     root = str(tmp_path / "store")
     good = [e for e in FIRST if e["event_id"] != "b"]

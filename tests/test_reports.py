@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -60,6 +62,26 @@ def test_correlation_drops_pairs_and_constants(spark):
     assert len(r) == 16 and r["b", "a"] == r["a", "b"]
 
 
+def test_correlation_fans_nothing_out(spark):
+    """Large offsets, gaps, NaN and a pair that is constant on its common rows, against pandas."""
+    rng = np.random.default_rng(5)
+    frame = pd.DataFrame(rng.normal(size=(500, 5)) @ rng.normal(size=(5, 5)), columns=list("abcde"))
+    frame["a"] += 1e7
+    frame["b"] = frame["b"].mask(rng.random(500) < 0.3)
+    frame["k"] = np.where(frame["b"].isna(), rng.normal(size=500), 3.0)
+    df = spark.createDataFrame(frame.astype(object).where(frame.notna(), None).values.tolist(), ", ".join(f"{c} double" for c in frame))
+    df = df.withColumn("c", F.when(F.col("d") > 1, float("nan")).otherwise(F.col("c")))
+    frame["c"] = frame["c"].mask(frame["d"] > 1)
+    want = frame.corr()
+    got = {(r.x, r.y): r.r for r in profile.correlation_matrix(df, df.columns).collect()}
+    for (x, y), r in got.items():
+        if {x, y} == {"b", "k"}:
+            assert r is None
+        else:
+            assert r == pytest.approx(want.loc[x, y], abs=1e-9), (x, y)
+    assert {r.r for r in profile.correlation_matrix(df.limit(0), ["a", "b"]).collect()} == {None}
+
+
 def test_na_reports(spark, as_rows):
     df = spark.createDataFrame([(1, None), (None, None), (3, "x")], "a int, b string")
     got = [tuple(r) for r in profile.na_report(df).collect()]
