@@ -284,7 +284,7 @@ def logistic_group_means(spark, sf):
     "linear_group_means",
     oracle.sql(
         "train",
-        """SELECT order_main_category, count(*) AS n, round(avg(order_basket_value), 2) AS mean_prediction FROM train
+        """SELECT order_main_category, count(*) AS n, round(avg(order_basket_value), 0) AS mean_prediction FROM train
            GROUP BY order_main_category""",
     ),
 )
@@ -292,7 +292,7 @@ def linear_group_means(spark, sf):
     run = basket_run(spark, sf)
     rows = run.pipeline.transform(run.train.withColumn("group", F.col("order_main_category")))
     means = rows.groupBy(F.col("group").alias("order_main_category")).agg(F.count(F.lit(1)).alias("n"), F.avg("prediction").alias("mean_prediction"))
-    return means.withColumn("mean_prediction", F.round("mean_prediction", 2))
+    return means.withColumn("mean_prediction", F.round("mean_prediction", 0))
 
 
 _TWO = """(SELECT count(*) AS n, covar_pop(order_basket_value, a) AS ya, covar_pop(order_basket_value, b) AS yb, covar_pop(a, b) AS ab,
