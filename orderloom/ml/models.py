@@ -39,6 +39,8 @@ class Trained:
     features: list[str]
     train: DataFrame
     test: DataFrame
+    #: Prepared training rows as the model saw them: ``label`` and the vector ``features``.
+    matrix: DataFrame | None = None
 
 
 def _split(clean: DataFrame, split: str, label: str, seed: int) -> tuple[DataFrame, DataFrame]:
@@ -78,6 +80,11 @@ def fit_return_model(
     train: DataFrame, exclude: Iterable[str] = (), class_weights: bool = False
 ) -> tuple[PipelineModel, list[str]]:
     """L2-penalised logistic regression; ``class_weights`` balances the classes."""
+    pipeline, features, _ = _fit_return(train, exclude, class_weights)
+    return pipeline, features
+
+
+def _fit_return(train: DataFrame, exclude: Iterable[str], class_weights: bool) -> tuple[PipelineModel, list[str], DataFrame]:
     exclude = set(exclude)
     numeric = [c for c in schemas.NUMERIC_COLUMNS if c not in exclude]
     category = [c for c in schemas.CATEGORY_COLUMNS if c not in exclude]
@@ -91,8 +98,10 @@ def fit_return_model(
         negative = sizes["n"] / (2.0 * (sizes["n"] - sizes["pos"]))
         rows = rows.withColumn("weight", F.when(F.col("label") == 1, positive).otherwise(negative))
         weight = "weight"
-    matrix = assembler.transform(prepared.transform(rows)).where(F.col("label").isNotNull())
-    return PipelineModel([prepared, assembler, logistic(matrix, penalty, weight=weight)]), prepared.features
+    # Prepared once: the fit and whoever checks it read the vectors.
+    kept = ["label", "features", *([weight] if weight else [])]
+    matrix = materialise(assembler.transform(prepared.transform(rows)).where(F.col("label").isNotNull()).select(*kept), "matrix")
+    return PipelineModel([prepared, assembler, logistic(matrix, penalty, weight=weight)]), prepared.features, matrix
 
 
 def fit_sparse_return_model(
@@ -122,6 +131,11 @@ def fit_basket_model(train: DataFrame, exclude: Iterable[str] = ()) -> tuple[Pip
     The order total nearly determines the target; pass it in ``exclude`` for a
     model without that leak.
     """
+    pipeline, features, _ = _fit_basket(train, exclude)
+    return pipeline, features
+
+
+def _fit_basket(train: DataFrame, exclude: Iterable[str]) -> tuple[PipelineModel, list[str], DataFrame]:
     exclude = {BASKET_TARGET, *exclude}
     numeric = [c for c in schemas.NUMERIC_COLUMNS if c not in exclude]
     category = [c for c in schemas.CATEGORY_COLUMNS if c not in exclude]
@@ -130,20 +144,20 @@ def fit_basket_model(train: DataFrame, exclude: Iterable[str] = ()) -> tuple[Pip
     ).fit(train)
     assembler = VectorAssembler(inputCols=prepared.features, outputCol="features")
     rows = train.withColumn("label", F.col(BASKET_TARGET).cast("double"))
-    matrix = assembler.transform(prepared.transform(rows))
-    return PipelineModel([prepared, assembler, least_squares(matrix)]), prepared.features
+    matrix = materialise(assembler.transform(prepared.transform(rows)).select("label", "features"), "matrix")
+    return PipelineModel([prepared, assembler, least_squares(matrix)]), prepared.features, matrix
 
 
 def train_return_model(clean: DataFrame, seed: int = 42, **options) -> Trained:
     train, test = _split(clean, "stratified", RETURN_TARGET, seed)
-    pipeline, features = fit_return_model(train, **options)
-    return Trained(pipeline, features, train, test)
+    pipeline, features, matrix = _fit_return(train, options.pop("exclude", ()), options.pop("class_weights", False), **options)
+    return Trained(pipeline, features, train, test, matrix)
 
 
 def train_basket_model(clean: DataFrame, seed: int = 42, **options) -> Trained:
     train, test = _split(clean, "random", BASKET_TARGET, seed)
-    pipeline, features = fit_basket_model(train, **options)
-    return Trained(pipeline, features, train, test)
+    pipeline, features, matrix = _fit_basket(train, options.pop("exclude", ()), **options)
+    return Trained(pipeline, features, train, test, matrix)
 
 
 def score_returns(

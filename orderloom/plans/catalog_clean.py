@@ -44,7 +44,7 @@ def src_jsonl(spark, sf):
     ),
 )
 def src_json_tolerant(spark, sf):
-    return messages.line_counts(tables.messages(spark, sf))
+    return messages.line_counts(frames.message_table(spark, sf))
 
 
 @query(
@@ -75,7 +75,7 @@ def sql_table_scan(spark, sf):
     ),
 )
 def publish_payload(spark, sf):
-    return messages.payload(tables.messages(spark, sf))
+    return messages.payload(frames.message_table(spark, sf))
 
 
 # ---- projections -----------------------------------------------------------
@@ -369,7 +369,7 @@ def nan_to_null(spark, sf):
 )
 def json_key(spark, sf):
     doc = jsonf.document(text.strip(F.col("value")))
-    rows = tables.messages(spark, sf).select("position", F.explode(F.array(doc)).alias("doc"))
+    rows = frames.message_table(spark, sf).select("position", F.explode(F.array(doc)).alias("doc"))
     return rows.select("position", jsonf.text_key(F.col("doc"), "event_id").alias("key"))
 
 

@@ -220,13 +220,14 @@ _STATIONARY = 1e-3
 _CATEGORIES = list(schemas.CATEGORY_COLUMNS)
 
 
-def _gradients(run, target: str, predicted, penalty: float):
-    """Per feature: the slope of the mean loss on the training rows, in the coefficient."""
+def _gradients(run, predicted, penalty: float):
+    """Per feature: the slope of the mean loss on the training rows, in the coefficient.  Reads the vectors that the fit read."""
     model = run.pipeline.stages[-1]
-    rows = run.pipeline.transform(run.train.withColumn("actual", F.col(target).cast("double")))
-    sums = rows.agg(*[F.avg((predicted - F.col("actual")) * F.col(f)).alias(f) for f in run.features])
+    rows = model.transform(run.matrix).select((predicted - F.col("label")).alias("off"), vector_to_array("features").alias("x"))
+    sums = rows.agg(*[F.avg(F.col("off") * F.col("x")[i]).alias(f"s{i}") for i in range(len(run.features))])
     penalties = [penalty * float(v) for v in model.coefficients]
-    slopes = [F.struct(F.lit(f).alias("feature"), (F.col(f) + F.lit(p)).alias("slope")) for f, p in zip(run.features, penalties, strict=True)]
+    named = enumerate(zip(run.features, penalties, strict=True))
+    slopes = [F.struct(F.lit(f).alias("feature"), (F.col(f"s{i}") + F.lit(p)).alias("slope")) for i, (f, p) in named]
     return sums.select(F.inline(F.array(*slopes)))
 
 
@@ -246,7 +247,7 @@ def train_logistic(spark, sf):
     run = return_run(spark, sf)
     penalty = run.pipeline.stages[-1].getOrDefault("regParam")
     flat = F.abs("slope") < _STATIONARY
-    return _gradients(run, models.RETURN_TARGET, vector_to_array("probability")[1], penalty).select("feature", flat.alias("stationary"))
+    return _gradients(run, vector_to_array("probability")[1], penalty).select("feature", flat.alias("stationary"))
 
 
 @query(
@@ -258,7 +259,7 @@ def train_linear(spark, sf):
     run = basket_run(spark, sf)
     spread = run.train.agg(F.stddev_pop(models.BASKET_TARGET)).scalar()
     flat = F.abs("slope") < _STATIONARY * spread
-    return _gradients(run, models.BASKET_TARGET, F.col("prediction"), 0.0).select("feature", flat.alias("stationary"))
+    return _gradients(run, F.col("prediction"), 0.0).select("feature", flat.alias("stationary"))
 
 
 # What a fit with a free intercept and an indicator per category value implies for its predictions, in figures that SQL has: over the

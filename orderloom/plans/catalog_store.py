@@ -12,7 +12,7 @@ from orderloom.plans import frames, oracle
 from orderloom.plans.registry import query
 from orderloom.plans.stages import stage
 from orderloom.session import materialise, shared_dir
-from orderloom.sources import snapshots, tables
+from orderloom.sources import snapshots
 
 _EVENT = ", ".join(f.name for f in schemas.EVENT.fields)
 
@@ -92,7 +92,7 @@ def star_quarantine(spark, sf):
 def src_json_observed(spark, sf):
     """Line counts that come with the pass that stores the valid lines."""
     counts = Observation()
-    lines = messages.observe_lines(tables.messages(spark, sf), counts)
+    lines = messages.observe_lines(frames.message_table(spark, sf), counts)
     materialise(lines.where((F.length("line") > 0) & F.col("valid")).select("line"), "valid_lines")
     row = counts.get
     return spark.createDataFrame([tuple(row[c] for c in messages.INTAKE_COUNTS[:3])], [f"{c}" for c in messages.INTAKE_COUNTS[:3]])

@@ -51,19 +51,21 @@ def star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return relational.star(clean_table(spark, sf))
 
 
-def _half(spark: SparkSession, sf: str, device: str) -> DataFrame:
-    rows = norm(spark, sf).where(F.col("order_device") == device)
-    return keyed.latest_per_key(rows, "event_id", "event_time", tables.TIES)
+@stage
+def _halves(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest row of each event and device as a written table: both sides of the upserts read it."""
+    rows = keyed.latest_per_key(norm(spark, sf), ["event_id", "order_device"], "event_time", tables.TIES)
+    return materialise(rows, "halves")
 
 
 def stored(spark: SparkSession, sf: str) -> DataFrame:
     """Desktop half of the log, in the role of the stored set."""
-    return _half(spark, sf, "desktop")
+    return _halves(spark, sf).where(F.col("order_device") == "desktop")
 
 
 def incoming(spark: SparkSession, sf: str) -> DataFrame:
     """Mobile half of the log, in the role of the incoming batch."""
-    return _half(spark, sf, "mobile")
+    return _halves(spark, sf).where(F.col("order_device") == "mobile")
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -89,8 +91,14 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
     return scored(spark, sf).select(*schemas.ID_COLUMNS, F.col("score").alias("return_proba"))
 
 
+@stage
+def message_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The broker's messages as a written table, like an archived topic: their text is built once."""
+    return materialise(tables.messages(spark, sf), "messages")
+
+
 def inspected(spark: SparkSession, sf: str) -> DataFrame:
-    return messages.inspect(tables.messages(spark, sf))
+    return messages.inspect(message_table(spark, sf))
 
 
 def normalized(spark: SparkSession, sf: str) -> DataFrame:
