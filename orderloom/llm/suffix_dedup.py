@@ -18,9 +18,12 @@ same places, so it is enough to compare strings around anchors that several docu
    the bytes.
 
 A very common passage costs one row per part and anchor.  Suffixes that differ (around the passage's ends) are sent per
-document; at an anchor with more than ``HOT_ROWS`` rows in all parts they are sent as their ``LENGTH``-byte strings instead, dealt by the
-hash of the string, and a part sends a string once, for the smallest id.  So a group has at most ``HOT_ROWS`` rows or, for a string, one
-document of each part, however many documents hold the passage.
+document; at an anchor with more than ``HOT_ROWS`` rows in all parts they are not sent at all.  There a part sends the 128-bit digests of the
+``LENGTH``-byte strings that have this anchor as their own (about 18, as every string has one), each once, with the smallest id, packed by the
+bucket they are dealt to.  So a group has at most ``HOT_ROWS`` suffixes or, for a string, one entry of each part, however
+many documents hold the passage.  Strings compared by digest are not compared again by bytes.
+
+Parts stay at ``PART_BYTES`` whatever the corpus; above ``MAX_FILES`` of them, several share a file and a task, which handles them one by one.
 
 Defined cases: null text is empty; texts shorter than ``LENGTH`` bytes stay; rows with a null id stay whole and are no source; rows that
 share an id do not cut each other, and each is cut by its own text; equal rows get equal results; an empty table gives an empty result.
@@ -41,15 +44,18 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.shared import bounded_batches
 from orderloom.llm.words import mixed
-from orderloom.session import materialise
+from orderloom.session import materialise, shared_dir, stage_scope
 
 LENGTH = 50
 GRAM = 16
 SPREAD = LENGTH - GRAM  # an anchor lies at most so many bytes after its string's start
 PART_BYTES = 8 << 20
-MAX_PARTS = 50_000
-#: Rows of an anchor in all parts above which its strings are dealt instead of its suffixes.
+#: Files of the table of texts; more parts share them.
+MAX_FILES = 50_000
+#: Rows of an anchor in all parts above which digests of its strings are dealt instead of its suffixes.
 HOT_ROWS = 10_000
+#: Parts for each of the buckets that string digests are dealt to.
+PARTS_PER_DEAL = 8
 _BASE = 0x9E3779B97F4A7C15
 _U = np.uint64
 
@@ -78,10 +84,11 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def anchors(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the anchors of texts laid end to end (``starts`` has n + 1 entries)."""
+def anchors(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions and hashes of the anchors of texts laid end to end (``starts`` has n + 1 entries), and the hash of the anchor
+    that the string from each position on has (0 where it would run into the next text)."""
     if len(data) < LENGTH:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
     grams = stretch_hashes(data, GRAM)
     least = _sliding(grams, SPREAD + 1, np.minimum)
     # Strings that run into the next text have no anchors.
@@ -89,7 +96,7 @@ def anchors(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     least[np.arange(len(least)) + LENGTH > ends] = 0
     padded = np.concatenate([np.zeros(SPREAD, np.uint64), least, np.zeros(SPREAD, np.uint64)])
     at = np.flatnonzero((_sliding(padded, SPREAD + 1, np.maximum) == grams) & (grams > 0))
-    return at, grams[at]
+    return at, grams[at], least
 
 
 def slices(table: pa.Table, skip: set[int], size: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -171,12 +178,13 @@ SUFFIX = "h bigint, part bigint, rid bigint, doc_id bigint, at bigint, before in
 
 
 def _suffixes(table: pa.Table, extra: pa.Table, buckets: int) -> pa.Table:
-    """Suffixes around the part's shared anchors, or the strings of hot anchors; what a smaller id of this part has too is settled here."""
+    """Suffixes around the part's shared anchors, or digests of the strings of hot ones; what a smaller id of this part has too is
+    settled here."""
     codes, hot_codes = _codes(extra, "blob"), _codes(extra, "hot")
     skip = _copies(extra)
     local: list[np.ndarray] = []
     for data, starts, _, ids in slices(table, skip):
-        at, hashes = anchors(data, starts)
+        at, hashes, _ = anchors(data, starts)
         own = ids[np.searchsorted(starts, at, side="right") - 1]
         keys = np.unique(np.stack([hashes, own.astype(np.uint64)]), axis=1)[0] if len(at) else hashes
         local.append(keys)
@@ -184,14 +192,16 @@ def _suffixes(table: pa.Table, extra: pa.Table, buckets: int) -> pa.Table:
     several = every[count > 1]
     rids = table.column("rid").to_numpy()
     out: dict[str, list] = {c.split()[0]: [] for c in SUFFIX.split(", ")}
-    hot: list[bool] = []
+    strings: list[tuple[np.ndarray, ...]] = []
     for data, starts, rows, ids in slices(table, skip):
-        at, hashes = anchors(data, starts)
+        at, hashes, least = anchors(data, starts)
         bucket, rest = _place(hashes, buckets)
         code = (bucket << _U(32)) | rest.astype(np.uint64)
-        pick = np.isin(code, codes) | np.isin(hashes, several)
+        hot = np.isin(code, hot_codes)
+        if hot.any():
+            strings.append(_own_strings(data, starts, at[hot], hashes[hot], least, rids[rows], ids))
+        pick = (np.isin(code, codes) | np.isin(hashes, several)) & ~hot
         at, hashes = at[pick], hashes[pick]
-        hot += np.isin(code[pick], hot_codes).tolist()
         text = np.searchsorted(starts, at, side="right") - 1
         low, high = np.maximum(at - SPREAD, starts[text]), np.minimum(at + LENGTH, starts[text + 1])
         raw = data.tobytes()
@@ -205,18 +215,10 @@ def _suffixes(table: pa.Table, extra: pa.Table, buckets: int) -> pa.Table:
     columns = ("h", "rid", "doc_id", "at", "before", "suffix")
     rows, settled = _least(list(zip(*(out[c] for c in columns), strict=True)))
     settled = [(rid, at, -1) for _, rid, _, at, _, _ in settled]
-    if any(hot):
-        large = {h for h, is_hot in zip(out["h"], hot, strict=True) if is_hot}
-        strings = []
-        for h, rid, doc_id, at, before, suffix in rows:
-            if h in large:
-                for x in range(max(0, LENGTH - len(suffix) + before), min(before, SPREAD) + 1):
-                    text = suffix[before - x : before - x + LENGTH]
-                    # Its own window: only the string that starts x before the anchor fits in it.
-                    strings.append((int(np.uint64(xxhash.xxh3_64_intdigest(text, x)).view(np.int64)), rid, doc_id, at, x, text))
-        strings, more = _least(strings)
-        rows = [row for row in rows if row[0] not in large] + strings
-        settled += [(rid, at, 1 << x) for _, rid, _, at, x, _ in more]
+    if strings:
+        sent, more = _least_strings(*map(np.concatenate, zip(*strings, strict=True)))
+        rows += [(bucket, 0, 0, 0, -2, blob) for bucket, blob in _packed_strings(*sent, max(1, buckets // PARTS_PER_DEAL))]
+        settled += [(rid, start, 1) for rid, start in zip(*(v.tolist() for v in more), strict=True)]
     if settled:
         # What is settled here travels as one packed row.
         rows.append((part, 0, 0, 0, -1, packed(*np.array(settled, np.int64).T)))
@@ -226,6 +228,68 @@ def _suffixes(table: pa.Table, extra: pa.Table, buckets: int) -> pa.Table:
     return pa.table([pa.array(list(held[c]), t) for c, t in kinds.items()], names=list(kinds))
 
 
+def _own_strings(
+    data: np.ndarray, starts: np.ndarray, at: np.ndarray, hashes: np.ndarray, least: np.ndarray, rids: np.ndarray, ids: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Digest, id, row and start of the strings whose own anchor is one of the given."""
+    found = []
+    for x in range(SPREAD + 1):
+        start = at - x
+        good = (start >= 0) & (start < len(least))
+        found.append(start[good][least[start[good]] == hashes[good]])
+    start = np.unique(np.concatenate(found))
+    text = np.searchsorted(starts, start, side="right") - 1
+    raw = data.tobytes()
+    digests = b"".join(xxhash.xxh3_128_digest(raw[p : p + LENGTH]) for p in start.tolist())
+    return np.frombuffer(digests, "V16"), ids[text], rids[text], (start - starts[text]).astype(np.uint32)
+
+
+def _smallest(digest: np.ndarray, doc_id: np.ndarray) -> np.ndarray:
+    """The smallest id among the entries of each entry's digest."""
+    _, group = np.unique(digest, return_inverse=True)
+    least = np.full(group.max(initial=-1) + 1, np.iinfo(np.int64).max)
+    np.minimum.at(least, group, doc_id)
+    return least[group]
+
+
+def _least_strings(digest: np.ndarray, doc_id: np.ndarray, rid: np.ndarray, start: np.ndarray) -> tuple[tuple, tuple]:
+    """The entries of the smallest id of each string, and row and start of the others."""
+    first = _smallest(digest, doc_id) == doc_id
+    return (digest[first], doc_id[first], rid[first], start[first]), (rid[~first], start[~first])
+
+
+def _packed_strings(digest: np.ndarray, doc_id: np.ndarray, rid: np.ndarray, start: np.ndarray, deals: int) -> Iterator[tuple[int, bytes]]:
+    """The entries of each bucket that has some, as one blob."""
+    bucket = (digest.view(np.uint64).reshape(-1, 2)[:, 0] % _U(deals)).astype(np.int64)
+    order = np.lexsort((start, rid, bucket))
+    edge = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    for own in np.split(order, edge[1:]) if len(order) else ():
+        columns = (digest[own], doc_id[own].astype(np.int64), rid[own].astype(np.int64), start[own])
+        yield int(bucket[own[0]]), b"".join(c.tobytes() for c in columns)
+
+
+def _unpacked_strings(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    n = len(blob) // 36
+    return (
+        np.frombuffer(blob, "V16", n), np.frombuffer(blob, np.int64, n, 16 * n),
+        np.frombuffer(blob, np.int64, n, 24 * n), np.frombuffer(blob, np.uint32, n, 32 * n),
+    )
+
+
+def _mark_strings(parts: list[int], blobs: list[bytes]) -> list[tuple[int, bytes]]:
+    """Per part the strings that a smaller id of another part has too."""
+    held = [_unpacked_strings(b) for b in blobs]
+    digest, doc_id, rid, start = (np.concatenate(c) for c in zip(*held, strict=True))
+    gone = doc_id > _smallest(digest, doc_id)
+    out, low = [], 0
+    for part, (own, *_) in zip(parts, held, strict=True):
+        mine = slice(low, low + len(own))
+        if (some := gone[mine]).any():
+            out.append((part, packed(rid[mine][some], start[mine][some], np.ones(some.sum(), np.int64))))
+        low += len(own)
+    return out
+
+
 def _least(rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
     """Rows ``(h, rid, doc_id, at, before, suffix)`` of the smallest id of each window, and the others."""
     first: dict[tuple, int] = {}
@@ -379,7 +443,9 @@ def _mark(table: pa.Table) -> pa.Table:
     What a part has settled itself passes through with its marks.
     """
     through = table.filter(pc.equal(table.column("before"), -1))
-    table = table.filter(pc.not_equal(table.column("before"), -1)).sort_by("h")
+    strings = table.filter(pc.equal(table.column("before"), -2))
+    marked_strings = _mark_strings(strings.column("part").to_pylist(), strings.column("suffix").to_pylist()) if strings.num_rows else []
+    table = table.filter(pc.greater_equal(table.column("before"), 0)).sort_by("h")
     h, part = table.column("h").to_numpy(), table.column("part").to_numpy()
     before, doc_id = table.column("before").to_numpy(), table.column("doc_id").to_numpy()
     suffix = table.column("suffix").to_pylist()
@@ -395,8 +461,9 @@ def _mark(table: pa.Table) -> pa.Table:
     rid, at = table.column("rid").to_numpy()[keep], table.column("at").to_numpy()[keep]
     edge = np.flatnonzero(np.diff(part[keep], prepend=-1))
     blobs = [packed(*x) for x in zip(*(np.split(v, edge[1:]) for v in (rid, at, marks[keep])), strict=True)] if len(keep) else []
-    parts = pa.array(np.concatenate([part[keep][edge], through.column("part").to_numpy()]), pa.int64())
-    return pa.table([parts, pa.array(blobs + through.column("suffix").to_pylist(), pa.binary())], names=["part", "marks"])
+    blobs += through.column("suffix").to_pylist() + [b for _, b in marked_strings]
+    parts = [*part[keep][edge].tolist(), *through.column("part").to_pylist(), *(p for p, _ in marked_strings)]
+    return pa.table([pa.array(parts, pa.int64()), pa.array(blobs, pa.binary())], names=["part", "marks"])
 
 
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
@@ -435,14 +502,23 @@ def deduplicate(docs: DataFrame, keep_bytes: bool = True, part_bytes: int = PART
     spark = docs.sparkSession
     bounded_batches(spark)
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
-    parts = min(MAX_PARTS, max(1, -(-total // part_bytes)))
-    table = f"dedup_texts_{uuid.uuid4().hex}"
+    parts = max(1, -(-total // part_bytes))
+    files = min(parts, MAX_FILES)
+    result, table = shared_dir(spark, "dedup-result"), f"dedup_texts_{uuid.uuid4().hex}"
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     # The part follows from the row number, so a recomputed task deals its rows the same way.
     rows = rows.withColumn("part", F.pmod(F.xxhash64("rid"), F.lit(parts)))
-    rows.repartition(parts, "part").write.bucketBy(parts, "part").option("compression", "zstd").format("parquet").saveAsTable(table)
-    held = spark.table(table)
+    with stage_scope(spark):
+        texts = rows.repartition(files, "part").write.bucketBy(files, "part").option("compression", "zstd")
+        texts.format("parquet").option("path", shared_dir(spark, "dedup-texts")).saveAsTable(table)
+        try:
+            held = _deduplicated(spark.table(table), parts, hot_rows, keep_bytes, result)
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return held if keep_bytes else held.drop("kept")
+
 
+def _deduplicated(held: DataFrame, parts: int, hot_rows: int, keep_bytes: bool, path: str) -> DataFrame:
     sums = materialise(
         held.filter(F.col("doc_id").isNotNull()).select("part", "rid", "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sum")), "dedup-sums"
     )
@@ -457,9 +533,7 @@ def deduplicate(docs: DataFrame, keep_bytes: bool = True, part_bytes: int = PART
     answers = asked.groupBy("bucket").applyInArrow(lambda t: _answer(t, hot_rows), "part bigint, bucket bigint, blob binary, hot binary")
     extra = copies.unionByName(answers, allowMissingColumns=True)
     suffixes = with_parts(lambda a, b: _suffixes(a, b, parts), extra, SUFFIX)
-    dealt = suffixes.withColumn("deal", F.pmod(F.xxhash64("h"), F.lit(parts))).groupBy("deal")
-    marks = dealt.applyInArrow(lambda t: _mark(t.drop_columns(["deal"])), MARKS)
+    deal = F.when(F.col("before") == -2, F.col("h")).otherwise(F.pmod(F.xxhash64("h"), F.lit(parts)))
+    marks = suffixes.withColumn("deal", deal).groupBy("deal").applyInArrow(lambda t: _mark(t.drop_columns(["deal"])), MARKS)
     extra = copies.unionByName(marks, allowMissingColumns=True)
-    result = materialise(with_parts(lambda a, b: _cut(a, b, keep_bytes), extra, RESULT), "dedup-result")
-    spark.sql(f"DROP TABLE {table}")
-    return result if keep_bytes else result.drop("kept")
+    return materialise(with_parts(lambda a, b: _cut(a, b, keep_bytes), extra, RESULT), "dedup-result", path)
