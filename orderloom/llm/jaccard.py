@@ -7,7 +7,9 @@ Two texts are linked if the Jaccard similarity of their sets of five-word shingl
 2. Representatives that agree in a whole band of ``BAND`` values are candidates.  Bands of one member are dropped by a
    counting aggregation before anything else is carried.  A pair of similarity 0.8 misses all bands with probability 5e-8.
 3. Within a bucket a pair's MinHash bytes are compared ``STEP`` at a time; it is dropped once the posterior probability of reaching the
-   threshold falls below ``TOLERANCE`` (uniform prior).  What is left makes a spanning forest, not a list of pairs.
+   threshold falls below ``TOLERANCE`` (uniform prior).  What is left makes a spanning forest, not a list of pairs.  In a bucket of more than
+   ``BLOCK`` members all are first compared with its smallest; those that this pair keeps hang together, and only the others are compared with
+   everybody, in groups of ``WIDE_BLOCK`` a side, each a task's work.
 4. The forest's components are clusters.  Within each, texts are compared exactly: common shingles of all pairs are counted block
    by block (``BLOCK`` texts a side), so a large cluster is many tasks, and a task returns link counts and a spanning
    forest of true links.  Pairs are never rows, and no link between different texts is lost or capped.
@@ -40,8 +42,10 @@ HASHES = 128
 BAND = 4
 STEP = 32
 TOLERANCE = 1e-6
-#: Texts of one side of an exact comparison; candidates of a bucket that are compared with each other.
+#: Texts of one side of an exact comparison; candidates of a bucket that are compared with each other at once.
 BLOCK = 512
+#: MinHash rows of one side of a group of comparisons within a wide bucket.
+WIDE_BLOCK = 4096
 
 
 def permutations(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,10 +101,8 @@ def least_matches(threshold: float, tolerance: float) -> dict[int, int]:
     return out
 
 
-def surviving(low: np.ndarray, floor: dict[int, int]) -> np.ndarray:
-    """Matrix of the pairs of rows that the incremental comparison does not drop."""
-    n = len(low)
-    a, b = np.triu_indices(n, 1)
+def compared(low: np.ndarray, a: np.ndarray, b: np.ndarray, floor: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs of rows ``(a, b)`` that the incremental comparison does not drop."""
     matches = np.zeros(len(a), np.int32)
     for end, least in floor.items():
         part = slice(end - STEP, end)
@@ -109,6 +111,14 @@ def surviving(low: np.ndarray, floor: dict[int, int]) -> np.ndarray:
             matches[s] += (low[a[s], part] == low[b[s], part]).sum(axis=1, dtype=np.int32)
         alive = matches >= least
         a, b, matches = a[alive], b[alive], matches[alive]
+    return a, b
+
+
+def surviving(low: np.ndarray, floor: dict[int, int], side: np.ndarray | None = None) -> np.ndarray:
+    """Matrix of the pairs of rows that stay; with ``side``, pairs of one side are left out."""
+    n = len(low)
+    a, b = np.triu_indices(n, 1) if side is None else map(np.ravel, np.meshgrid(np.flatnonzero(side), np.flatnonzero(~side)))
+    a, b = compared(low, a, b, floor)
     out = np.zeros((n, n), bool)
     out[a, b] = out[b, a] = True
     return out
@@ -156,16 +166,15 @@ def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+EDGE = "a bigint, b bigint"
+
+
 def candidate_edges(reps: DataFrame) -> DataFrame:
     """``(a, b)``: spanning forests of the buckets' surviving pairs."""
     floor = least_matches(THRESHOLD, TOLERANCE)
     bands = reps.select("rep", F.explode("bands").alias("bucket"))
     shared = bands.groupBy("bucket").agg(F.count("*").alias("members")).filter(F.col("members") > 1)
     members = bands.join(shared, "bucket")
-    # A bucket of more than BLOCK members is one candidate group as it is; its exact comparison is done in blocks.
-    wide = members.filter(F.col("members") > BLOCK)
-    leaders = wide.groupBy("bucket").agg(F.min("rep").alias("a"))
-    stars = wide.join(leaders, "bucket").filter(F.col("rep") != F.col("a")).select("a", F.col("rep").alias("b")).distinct()
     tight = members.filter(F.col("members") <= BLOCK).select("bucket", "rep").join(reps.select("rep", "low"), "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +187,63 @@ def candidate_edges(reps: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], ["a", "b"])
 
     grouped = tight.select("bucket", "rep", "low").repartition("bucket").sortWithinPartitions("bucket")
-    return grouped.mapInArrow(run, "a bigint, b bigint").distinct().unionByName(stars)
+    wide = members.filter(F.col("members") > BLOCK).select("bucket", "rep").join(reps.select("rep", "low"), "rep")
+    return grouped.mapInArrow(run, EDGE).unionByName(wide_edges(materialise(wide, "jaccard-wide"), floor)).distinct()
+
+
+def wide_edges(wide: DataFrame, floor: dict[int, int]) -> DataFrame:
+    """``(a, b)``: the same for buckets of more than ``BLOCK`` members, from rows ``(rep, bucket, low)``."""
+    leaders = wide.groupBy("bucket").agg(F.min(F.struct("rep", "low")).alias("x")).select("bucket", F.col("x.rep").alias("lead"), F.col("x.low").alias("lead_low"))
+
+    def with_leader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            low = np.frombuffer(b"".join([*batch.column("lead_low").to_pylist(), *batch.column("low").to_pylist()]), np.uint8).reshape(2 * n, -1)
+            kept = np.zeros(n, bool)
+            kept[compared(low, np.arange(n), np.arange(n) + n, floor)[0]] = True
+            columns = [batch.column(c) for c in ("bucket", "lead", "rep", "low")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(kept)], ["bucket", "lead", "rep", "low", "kept"])
+
+    met = wide.join(leaders, "bucket").select("bucket", "lead", "lead_low", "rep", "low")
+    met = materialise(met.mapInArrow(with_leader, "bucket bigint, lead bigint, rep bigint, low binary, kept boolean"), "jaccard-led")
+    stars = met.filter(F.col("kept") & (F.col("rep") != F.col("lead"))).select(F.col("lead").alias("a"), F.col("rep").alias("b"))
+    count = lambda c: F.ceil(F.count_if(c) / WIDE_BLOCK)
+    sizes = met.groupBy("bucket").agg(count(~F.col("kept")).alias("u"), count(F.col("kept")).alias("l")).filter(F.col("u") > 0)
+    left = met.join(sizes, "bucket")
+    own = F.pmod(F.xxhash64("rep"), F.when(F.col("kept"), F.col("l")).otherwise(F.col("u")))
+    group = lambda with_led, i, j: F.struct(F.lit(with_led).alias("led"), i.alias("i"), j.alias("j"))
+    upto = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
+    groups = F.when(F.col("kept"), F.transform(upto("u"), lambda k: group(1, k, F.col("own")))).otherwise(
+        F.concat(
+            F.transform(upto("u"), lambda k: group(0, F.least(F.col("own"), k), F.greatest(F.col("own"), k))),
+            F.transform(upto("l"), lambda k: group(1, F.col("own"), k)),
+        )
+    )
+    dealt = left.withColumn("own", own).select("bucket", "rep", "low", "kept", "own", F.explode(groups).alias("g"))
+    dealt = dealt.select("bucket", "g.led", "g.i", "g.j", "rep", "low", (F.col("kept") | ((F.col("g.led") == 0) & (F.col("own") != F.col("g.i")))).alias("second"))
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in runs(batches, 4):
+            low = np.frombuffer(b"".join(rows.column("low").to_pylist()), np.uint8).reshape(rows.num_rows, -1)
+            ids, second = rows.column("rep").to_numpy(), rows.column("second").to_numpy()
+            one, two = np.flatnonzero(~second), np.flatnonzero(second)
+            within = not len(two)
+            if within:
+                two = one
+            for x in range(0, len(one), BLOCK):
+                for y in range(x if within else 0, len(two), BLOCK):
+                    first, other = one[x : x + BLOCK], two[y : y + BLOCK]
+                    if within and x == y:
+                        at, side = first, None
+                    else:
+                        at, side = np.concatenate([first, other]), np.arange(len(first) + len(other)) < len(first)
+                    if edges := forest(surviving(low[at], floor, side)):
+                        a, b = at[np.array(edges)].T
+                        yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], ["a", "b"])
+
+    keys = ["bucket", "led", "i", "j"]
+    pairs = dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(across, EDGE)
+    return stars.unionByName(pairs)
 
 
 def common(values: np.ndarray, owner: np.ndarray, count: int, rare: int = 8) -> np.ndarray:
