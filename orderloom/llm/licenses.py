@@ -243,6 +243,8 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .groupBy("dir").agg(F.max(F.struct("depth", "above", "theirs")).alias("x"))
         .select("dir", F.col("x.above").alias("from_dir"), F.col("x.theirs").alias("theirs"))
     )
+    # Written, so that Spark knows whether it may be broadcast: files of one folder may be very many.
+    nearest = materialise(nearest, "license-nearest")
     # Only files that have a folder and no license of their own can inherit; the others are not shuffled.
     heir = F.col("license").isNull() & F.col("dir").isNotNull()
     joined = found.filter(heir).join(nearest, "dir", "left").unionByName(found.filter(~heir), allowMissingColumns=True)
