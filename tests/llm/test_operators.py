@@ -130,6 +130,40 @@ def test_mixing(docs):
     assert mixing.digest(docs.limit(0)).count() == 0
 
 
+def test_wide_buckets_are_pruned_by_the_posterior(spark):
+    """2,100 members of one bucket: what hangs together is what all pairs' comparison says, nothing more."""
+    rng = np.random.default_rng(4)
+    floor = jaccard.least_matches(jaccard.THRESHOLD, jaccard.TOLERANCE)
+    centres = rng.integers(0, 256, (40, jaccard.HASHES), dtype=np.uint8)
+    low = centres[np.r_[np.zeros(900, int), rng.integers(1, 40, 1200)]]
+    low = np.where(rng.random(low.shape) < 0.18, rng.integers(0, 256, low.shape, dtype=np.uint8), low)
+    low = np.concatenate([low, rng.integers(0, 256, (100, jaccard.HASHES), dtype=np.uint8)])
+    rows = [(i, 7, low[i].tobytes()) for i in rng.permutation(len(low)).tolist()] + [(i, 8, low[0].tobytes()) for i in range(5000, 5600)]
+    found = jaccard.wide_edges(spark.createDataFrame(rows, "rep bigint, bucket bigint, low binary").repartition(5), floor)
+    got = {(r.a, r.b) for r in found.collect()}
+    linked = jaccard.surviving(low, floor)
+
+    def groups(edges, n):
+        root = list(range(n))
+
+        def top(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        for a, b in edges:
+            root[top(a)] = top(b)
+        tops = [top(i) for i in range(n)]
+        least = {}
+        for i, t in enumerate(tops):
+            least.setdefault(t, i)
+        return [least[t] for t in tops]
+
+    n = len(low)
+    assert groups([e for e in got if e[0] < 5000], n) == groups(jaccard.forest(linked), n)
+    assert len({b for a, b in got if a == 5000}) == 599  # equal signatures: a star, no pairs
+
+
 def test_suffix_dedup(docs):
     unique = docs.dropDuplicates(["doc_id"])
     got = {r.doc_id: r for r in held(suffix_dedup.deduplicate(unique, part_bytes=4000))}
@@ -187,6 +221,27 @@ def test_suffix_dedup_of_a_very_common_passage(spark):
             if before >= 0:
                 sizes[h] = sizes.get(h, 0) + 1
     assert max(sizes.values()) <= 20  # 300 documents before
+    # A hot suffix costs the digests of the strings that have its anchor as their own, each once a part.
+    entries, suffixes = 0, 0
+    for part, t in enumerate(tables):
+        extra = answers.filter(pc.equal(answers.column("part"), part))
+        hot = np.concatenate([np.frombuffer(x, np.uint32) for x in extra.column("hot").to_pylist()])
+        for data, starts, _, _ in suffix_dedup.slices(t, set()):
+            suffixes += int(np.isin(suffix_dedup.anchors(data, starts)[1].astype(np.uint32), hot).sum())
+        extra = extra.append_column("copies", pa.nulls(extra.num_rows, pa.list_(pa.int64())))
+        out = suffix_dedup._suffixes(t, extra, 1)
+        blobs = [b for b, kind in zip(out.column("suffix").to_pylist(), out.column("before").to_pylist(), strict=True) if kind == -2]
+        entries += sum(len(suffix_dedup._unpacked_strings(b)[0]) for b in blobs)
+    assert 0 < entries <= 20 * suffixes
+
+
+def test_parts_share_files(spark, monkeypatch):
+    """More parts than files: the same result, and parts stay small."""
+    monkeypatch.setattr(suffix_dedup, "MAX_FILES", 3)
+    texts = [prose(30) + (" " + PASSAGE if i % 3 == 0 else "") for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = suffix_dedup.deduplicate(df, part_bytes=500, hot_rows=5).collect()
+    assert [n for _, n in sorted((r.doc_id, r.n_removed) for r in got)] == removed_bytes(texts)
 
 
 def test_suffix_dedup_of_repeated_ids(spark):
