@@ -4,8 +4,9 @@
 
 1. Digests and sizes are computed from the payload column alone; of equal payloads of at least ``least`` bytes the smallest key is
    the response, the others become revisits of it.  This is an aggregation and a join of narrow rows: one digest may own most rows.
-2. Shards are ranges of the key, cut where the bytes of fixed-width key ranges add up to ``shard_bytes``: they depend on
-   the data and parameters only, not on sampling, cluster or retries.
+2. Shards are ranges of the key, cut where the bytes of fixed-width key ranges add up to ``shard_bytes``; a range of more bytes than a shard is
+   split again between its own smallest and largest key, until only single keys are larger.  So outlying keys do not matter, and borders
+   depend on the data and parameters only, not on sampling, cluster or retries.
 3. The payload is shuffled once, to its shard, with the revisit marks of step 1 as rows that sort just before their record.
    A task streams its sorted rows into files, starts the next file once ``file_bytes`` of compressed data are written,
    and regenerates every header and digest.
@@ -36,11 +37,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm.shared import bounded_batches
+from orderloom.session import materialise
 
 SHARD_BYTES = 64 << 20
 FILE_BYTES = 16 << 20
 LEAST_REVISIT = 100
-#: Fixed-width key ranges whose byte counts decide the shard borders; bounds the border table.
+#: Fixed-width key ranges whose byte counts decide the shard borders, before the heavy ones are split.
 RANGES = 1 << 14
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -68,18 +70,52 @@ def revisits(records: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     return long.join(first, "digest").filter(F.col("key") > F.col("refers_to")).distinct().select("key", "digest", "refers_to")
 
 
-def shard_borders(records: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[int, int, DataFrame]:
-    """Smallest key, width of a key range, and ``(range, shard)``; at most ``RANGES`` + 1 rows."""
-    ends = records.agg(F.min("key").alias("low"), F.max("key").alias("high")).first()
-    low, high = ends["low"] or 0, ends["high"] or 0
-    width = max(1, -(-(high - low + 1) // RANGES))
-    sized = records.groupBy(key_range(low, width).alias("range")).agg(F.sum(F.col("size") + 512).alias("bytes"))
-    before = F.sum("bytes").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
-    return low, width, sized.select("range", F.floor(F.coalesce(before, F.lit(0)) / shard_bytes).alias("shard"))
+#: Names of ranges sort as their keys do: a number of so many digits per level.
+DIGITS = 6
+
+
+class Ranges:
+    """Key ranges by name: fixed-width ones, and below them the pieces of the heavy ones, level by level."""
+
+    def __init__(self, low: int, width: int):
+        self.low, self.width = low, width
+        self.levels: list[DataFrame] = []  # (range, range_low, range_width) of the ranges that are split on this level
 
+    def name(self, rows: DataFrame) -> DataFrame:
+        """Adds ``range``; null keys have the first one."""
+        number = F.coalesce(F.floor((F.col("key") - self.low) / self.width) + 1, F.lit(0))
+        rows = rows.withColumn("range", F.lpad(number.cast("string"), DIGITS, "0"))
+        for split in self.levels:
+            piece = F.floor((F.col("key") - F.col("range_low")) / F.col("range_width")).cast("string")
+            name = F.concat_ws(".", "range", F.lpad(piece, DIGITS, "0"))  # the name itself where nothing is split
+            rows = rows.join(split, "range", "left").withColumn("range", name).drop("range_low", "range_width")
+        return rows
 
-def key_range(low: int, width: int):
-    return F.coalesce(F.floor((F.col("key") - low) / width), F.lit(-1))
+
+def shard_borders(records: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[Ranges, DataFrame]:
+    """Ranges of at most ``shard_bytes`` (or of one key), and a written table ``(range, shard)``: a row for each range that has keys.
+
+    Its size follows the number of shards, which is also the number of the writer's tasks; Spark broadcasts it if it may.
+    """
+    ends = records.agg(F.min("key").alias("low"), F.max("key").alias("high")).first()
+    low, high = ends["low"] or 0, ends["high"] or 0
+    ranges = Ranges(low, max(1, -(-(high - low + 1) // RANGES)))
+    measures = [F.sum(F.col("size") + 512).alias("bytes"), F.min("key").alias("from"), F.max("key").alias("to")]
+    while True:
+        sized = materialise(ranges.name(records).groupBy("range").agg(*measures), "warc-ranges")
+        pieces = F.least(F.lit(RANGES), F.ceil(F.col("bytes") / shard_bytes) * 4)
+        width = F.ceil((F.col("to") - F.col("from") + 1) / pieces).cast("bigint").alias("range_width")
+        heavy = sized.filter((F.col("bytes") > shard_bytes) & (F.col("from") < F.col("to")))
+        if heavy.isEmpty():
+            break
+        ranges.levels.append(materialise(heavy.select("range", F.col("from").alias("range_low"), width), "warc-split"))
+    # Bytes before a range: before its first-level range (at most RANGES + 1 of them), and within that.
+    ahead = lambda w: F.coalesce(F.sum("bytes").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sized = sized.withColumn("top", F.substring("range", 1, DIGITS))
+    tops = sized.groupBy("top").agg(F.sum("bytes").alias("bytes")).select("top", ahead(Window.orderBy("top")).alias("before"))
+    placed = sized.withColumn("within", ahead(Window.partitionBy("top").orderBy("range"))).join(F.broadcast(tops), "top")
+    shard = F.floor((F.col("before") + F.col("within")) / shard_bytes).cast("bigint")
+    return ranges, materialise(placed.select("range", shard.alias("shard")), "warc-borders")
 
 
 def _headers(fields: Iterable[tuple[str, object]]) -> bytes:
@@ -156,16 +192,13 @@ def write(records: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, file_
     payload = F.coalesce(payload, F.to_binary(F.lit("")))
     key = F.col("key").cast("bigint").alias("key")
     narrow = records.select(key, F.sha2(payload, 256).alias("digest"), F.octet_length(payload).cast("bigint").alias("size"))
-    low, width, borders = shard_borders(narrow, shard_bytes)
-    borders = {r["range"]: r["shard"] for r in borders.collect()}  # at most RANGES + 1 numbers
-    shards = max(borders.values(), default=0) + 1
-    table = spark.createDataFrame([(r, s) for r, s in sorted(borders.items())] or [(-1, 0)], "range bigint, shard bigint")
+    ranges, borders = shard_borders(narrow, shard_bytes)
+    shards = (borders.agg(F.max("shard")).first()[0] or 0) + 1
     rows = records.select(key, F.col("uri").cast("string").alias("uri"), payload.alias("payload"), F.sha2(payload, 256).alias("digest"), F.lit(1).alias("kind"), F.lit(None).cast("bigint").alias("refers_to"))
     marks = revisits(narrow, least).select("key", F.lit(None).cast("string").alias("uri"), F.lit(None).cast("binary").alias("payload"), "digest", F.lit(0).alias("kind"), "refers_to")
     dealt = (
-        rows.unionByName(marks)
-        .withColumn("range", key_range(low, width))
-        .join(F.broadcast(table), "range")
+        ranges.name(rows.unionByName(marks))
+        .join(borders, "range")
         .drop("range")
         .repartitionById(int(shards), F.col("shard").cast("int"))
         .sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "digest", "kind", "uri")
@@ -201,6 +234,10 @@ def write(records: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, file_
     fs, path = opened(folder)
     fs.create_dir(path, recursive=True)
     dealt.mapInArrow(put, MANIFEST).write.parquet(f"{folder}/manifest")
+    # What failed attempts have left; the manifest is complete, so nobody writes any more.
+    for found in fs.get_file_info(pafs.FileSelector(path)):
+        if found.base_name.startswith("_attempt-"):
+            fs.delete_file(found.path)
 
 
 def _arrow(ddl: str) -> pa.Schema:
