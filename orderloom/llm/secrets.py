@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.shared import row_key, spans
+from orderloom.llm.shared import let, prefix_max, row_key, spans
 from orderloom.session import materialise
 
 #: Code points within which complementary parts must lie.
@@ -110,6 +110,16 @@ def linked(narrow: DataFrame, scope: int = SCOPE) -> DataFrame:
     return near.filter(keep).groupBy("key").agg(F.collect_list(F.struct("start", "end", "kind")).alias("extra"))
 
 
+def _uncovered(weak: Column, base: Column) -> Column:
+    """The weak parts that no base part covers whole: in the order of starts, base parts first, none has reached their end yet."""
+    event = lambda rank: lambda p: F.struct(p["start"].alias("start"), F.lit(rank).alias("weak"), p["end"].alias("end"), p["kind"].alias("kind"))
+    events = F.array_sort(F.concat(F.transform(base, event(0)), F.transform(weak, event(1))))
+    reached = lambda e: prefix_max(F.transform(e, lambda p: F.when(p["weak"] == 0, p["end"]).otherwise(F.lit(0).cast("bigint"))))
+    plain = lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), p["kind"].alias("kind"))
+    free = lambda e, r: F.filter(e, lambda p, i: (p["weak"] == 1) & (F.get(r, i) < p["end"]))
+    return let(events, lambda e: let(reached(e), lambda r: F.transform(free(e, r), plain)))
+
+
 def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """``(doc_id, key, base, found)`` per row: base parts and all reported parts, by start, then kind."""
     narrow = _narrow(docs)
@@ -117,10 +127,8 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
         F.transform(a, lambda p: F.struct(p["start"].alias("start"), p["kind"].alias("kind"), p["end"].alias("end")))
     )
     base = F.filter("parts", lambda p: p["kind"] < len(BASE))
-    # A weak part that base parts already cover adds nothing.
-    covered = lambda x, b: F.exists(b, lambda s: (s["start"] <= x["start"]) & (s["end"] >= x["end"]))
     none = F.array().cast("array<struct<start:bigint,end:bigint,kind:int>>")
-    extra = F.filter(F.coalesce("extra", none), lambda x: ~covered(x, base))
+    extra = F.when(F.coalesce(F.size("extra"), F.lit(0)) > 0, _uncovered(F.col("extra"), base)).otherwise(none)
     return narrow.join(linked(narrow, scope), "key", "left").select(
         "doc_id", "key", ordered(base).alias("base"), ordered(F.concat(base, extra)).alias("found")
     )
@@ -142,16 +150,19 @@ def redact(docs: DataFrame, scope: int = SCOPE, mark: str = "[SECRET]") -> DataF
     found = scan(docs, scope).filter(F.size("found") > 0).select("key", "found").dropDuplicates(["key"])
     found = found.withColumnsRenamed({"key": "__key", "found": "__found"})
     text, parts = docs["text"], F.col("__found")
-    reach = lambda i: F.coalesce(F.array_max(F.transform(F.slice(parts, 1, i), lambda p: p["end"])), F.lit(0))
-    pieces = F.transform(
-        parts,
-        lambda p, i: F.when(
-            p["start"] >= reach(i),
-            F.concat(F.substring(text, (reach(i) + 1).cast("int"), (p["start"] - reach(i)).cast("int")), F.lit(mark)),
-        ).otherwise(F.lit("")),
-    )
-    tail = F.substring(text, (reach(F.size(parts)) + 1).cast("int"), F.length(text))
-    clean = F.when(parts.isNull(), text).otherwise(F.concat(F.concat_ws("", pieces), tail))
+    # Four bytes a code point, so a piece is cut at its place without reading what is before it.
+    held = F.struct(F.encode(text, "UTF-32").alias("wide"), prefix_max(F.transform(parts, lambda p: p["end"])).alias("reach"))
+    piece = lambda x, start, end: F.decode(F.substring(x["wide"], (start * 4 + 1).cast("int"), ((end - start) * 4).cast("int")), "UTF-32")
+    before = lambda x, i: F.coalesce(F.get(x["reach"], i - 1), F.lit(0))
+
+    def cut(x: Column) -> Column:
+        kept = F.transform(
+            parts,
+            lambda p, i: F.when(p["start"] >= before(x, i), F.concat(piece(x, before(x, i), p["start"]), F.lit(mark))).otherwise(F.lit("")),
+        )
+        return F.concat(F.concat_ws("", kept), piece(x, before(x, F.size(parts)), F.length(text)))
+
+    clean = F.when(parts.isNull(), text).otherwise(let(held, cut))
     columns = [clean.alias(c) if c == "text" else docs[c] for c in docs.columns]
     out = docs.join(found, row_key(docs["doc_id"], text) == found["__key"], "left").select(*columns)
     if "n_chars" in docs.columns:

@@ -36,19 +36,29 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def prefix_sums(values: Column) -> Column:
-    """Inclusive running sums of an array, in blocks of its square root so that long arrays stay cheap."""
+    """Inclusive running sums of an array."""
+    return _running(values, lambda s, x: s + x)
+
+
+def prefix_max(values: Column) -> Column:
+    """Inclusive running maximum of an array of numbers that are not negative."""
+    return _running(values, lambda s, x: F.greatest(s, x))
+
+
+def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Inclusive running fold from zero, in blocks of the array's square root so that long arrays stay cheap."""
     zero = F.lit(0).cast("bigint")
-    total = lambda a: F.aggregate(a, zero, lambda s, x: s + x)
+    total = lambda a: F.aggregate(a, zero, join)
 
     def of(v: Column) -> Column:
         width = F.ceil(F.sqrt(F.size(v))).cast("int")
         blocks = F.transform(
             F.sequence(F.lit(0), F.ceil(F.size(v) / width).cast("int") - 1), lambda k: F.slice(v, k * width + 1, width)
         )
-        return let(blocks, lambda b: let(F.transform(b, total), lambda sums: join(b, sums)))
+        return let(blocks, lambda b: let(F.transform(b, total), lambda sums: put(b, sums)))
 
-    def join(b: Column, sums: Column) -> Column:
-        within = lambda x, before: F.transform(x, lambda v, j: before + total(F.slice(x, 1, j + 1)))
+    def put(b: Column, sums: Column) -> Column:
+        within = lambda x, before: F.transform(x, lambda v, j: join(before, total(F.slice(x, 1, j + 1))))
         return F.flatten(F.transform(b, lambda x, k: let(total(F.slice(sums, 1, k)), lambda s: within(x, s))))
 
     empty = F.array().cast("array<bigint>")
