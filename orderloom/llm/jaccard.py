@@ -193,7 +193,9 @@ def candidate_edges(reps: DataFrame) -> DataFrame:
 
 def wide_edges(wide: DataFrame, floor: dict[int, int]) -> DataFrame:
     """``(a, b)``: the same for buckets of more than ``BLOCK`` members, from rows ``(rep, bucket, low)``."""
-    leaders = wide.groupBy("bucket").agg(F.min(F.struct("rep", "low")).alias("x")).select("bucket", F.col("x.rep").alias("lead"), F.col("x.low").alias("lead_low"))
+    # A row per wide bucket, written: where Spark broadcasts it, members of one bucket are not brought together.
+    first = wide.groupBy("bucket").agg(F.min(F.struct("rep", "low")).alias("x"))
+    leaders = materialise(first.select("bucket", F.col("x.rep").alias("lead"), F.col("x.low").alias("lead_low")), "jaccard-leaders")
 
     def with_leader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,6 +211,7 @@ def wide_edges(wide: DataFrame, floor: dict[int, int]) -> DataFrame:
     stars = met.filter(F.col("kept") & (F.col("rep") != F.col("lead"))).select(F.col("lead").alias("a"), F.col("rep").alias("b"))
     count = lambda c: F.ceil(F.count_if(c) / WIDE_BLOCK)
     sizes = met.groupBy("bucket").agg(count(~F.col("kept")).alias("u"), count(F.col("kept")).alias("l")).filter(F.col("u") > 0)
+    sizes = materialise(sizes, "jaccard-sizes")
     left = met.join(sizes, "bucket")
     own = F.pmod(F.xxhash64("rep"), F.when(F.col("kept"), F.col("l")).otherwise(F.col("u")))
     group = lambda with_led, i, j: F.struct(F.lit(with_led).alias("led"), i.alias("i"), j.alias("j"))
