@@ -396,6 +396,31 @@ def test_license_query_on_pages(spark, tmp_path):
     }
 
 
+def test_redaction_of_very_many_parts(spark):
+    """30,000 parts in one text, among other characters than ASCII, in a plan that reads no prefix again for each."""
+    rng = random.Random(6)
+    hexes = ["".join(rng.choice("0123456789abcdef") for _ in range(24)) for _ in range(50)]
+    long = " é😀 ".join(rng.choice(hexes) for _ in range(30_000))
+    small = f'😀 token = "{TOKEN}" and {hexes[0]}'
+    rows = [(1, long), (2, small), (3, "clean é"), (4, None), (2, small)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("n_chars", F.length("text"))
+    got = sorted(((r.doc_id, r.text, r.n_chars) for r in secrets.redact(df).collect()), key=str)
+    swept = " é😀 ".join(["[SECRET]"] * 30_000)
+    want = [(1, swept), (2, "😀 [SECRET]\" and [SECRET]"), (2, "😀 [SECRET]\" and [SECRET]"), (3, "clean é"), (4, None)]
+    assert [g[:2] for g in got] == sorted(want, key=str) and all(g[2] == (None if g[1] is None else len(g[1])) for g in got)
+
+
+def test_weak_parts_that_base_parts_cover(spark):
+    rng = random.Random(2)
+    part = lambda kinds: (lambda s: (s, s + rng.randint(1, 40), rng.choice(kinds)))(rng.randint(0, 200))
+    rows = [(i, [part([0, 1, 2]) for _ in range(rng.randint(0, 12))], [part([3, 4]) for _ in range(rng.randint(1, 12))]) for i in range(60)]
+    shape = "array<struct<start:bigint,end:bigint,kind:int>>"
+    df = spark.createDataFrame(rows, f"id int, base {shape}, weak {shape}")
+    for r in df.select("id", secrets._uncovered(F.col("weak"), F.col("base")).alias("free")).collect():
+        _, base, weak = rows[r.id]
+        assert sorted(map(tuple, r.free)) == sorted(w for w in weak if not any(b[0] <= w[0] and b[1] >= w[1] for b in base))
+
+
 def test_warc_round_trip(spark):
     long = "x" * 150
     rows = [(5, "u5", long), (2, "u2", long), (9, "u9", long), (3, "u3", "short"), (4, "u4", "short"), (6, None, None), (7, "a\r\nb", "é😀\r\n\r\n" * 40), (None, "n", long)]
@@ -408,6 +433,26 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(df.limit(0), shared_dir(spark, "warc")).count() == 0
 
 
+def test_warc_borders_do_not_mind_outlying_keys(spark):
+    """Shards stay near their size whatever the distances between keys; a key of its own may be larger, null keys come first."""
+    clusters = [*range(2000), *range(10**12, 10**12 + 500), 10**18, -(10**17)]
+    rows = [(k, "p", 1000) for k in clusters] + [(77, "q", 400_000), (None, "r", 10)]
+    df = spark.createDataFrame(rows, "key bigint, digest string, size bigint")
+    ranges, borders = warc.shard_borders(df, 100_000)
+    placed = ranges.name(df).join(borders, "range").collect()
+    assert len(placed) == len(rows)
+    shards = {}
+    for r in placed:
+        shards.setdefault(r.shard, []).append(r)
+    bytes_of = {n: sum(r.size + 512 for r in own) for n, own in shards.items()}
+    assert all(n <= 200_000 for s, n in bytes_of.items() if not any(r.size > 100_000 for r in shards[s]))
+    assert len(shards) >= (2502 * 1512) // 200_000
+    order = sorted((r.key is not None, r.key or 0, r.shard) for r in placed)
+    assert [o[2] for o in order] == sorted(o[2] for o in order)  # shards are ranges of the key
+    again = warc.shard_borders(df.repartition(7), 100_000)[1]
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, borders.collect()))
+
+
 def test_warc_rolls_files_and_repeats_bytes(spark):
     rows = [(i, f"u{i}", prose(300, random.Random(i))) for i in range(60)]
     df = spark.createDataFrame(rows, "key bigint, uri string, payload string")
