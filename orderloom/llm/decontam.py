@@ -1,13 +1,20 @@
-"""Benchmark decontamination: BM25 over test items with block-max pruning, then overlap of question and answer.
+"""Benchmark decontamination: BM25 over an inverted index of test items with block-max WAND, then overlap of question and answer.
 
-Test items are cut into segments of at most ``SEGMENT`` words and indexed in blocks of ``BLOCK`` segments: per block its terms, each
-term's impact on each segment, and each term's greatest impact.  An impact is the BM25 weight divided by the segment's score for itself,
-so a passage's score is a share and one threshold serves all items.
+Test items are cut into segments of at most ``SEGMENT`` words.  The index has a posting list per term: the segments that hold it, ascending, with
+its impact on each, and for every run of a list within ``BLOCK`` neighbouring segments its place and greatest impact.  An impact is
+the BM25 weight divided by the segment's score for itself, so a passage's score is a share and one threshold serves all items.
 
-Every document is read in passages of ``WINDOW`` words, one every ``STRIDE``, so that any segment lies whole in a passage.  For a block,
-the summed greatest impacts bound a passage's score; passages below the threshold skip the block, the others are
-scored exactly.  All items above the threshold are retrieved, then verified on the words around the hit: the question's and
-the answer's word trigrams must each recur there by ``OVERLAP``.
+Every document is read in passages of ``WINDOW`` words, one every ``STRIDE``, so that any segment lies whole in a passage.  Passages are
+queries, evaluated a batch at a time:
+
+1. Pivot: a passage's terms are ordered by the greatest impact of their lists; those that together stay below (a share of) the threshold cannot
+   make a hit alone, so only the lists of the others are opened.
+2. Skip: their runs give the blocks a passage may hit; the greatest impacts of its terms there bound its score, first with whole-list
+   bounds for the unopened lists, then with their runs in that block.  Blocks below the threshold are skipped.
+3. In the blocks that are left the postings of the passage's terms are added up by segment.
+
+All segments above the threshold are retrieved, then verified on the words around the hit: the question's and the answer's word trigrams must each recur
+there by ``OVERLAP``.  Work follows the postings that a passage's terms have, not the size of the index.
 
 Scale: the index of at most ``INDEX_BYTES`` of item text is sent to the tasks; a larger benchmark is searched in several passes over
 the documents, its document frequencies counted over all items all the same.  Documents are neither shuffled nor collected; a task
@@ -22,7 +29,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +47,11 @@ OVERLAP = 0.6
 GRAM = 3
 K1, B = 1.2, 0.75
 INDEX_BYTES = 8 << 20
+#: Share of the threshold that a passage's unopened lists may reach together.  Up to 1 no hit is lost; with less, more lists are opened and the
+#: first bound rules out more blocks, which costs less here.
+CLOSED = 0.25
+#: Runs or terms that are looked at together.
+OPENED = 1 << 20
 
 
 def question_answer(text: str) -> tuple[str, str]:
@@ -64,20 +76,29 @@ class Item:
 
 
 @dataclass
-class Block:
-    """Some segments: their items, terms, impacts (terms x segments) and greatest impacts."""
-
-    items: np.ndarray
-    terms: np.ndarray
-    impacts: np.ndarray
-    most: np.ndarray
+class Index:
+    """Posting lists by term and, for skipping, their runs within a block of segments.
 
+    ``runs`` of term t are ``run_start[t]`` to ``run_start[t + 1]``: their block, greatest impact, and place in the postings
+    ``(segment, impact)``; ``most`` is a list's greatest impact, ``run_key`` orders runs by (term, block).
+    """
 
-@dataclass
-class Index:
     vocabulary: pa.Array
     items: list[Item]
-    blocks: list[Block] = field(default_factory=list)
+    owner: np.ndarray  # item of each segment
+    segment: np.ndarray
+    impact: np.ndarray
+    run_start: np.ndarray
+    run_block: np.ndarray
+    run_most: np.ndarray
+    run_from: np.ndarray
+    run_to: np.ndarray
+    run_key: np.ndarray
+    most: np.ndarray
+
+    @property
+    def blocks(self) -> int:
+        return -(-len(self.owner) // BLOCK) + 1
 
 
 def grams(ids: np.ndarray, n: int = GRAM) -> np.ndarray:
@@ -99,23 +120,30 @@ def build(items: list[tuple[int, str]], df: dict[str, int], total: int) -> Index
     place = {w: i for i, w in enumerate(vocabulary)}
     ids = lambda ws: np.array([place[w] for w in ws], np.int64)
     idf = np.array([np.log(1 + (total - df[w] + 0.5) / (df[w] + 0.5)) for w in vocabulary])
-    index = Index(pa.array(vocabulary, pa.string()), [Item(i, len(q) + len(a), grams(ids(q)), grams(ids(a))) for i, q, a in texts])
+    held = [Item(i, len(q) + len(a), grams(ids(q)), grams(ids(a))) for i, q, a in texts]
     segments = []
     for number, (_, q, a) in enumerate(texts):
         every = ids([*q, *a])
         parts = -(-len(every) // SEGMENT) or 1
         segments += [(number, s) for s in np.array_split(every, parts) if len(s)]
     mean = np.mean([len(s) for _, s in segments]) if segments else 1
-    for start in range(0, len(segments), BLOCK):
-        chosen = segments[start : start + BLOCK]
-        terms = np.unique(np.concatenate([s for _, s in chosen]))
-        impacts = np.zeros((len(terms), len(chosen)), np.float32)
-        for column, (_, s) in enumerate(chosen):
-            own, tf = np.unique(s, return_counts=True)
-            weight = idf[own] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(s) / mean))
-            impacts[np.searchsorted(terms, own), column] = weight / weight.sum()
-        index.blocks.append(Block(np.array([n for n, _ in chosen]), terms, impacts, impacts.max(axis=1)))
-    return index
+    lists: list[tuple[np.ndarray, ...]] = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+    for place_, (_, s) in enumerate(segments):
+        own, tf = np.unique(s, return_counts=True)
+        weight = idf[own] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(s) / mean))
+        lists.append((own, np.full(len(own), place_), weight / weight.sum()))
+    term, segment, impact = (np.concatenate(c) for c in zip(*lists, strict=True))
+    order = np.lexsort((segment, term))
+    term, segment, impact = term[order], segment[order], impact[order]
+    blocks = -(-len(segments) // BLOCK) + 1
+    run_key, first = np.unique(term * blocks + segment // BLOCK, return_index=True)
+    greatest = lambda at: np.maximum.reduceat(impact, at) if len(impact) else np.empty(0)
+    list_start = np.searchsorted(term, np.arange(len(vocabulary)))  # every word of the vocabulary is in some segment
+    return Index(
+        pa.array(vocabulary, pa.string()), held, np.array([n for n, _ in segments], np.int64), segment, impact,
+        np.searchsorted(run_key // blocks, np.arange(len(vocabulary) + 1)), run_key % blocks, greatest(first), first,
+        np.append(first[1:], len(term)) if len(first) else first, run_key, greatest(list_start),
+    )
 
 
 def passages(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -128,36 +156,84 @@ def passages(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return text, start, np.minimum(start + WINDOW, offsets[text + 1])
 
 
-def retrieve(index: Index, ids: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[tuple[int, int, float]]:
+def _spread(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For ranges of positions: which range each position is of, and the position."""
+    size = end - start
+    which = np.repeat(np.arange(len(size)), size)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + start[which]
+
+
+def _added(keys: np.ndarray, values: np.ndarray, space: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys below ``space``, ascending, and the sum of their values, which are positive."""
+    if space <= 8 * len(keys):
+        sums = np.bincount(keys, values, space)
+        found = np.flatnonzero(sums)
+        return found, sums[found]
+    found, place = np.unique(keys, return_inverse=True)
+    return found, np.bincount(place, values, len(found))
+
+
+def retrieve(index: Index, ids: np.ndarray, start: np.ndarray, end: np.ndarray, size: int = 2048) -> Iterator[tuple[int, int, float]]:
     """``(passage, item, score)`` of all segments that reach the threshold."""
+    if not len(index.owner):
+        return
+    enough = THRESHOLD - 1e-6
     unknown = len(index.vocabulary)
+    most = np.append(index.most, 0.0)
     padded = np.concatenate([ids, np.full(WINDOW, unknown)])
-    bound = np.zeros(unknown + 1, np.float32)
-    row = np.zeros(unknown + 1, np.int64)
-    for block in index.blocks:
-        bound[:] = 0
-        bound[block.terms] = block.most
-        total = np.concatenate([[0], np.cumsum(bound[ids], dtype=np.float64)])
-        alive = np.flatnonzero(total[end] - total[start] >= THRESHOLD - 1e-6)
-        if not len(alive):
+    for low in range(0, len(start), size):
+        first, last = start[low : low + size], end[low : low + size]
+        place = first[:, None] + np.arange(WINDOW)
+        terms = np.where(place < last[:, None], padded[place], unknown)
+        terms.sort(axis=1)
+        terms[:, 1:][terms[:, 1:] == terms[:, :-1]] = unknown  # a term counts once
+        # Pivot: terms by their lists' bounds; up to the pivot they stay below the threshold together.
+        bound = most[terms]
+        order = np.argsort(bound, axis=1, kind="stable")
+        terms, bound = np.take_along_axis(terms, order, 1), np.take_along_axis(bound, order, 1)
+        reach = np.cumsum(bound, axis=1)
+        opened = (reach >= enough * CLOSED) & (bound > 0)
+        closed = np.where(opened, 0.0, bound).sum(axis=1)
+        row, column = np.nonzero(opened)
+        if not len(row):
             continue
-        row[:] = len(block.terms)
-        row[block.terms] = np.arange(len(block.terms))
-        impacts = np.concatenate([block.impacts, np.zeros((1, block.impacts.shape[1]), np.float32)])
-        most = np.append(block.most, np.float32(0))
-        for at in range(0, len(alive), 4096):
-            chosen = alive[at : at + 4096]
-            place = start[chosen][:, None] + np.arange(WINDOW)
-            terms = np.where(place < end[chosen][:, None], row[padded[place]], len(block.terms))
-            terms.sort(axis=1)
-            terms[:, 1:][terms[:, 1:] == terms[:, :-1]] = len(block.terms)  # a term counts once
-            # The bound again, now over distinct terms, before the exact score.
-            tight = most[terms].sum(axis=1) >= THRESHOLD - 1e-6
-            chosen, terms = chosen[tight], terms[tight]
-            for some in range(0, len(chosen), 512):
-                scores = impacts[terms[some : some + 512]].sum(axis=1)
-                for p, s in zip(*np.nonzero(scores >= THRESHOLD - 1e-6), strict=True):
-                    yield int(chosen[some + p]), int(block.items[s]), float(scores[p, s])
+        # A few passages at a time, by the runs that they open.
+        cost = np.bincount(row, (index.run_start[1:] - index.run_start[:-1])[terms[row, column]], len(first)).astype(np.int64)
+        cuts = np.unique(np.searchsorted(np.cumsum(cost), np.arange(0, cost.sum() + OPENED, OPENED)))
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(first)], strict=True):
+            mine = slice(*np.searchsorted(row, [a, b]))
+            for passage, segment, score in _scored(index, terms, closed, row[mine], column[mine], enough):
+                yield low + passage, int(index.owner[segment]), score
+
+
+def _scored(
+    index: Index, terms: np.ndarray, closed: np.ndarray, row: np.ndarray, column: np.ndarray, enough: float
+) -> Iterator[tuple[int, int, float]]:
+    """``(passage, segment, score)`` of the hits of passages whose opened lists are ``terms[row, column]``."""
+    blocks, unknown = index.blocks, len(index.vocabulary)
+    # Runs of the opened lists: blocks that a passage may hit, bounded by the runs and the closed lists.
+    term = terms[row, column]
+    which, run = _spread(index.run_start[term], index.run_start[term + 1])
+    every, sums = _added(row[which] * blocks + index.run_block[run], index.run_most[run], len(terms) * blocks)
+    every = every[sums + closed[every // blocks] >= enough]
+    for low in range(0, len(every), OPENED // WINDOW):
+        pairs = every[low : low + OPENED // WINDOW]
+        # What all of the passage's terms have in such a block.
+        pair, place = _spread(np.zeros(len(pairs), np.int64), np.full(len(pairs), WINDOW))
+        term = terms[pairs[pair] // blocks, place]
+        known = term < unknown
+        pair, key = pair[known], term[known] * blocks + pairs[pair[known]] % blocks
+        run = np.minimum(np.searchsorted(index.run_key, key), len(index.run_key) - 1)
+        there = index.run_key[run] == key
+        pair, run = pair[there], run[there]
+        alive = np.bincount(pair, index.run_most[run], len(pairs)) >= enough
+        pair, run = pair[alive[pair]], run[alive[pair]]
+        which, posting = _spread(index.run_from[run], index.run_to[run])
+        passage = pairs[pair[which]] // blocks
+        found, score = _added(passage * len(index.owner) + index.segment[posting], index.impact[posting], len(terms) * len(index.owner))
+        hit = score >= enough
+        for key, value in zip(found[hit].tolist(), score[hit].tolist(), strict=True):
+            yield key // len(index.owner), key % len(index.owner), value
 
 
 def verified(item: Item, ids: np.ndarray, low: int, high: int) -> tuple[float, float]:
