@@ -1,6 +1,7 @@
 """Operators against brute force on small fixtures: nulls, empty and long texts, repeated rows, clashing columns, empty tables."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -288,6 +289,77 @@ def test_blocks_count_all_pairs(spark, monkeypatch):
     assert {(r.class_id, r.n_links) for r in got} == {(0, 39)}
 
 
+@pytest.mark.parametrize("opened", [1 << 20, 200])
+def test_retrieval_against_all_pairs(monkeypatch, opened):
+    """2,000 passages against 200 items: the scores of plain BM25 over all pairs, and no other hits."""
+    monkeypatch.setattr(decontam, "OPENED", opened)
+    rng = random.Random(12)
+    weights = [1 / (i + 1) for i in range(len(VOCABULARY))]
+    text = lambda n: " ".join(rng.choices(VOCABULARY, weights, k=n))
+    items = [(i, text(rng.randint(1, 120)) + ". " + text(rng.randint(1, 8)) + ".") for i in range(198)]
+    items += [(198, items[3][1]), (199, "once")]
+    split = [decontam.split_words(t) for _, t in items]
+    df = {w: sum(w in s for s in split) for s in split for w in s}
+    index = decontam.build(items, df, len(items))
+    stream = []
+    while len(stream) < 80_000:
+        stream += text(rng.randint(20, 120)).split() if rng.random() < 0.9 else rng.choice(split)
+    flat, offsets = decontam.words(pa.array([" ".join(stream), "", "once upon", items[5][1]]))
+    ids = pc.fill_null(pc.index_in(flat, value_set=index.vocabulary), len(index.vocabulary)).to_numpy().astype(np.int64)
+    _, start, end = decontam.passages(offsets)
+    got = {}
+    for p, n, score in decontam.retrieve(index, ids, start, end):
+        got.setdefault((p, n), []).append(round(score, 9))
+    # All pairs, segment by segment.
+    parts = [(i, list(s)) for i, words in enumerate(split) for s in np.array_split(words, -(-len(words) // decontam.SEGMENT)) if len(s)]
+    mean = sum(len(s) for _, s in parts) / len(parts)
+    idf = {w: math.log(1 + (len(items) - n + 0.5) / (n + 0.5)) for w, n in df.items()}
+    weigh = []
+    for i, s in parts:
+        w = {t: idf[t] * s.count(t) * 2.2 / (s.count(t) + 1.2 * (0.25 + 0.75 * len(s) / mean)) for t in set(s)}
+        weigh.append((i, {t: v / sum(w.values()) for t, v in w.items()}))
+    words_of = flat.to_pylist()
+    want = {}
+    for p, (a, b) in enumerate(zip(start, end, strict=True)):
+        own = set(words_of[a:b])
+        for i, w in weigh:
+            score = sum(v for t, v in w.items() if t in own)
+            if score >= decontam.THRESHOLD - 1e-6:
+                want.setdefault((p, i), []).append(round(score, 9))
+    assert len(start) >= 2000 and len(want) > 300
+    assert got.keys() == want.keys()
+    assert all(sorted(got[k]) == pytest.approx(sorted(want[k]), abs=1e-8) for k in want)
+
+
+def test_unrelated_items_add_no_work():
+    """Ten times as many items of other words open not one more run."""
+    items = [(i, prose(30)) for i in range(40)]
+    others = [(1000 + i, " ".join(f"other{rng}x{i}" for rng in range(30))) for i in range(400)]
+    flat, offsets = decontam.words(pa.array([prose(4000)]))
+    _, start, end = decontam.passages(offsets)
+    met = []
+    for held in (items, items + others):
+        df = {}
+        for _, t in held:
+            for w in set(decontam.split_words(t)):
+                df[w] = df.get(w, 0) + 1
+        index = decontam.build(held, df, len(held))
+        ids = pc.fill_null(pc.index_in(flat, value_set=index.vocabulary), len(index.vocabulary)).to_numpy().astype(np.int64)
+        known = ids[ids < len(index.vocabulary)]
+        met.append(int((index.run_start[known + 1] - index.run_start[known]).sum()))
+    assert met[0] == met[1] > 0
+
+
+def test_repeated_items_and_rows(spark):
+    item = prose(20) + ". " + prose(12) + "."
+    bench = spark.createDataFrame([(7, item), (7, item), (7, prose(30)), (8, "ab cd"), (None, item)], "item_id bigint, text string")
+    rows = [(1, prose(50) + " " + item, "en", "s", 1, "", 0.0, 1)] * 2 + [(1, prose(50), "en", "s", 1, "", 0.0, 1), (None, item, "en", "s", 1, "", 0.0, 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sorted(((r.doc_id, r.item_id) for r in held(decontam.contaminated(df, bench))), key=str)
+    assert got == sorted([(1, 7)] * 4 + [(1, None)] * 2 + [(None, 7)] * 2 + [(None, None)], key=str)
+    assert [r.doc_id for r in decontam.decontaminate(df, bench).collect()] == [1]
+
+
 def test_decontamination(spark, docs):
     item = prose(20) + ". " + prose(12) + "."
     bench = spark.createDataFrame([(7, item, 0.0), (8, prose(30) + ".", 0.0), (9, None, 0.0), (10, "", 0.0)], "item_id bigint, text string, score double")
