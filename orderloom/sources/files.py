@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom import schemas
+from orderloom.functions import text
 from orderloom.operators import clean as cleaning
 from orderloom.operators import eco, messages
+from orderloom.session import materialise
 
 # ---- reading ---------------------------------------------------------------
 
@@ -49,43 +54,94 @@ def read_existing_clean(spark: SparkSession, parquet_path: str, csv_path: str |
     return None
 
 
+#: Bytes read from a file at a time until its first line is whole.
+HEAD_BYTES = 1 << 16
+
+
+def _opened(path: str) -> tuple[pafs.FileSystem, str]:
+    """What Python needs to open a file that Spark lists; raises for file systems that only Spark knows."""
+    if path.startswith(("file:", "/")):
+        return pafs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1))
+
+
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lines = []
+        for path in batch.column("path").to_pylist():
+            fs, name = _opened(path)
+            data = b""
+            with fs.open_input_stream(name) as stream:
+                while b"\n" not in data and (more := stream.read(HEAD_BYTES)):
+                    data += more
+            lines.append(data.partition(b"\n")[0].decode("utf-8", "replace"))
+        yield pa.RecordBatch.from_arrays([batch.column("file"), pa.array(lines, pa.string())], ["file", "header"])
+
+
+def file_heads(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``(file, header)``: the first line of each file, written to the shared folder.
+
+    Tasks open the files and read a piece from their start, so the cost follows the number of files and not their size.  This is the one place
+    outside the optional part where rows pass through Python.  Where Python cannot open the file system, Spark's reader finds
+    the first lines, which reads the files' first splits.
+    """
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    named = [(Path(p).toUri().toString(), p) for p in paths]
+    try:
+        _opened(paths[0])
+    except (ValueError, OSError, pa.ArrowException):
+        lines = spark.read.text(paths).select(
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.col("value").alias("header")
+        )
+        first = lines.where(F.col("at") == 0).withColumn("no", F.monotonically_increasing_id())
+        heads = first.groupBy("file").agg(F.min_by("header", "no").alias("header"))
+    else:
+        tasks = min(len(paths), 4 * spark.sparkContext.defaultParallelism)
+        heads = spark.createDataFrame(named, "file string, path string").repartition(tasks).mapInArrow(_first_lines, "file string, header string")
+    return materialise(heads.select(_plain_uri(F.col("file")).alias("file"), text.strip(F.col("header")).alias("header")), "heads")
+
+
+def _plain_uri(uri: Column) -> Column:
+    """Spark and Hadoop write one location with more or fewer slashes."""
+    return F.regexp_replace(uri, ":/+", ":/")
+
+
 def read_run_logs(spark: SparkSession, pattern: str) -> DataFrame:
     """Run logs whose headers differ from file to file.
 
-    One CSV read over files with different headers would fill columns by position,
-    so files are grouped by header line first and each group is read on its own.
-    Only header lines come to the driver, one per file.  Files without a usable
-    header are skipped; if none is left the call fails.
+    One CSV read over files with different headers would fill columns by position, so each line is parsed by the header of its own file.
+    The driver receives the distinct headers (as many as the format had versions), not one per file, and all files are read in one scan.  Files
+    without a usable header are skipped; if none is left the call fails.  Lines that repeat the header are no data.
     """
     paths = list_files(spark, pattern)
     if not paths:
         raise FileNotFoundError(f"no files match {pattern}")
-    first = (
-        spark.read.text(paths)
-        .select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("at"))
-        .where(F.col("at") == 0)
-    )
-    # Lines of a split keep their order, so the smallest id is the first line.
-    lined = first.withColumn("no", F.monotonically_increasing_id())
-    headers = lined.groupBy("f").agg(F.min_by("value", "no").alias("header")).collect()
-    groups: dict[str, list[str]] = {}
-    for row in headers:
-        if row["header"] and "," in row["header"]:
-            groups.setdefault(row["header"].strip(), []).append(row["f"])
-    if not groups:
+    heads = file_heads(spark, paths).where(F.col("header").contains(","))
+    kinds = sorted(r["header"] for r in heads.select("header").distinct().collect())
+    if not kinds:
         raise ValueError("no readable run log")
-    frames = []
-    for header, files in sorted(groups.items()):
+    parsed, columns = {}, []
+    for header in kinds:
         names = [h.strip().strip('"') for h in header.split(",")]
         schema = ", ".join(f"`{n}` string" for n in names)
-        rows = spark.read.schema(schema).option("header", True).csv(sorted(files))
-        rows = rows.select(
-            "*",
-            F.col("_metadata.file_path").alias("__source_file"),
-            F.monotonically_increasing_id().alias("__line"),
-        )
-        frames.append(eco.normalize_columns(rows))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        current = {eco.COLUMN_ALIASES.get(n, n): n for n in names}
+        parsed[header] = (F.from_csv("value", F.lit(schema)), current)
+        columns += [c for c in current if c not in columns]
+
+    def row(header: str) -> Column:
+        fields, current = parsed[header]
+        value = lambda p, c: p[current[c]] if c in current else F.lit(None).cast("string")
+        return F.transform(F.array(fields), lambda p: F.struct(*[value(p, c).alias(c) for c in columns]))
+
+    lines = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("__source_file"), F.monotonically_increasing_id().alias("__line")
+    )
+    located = lines.withColumn("file", _plain_uri(F.col("__source_file")))
+    # Heads are a written table of a row per file: Spark broadcasts it if its true size allows.
+    placed = located.join(heads, "file")
+    data = placed.where((text.strip(F.col("value")) != F.col("header")) & (F.length(text.strip(F.col("value"))) > 0))
+    by_header = reduce(lambda done, h: done.when(F.col("header") == h, row(h)), kinds[1:], F.when(F.col("header") == kinds[0], row(kinds[0])))
+    return data.select("__source_file", "__line", F.inline(by_header)).select(*columns, "__source_file", "__line")
 
 
 #: Rows up to which a database table is read by one task.

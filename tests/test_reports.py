@@ -4,6 +4,8 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs as pafs
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -224,6 +226,62 @@ def test_run_logs_with_drifting_headers(spark, logs, as_rows):
     assert as_rows(once.select("run_id", "emissions")) == [("r1", "9"), ("r2", "0.25"), ("r4", "1")]
 
 
+def test_headers_cost_a_buffer_per_file(spark, tmp_path, monkeypatch):
+    """What is read to learn the headers does not grow with the files; quoted fields, repeated headers and blank lines are handled."""
+    line = 't,"a, b",{i},1,0.5,2' + "x" * 200 + "\n"
+
+    read = []
+
+    class Counting:
+        def __init__(self, stream):
+            self.stream = stream
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.stream.close()
+
+        def read(self, n):
+            data = self.stream.read(n)
+            read.append(len(data))
+            return data
+
+    class Counted:
+        def open_input_stream(self, name):
+            return Counting(pafs.LocalFileSystem().open_input_stream(name))
+
+    def size_read(rows):
+        folder = tmp_path / str(rows)
+        folder.mkdir()
+        for k in range(3):
+            with open(folder / f"{k}.csv", "w") as f:
+                f.write("timestamp,project_name,run_id,duration,emissions,energy_consumed\n")
+                f.writelines(line.format(i=i) for i in range(rows))
+        paths = files.list_files(spark, f"{folder}/*.csv")
+        heads = files.file_heads(spark, paths)
+        assert heads.count() == 3 and heads.select("header").distinct().count() == 1
+        read.clear()
+        list(files._first_lines(iter([pa.RecordBatch.from_pydict({"file": paths, "path": paths})])))
+        return sum(read)
+
+    real = files._opened
+    monkeypatch.setattr(files, "_opened", lambda path: (Counted(), real(path)[1]))
+    assert size_read(1_000) == size_read(50_000) == 3 * files.HEAD_BYTES
+    monkeypatch.undo()
+    (tmp_path / "q").mkdir()
+    (tmp_path / "q" / "one.csv").write_text('project_name,"emissions(kg)",run-id\n"a, b",1.5,r1\n\nproject_name,"emissions(kg)",run-id\nc,,r2\n')
+    (tmp_path / "q" / "two.csv").write_text("emissions,project_name,extra\n2,d,\n")
+    got = sorted((r.project_name, r.emissions, r.run_id, r.extra) for r in files.read_run_logs(spark, f"{tmp_path}/q/*.csv").collect())
+    assert got == [("a, b", "1.5", "r1", None), ("c", None, "r2", None), ("d", "2", None, None)]
+
+    def refuse(_):
+        raise ValueError("unknown file system")
+
+    monkeypatch.setattr(files, "_opened", refuse)  # Spark's own reader takes over
+    assert sorted((r.project_name, r.emissions, r.run_id, r.extra) for r in files.read_run_logs(spark, f"{tmp_path}/q/*.csv").collect()) == got
+
+
 def test_emission_summary(spark, logs):
     summary = eco.summary(eco.dedupe_runs(files.read_run_logs(spark, logs)))
     got = [tuple(r) for r in summary.collect()]
