@@ -82,7 +82,7 @@ def test_index_sees_earlier_batches_once(spark, tmp_path):
     index.append(ids(spark, ["e3"]), 3)
     assert [(s.first, s.last) for s in index.segments(spark, 10)] == [(0, 8), (9, 9)]
     # An unfinished segment does not count.
-    (pathlib.Path(index.path) / "segment=9_9" / "_SUCCESS").unlink()
+    (pathlib.Path(index.path) / "segment=9_9" / "_COMPLETE").unlink()
     assert "e9" not in names(index.known(everything, 10))
 
 
