@@ -17,7 +17,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_warc_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.round_trip(read_table(spark, sf_dir, "pages"), shared_dir(spark, "warc"))
+    """What each record says; the file it lies in is left out, as it has no counterpart in SQL."""
+    return warc.round_trip(read_table(spark, sf_dir, "pages"), shared_dir(spark, "warc")).drop("file")
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

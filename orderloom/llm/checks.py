@@ -151,7 +151,36 @@ SELECT page_id, j.host, path, rule, coalesce(ruled, CASE WHEN excess > 0.25 THEN
 FROM judged j LEFT JOIN spread s ON s.host = j.host"""
 
 
+def warc() -> str:
+    uri = "coalesce(nullif(url, ''), 'urn:x-no-uri')"
+    return f"""WITH sized AS (
+  SELECT page_id, replace(replace({uri}, chr(13), ''), chr(10), '') AS uri, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+placed AS (
+  SELECT *, n >= 100 AND row_number() OVER (PARTITION BY digest ORDER BY page_id) > 1 AS again, min(page_id) OVER (PARTITION BY digest) AS first FROM sized)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN first END AS refers_to, uri FROM placed"""
+
+
+def suffix_dedup(length: int = 50) -> str:
+    """All windows of all texts: their bytes as hexadecimal pairs, marked where a smaller id has the same window."""
+    return f"""WITH coded AS (SELECT row_number() OVER () AS row_no, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (
+  SELECT row_no, doc_id, p, substr(h, 2 * p + 1, 2) AS pair, CASE WHEN 2 * (p + {length}) <= length(h) THEN substr(h, 2 * p + 1, {2 * length}) END AS w
+  FROM (SELECT *, unnest(range(length(h) // 2)) AS p FROM coded)),
+marked AS (SELECT *, w IS NOT NULL AND min(doc_id) OVER (PARTITION BY w) < doc_id AS hit FROM windows),
+covered AS (SELECT *, bool_or(hit) OVER (PARTITION BY row_no ORDER BY p ROWS BETWEEN {length - 1} PRECEDING AND CURRENT ROW) AS gone FROM marked),
+edged AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY row_no ORDER BY p), false) AS opens FROM covered),
+told AS (
+  SELECT row_no, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans, string_agg(pair, '' ORDER BY p) FILTER (NOT gone) AS kept
+  FROM edged GROUP BY 1)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM coded LEFT JOIN told USING (row_no)"""
+
+
 CHECKS: dict[str, str] = {
+    "op1_warc_writer": warc(),
+    "op5_suffix_dedup": suffix_dedup(),
     "op11_merkle_manifest": merkle(),
     "op12_importance_resampling": importance(),
     "op13_url_filter": url_filter(),
