@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,21 +71,31 @@ def drop_missing(df: DataFrame, subset: Iterable[str] | None = None) -> DataFram
     return df.na.drop(subset=list(subset) if subset else None)
 
 
-def impute(df: DataFrame) -> DataFrame:
+_MEDIANS = ("order_n_items", "order_basket_value")
+
+
+def imputation(df: DataFrame) -> dict[str, str | float | None]:
+    """What fills the gaps of ``df``: modes and exact medians, one value a column."""
+    return ranks.modes_row(df, schemas.LOWER_COLUMNS).first().asDict() | ranks.medians_row(df, _MEDIANS).first().asDict()
+
+
+def impute(df: DataFrame, values: Mapping[str, str | float | None] | None = None) -> DataFrame:
     """Fill the gaps: fixed country, zero amounts, modes and exact medians.
 
-    The statistics are two scalar subqueries over ``df``.  Pass a frame that reads
+    The statistics are ``values`` (see ``imputation``), or two scalar subqueries over ``df``.  Pass a frame that reads
     a written table when ``df`` is expensive (see ``plans.etl``).
     """
-    mode = scalar_struct(ranks.modes_row(df, schemas.LOWER_COLUMNS))
-    median = scalar_struct(ranks.medians_row(df, ["order_n_items", "order_basket_value"]))
-    fills = {c: F.coalesce(F.col(c), mode[c]) for c in schemas.LOWER_COLUMNS}
+    if values is None:
+        mode = scalar_struct(ranks.modes_row(df, schemas.LOWER_COLUMNS))
+        median = scalar_struct(ranks.medians_row(df, _MEDIANS))
+        found = {c: mode[c] for c in schemas.LOWER_COLUMNS} | {c: median[c] for c in _MEDIANS}
+    else:
+        found = {c: F.lit(values[c]).cast("double" if c in _MEDIANS else "string") for c in (*schemas.LOWER_COLUMNS, *_MEDIANS)}
+    fills = {c: F.coalesce(F.col(c), found[c]) for c in schemas.LOWER_COLUMNS}
     fills["customer_country"] = F.coalesce("customer_country", F.lit(UNKNOWN_COUNTRY))
     fills |= {c: F.coalesce(F.col(c), F.lit(0.0)) for c in ("order_shipping_fee", "order_discount")}
-    fills["order_n_items"] = F.coalesce(
-        F.col("order_n_items"), F.bround(median["order_n_items"]).cast("bigint")
-    )
-    fills["order_basket_value"] = F.coalesce(F.col("order_basket_value"), median["order_basket_value"])
+    fills["order_n_items"] = F.coalesce(F.col("order_n_items"), F.bround(found["order_n_items"]).cast("bigint"))
+    fills["order_basket_value"] = F.coalesce(F.col("order_basket_value"), found["order_basket_value"])
     return df.withColumns(fills)
 
 

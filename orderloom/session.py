@@ -21,14 +21,29 @@ SQL_DEFAULTS = {
 }
 
 
+#: Largest piece of a file that one task reads.  Packed columns grow some tenfold in memory, and a sort in the task that
+#: reads them (keys are limited below the shuffle) must not spill because its piece is large.
+READ_PIECE = 32 << 20
+_PIECE = "spark.sql.files.maxPartitionBytes"
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL defaults to a session somebody else built."""
+    """Apply the runtime SQL defaults to a session somebody else built; smaller pieces than ours stay."""
     for key, value in SQL_DEFAULTS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    if _bytes(spark.conf.get(_PIECE)) > READ_PIECE:
+        spark.conf.set(_PIECE, str(READ_PIECE))
     return spark
 
 
+def _bytes(setting: str) -> int:
+    """A size as Spark writes it: ``134217728b``, ``128MB``, ``32m``."""
+    number = setting.strip().lower().removesuffix("b")
+    power = "bkmgtp".find(number[-1]) if number[-1].isalpha() else 0
+    return int(number.rstrip("kmgtp")) << 10 * power
+
+
 def build_session(
     app_name: str = "orderloom",
     master: str | None = None,

@@ -34,19 +34,35 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
 
 
-def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem - orders - customer - nation; which sides are broadcast is up to size statistics."""
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log's own columns: the lines of orders.  What an order or a customer adds is looked up later (``order_facts``)."""
     lineitem = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
-    orders = table(spark, sf_dir, "orders")
+    return lineitem.where(F.col("l_orderkey").isNotNull())
+
+
+#: An event's key and time among the columns of ``order_lines``: all lines of an event have the same order.
+LINE_KEY, LINE_TIME, LINE_TIES = ("l_orderkey", "l_linenumber"), "l_shipdate", ("l_partkey", "l_suppkey")
+
+
+def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the lines of an order share.  The narrow side is joined first, so that the lines are dealt once, by their order."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
     customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    return (
-        lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    )
+    facts = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return facts.select(*orders.columns, "c_custkey", "c_mktsegment", "n_name")
+
+
+def _joined(lines: DataFrame, sf_dir: str) -> DataFrame:
+    """lineitem - orders - customer - nation; which sides are broadcast is up to size statistics."""
+    return lines.join(order_facts(lines.sparkSession, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events_of(order_lines(spark, sf_dir), sf_dir)
+
+
+def events_of(lines: DataFrame, sf_dir: str) -> DataFrame:
+    """The flat log of (some of) the ``order_lines``."""
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     tax_amount = price * F.col("l_tax").cast("decimal(4,2)")
     discount_amount = price * F.col("l_discount").cast("decimal(4,2)")
@@ -56,7 +72,7 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("c_custkey") % 3 == 0, F.concat(F.lit(" "), F.lower("n_name")))
         .otherwise(F.col("n_name"))
     )
-    return _joined(spark, sf_dir).select(
+    return _joined(lines, sf_dir).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("event_id"),
         F.col("l_shipdate").alias("event_time"),
         F.concat(F.lit("ORD-"), F.col("l_orderkey")).alias("order_id"),
@@ -154,7 +170,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(part % 71 == 0, F.concat(F.lit("{"), head, F.lit(', "order_id": null}')))
         .otherwise(F.concat(F.lit(" "), full))
     )
-    return _joined(spark, sf_dir).select(
+    return _joined(order_lines(spark, sf_dir), sf_dir).select(
         value.alias("value"),
         F.col("o_orderdate").cast("timestamp").alias("broker_time"),
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("position"),
