@@ -148,14 +148,30 @@ def _fit_basket(train: DataFrame, exclude: Iterable[str]) -> tuple[PipelineModel
     return PipelineModel([prepared, assembler, least_squares(matrix)]), prepared.features, matrix
 
 
+def split_returns(clean: DataFrame, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows of the return model, as written."""
+    return _split(clean, "stratified", RETURN_TARGET, seed)
+
+
+def split_baskets(clean: DataFrame, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows of the basket model, as written."""
+    return _split(clean, "random", BASKET_TARGET, seed)
+
+
 def train_return_model(clean: DataFrame, seed: int = 42, **options) -> Trained:
-    train, test = _split(clean, "stratified", RETURN_TARGET, seed)
+    return train_returns(*split_returns(clean, seed), **options)
+
+
+def train_returns(train: DataFrame, test: DataFrame, **options) -> Trained:
     pipeline, features, matrix = _fit_return(train, options.pop("exclude", ()), options.pop("class_weights", False), **options)
     return Trained(pipeline, features, train, test, matrix)
 
 
 def train_basket_model(clean: DataFrame, seed: int = 42, **options) -> Trained:
-    train, test = _split(clean, "random", BASKET_TARGET, seed)
+    return train_baskets(*split_baskets(clean, seed), **options)
+
+
+def train_baskets(train: DataFrame, test: DataFrame, **options) -> Trained:
     pipeline, features, matrix = _fit_basket(train, options.pop("exclude", ()), **options)
     return Trained(pipeline, features, train, test, matrix)
 
