@@ -37,7 +37,7 @@ def fill(df: DataFrame, values: dict) -> DataFrame:
 
 
 def medians(df: DataFrame, columns: Iterable[str]) -> dict[str, float]:
-    return ranks.medians_row(df, columns).first().asDict()
+    return ranks.medians(df, columns)
 
 
 def most_frequent(df: DataFrame, columns: Iterable[str]) -> dict[str, str]:
@@ -79,10 +79,7 @@ class Spread:
 
 def spreads(df: DataFrame, columns: Iterable[str]) -> dict[str, Spread]:
     """Quartile points of every column that has values, in one run."""
-    found: dict[str, Spread] = {}
-    for r in ranks.quantile_points(df, columns, [0.25, 0.5, 0.75]).collect():  # three rows per column
-        found.setdefault(r["column"], Spread(r["total"], {})).points[r["prob"]] = (r["low"], r["high"], r["part"])
-    return found
+    return {c: Spread(total, points) for c, (total, points) in ranks.found_points(df, columns, [0.25, 0.5, 0.75]).items()}
 
 
 def iqr_limits(df: DataFrame, columns: Iterable[str]) -> dict[str, list[float]]:
@@ -124,6 +121,16 @@ def categories(df: DataFrame, columns: Iterable[str]) -> dict[str, list[str]]:
     return {c: sorted(r["value"] for r in rows if r["column"] == c) for c in columns}
 
 
+def _modes_and_categories(df: DataFrame, columns: list[str]) -> tuple[dict[str, str | None], dict[str, list[str]]]:
+    """``most_frequent`` and ``categories`` from one count.  Filling gaps with the mode adds no value."""
+    rows = melt(df, columns, as_type="string").where(F.col("value").isNotNull()).groupBy("column", "value").count().collect()
+    counts: dict[str, dict[str, int]] = {c: {} for c in columns}
+    for r in rows:
+        counts[r["column"]][r["value"]] = r["count"]
+    tops = {c: min(n, key=lambda v: (-n[v], v), default=None) for c, n in counts.items()}
+    return tops, {c: sorted(n) for c, n in counts.items()}
+
+
 def one_hot_columns(values: dict[str, list[str]], present: Iterable[str]) -> dict[str, Column]:
     """Indicator columns ``{column}_{value}`` for all but the first value.
 
@@ -199,7 +206,7 @@ class OrderPrep(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             *[F.col(c).cast("double").alias(c) for c in numeric], *[F.col(c) for c in category]
         )
         spread = spreads(typed, numeric)
-        modes = most_frequent(typed, category) if category else {}
+        modes, values = _modes_and_categories(typed, category) if category else ({}, {})
         fills = {c: s.median() for c, s in spread.items()} | modes
         filled = fill(typed, fills)
         # Filling moves the quartiles, but only of columns that had gaps.
@@ -212,7 +219,6 @@ class OrderPrep(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             scales = {c: s.clipped().scale() for c, s in spread.items()}
         else:
             scales = standard_scales(clip_columns(filled, limits), numeric)
-        values = categories(filled, category) if category else {}
         hot = [f"{c}_{v}" for c, vs in values.items() for v in vs[1:]]
         state = {
             "numeric": numeric,

@@ -76,7 +76,7 @@ _MEDIANS = ("order_n_items", "order_basket_value")
 
 def imputation(df: DataFrame) -> dict[str, str | float | None]:
     """What fills the gaps of ``df``: modes and exact medians, one value a column."""
-    return ranks.modes_row(df, schemas.LOWER_COLUMNS).first().asDict() | ranks.medians_row(df, _MEDIANS).first().asDict()
+    return ranks.modes_row(df, schemas.LOWER_COLUMNS).first().asDict() | ranks.medians(df, _MEDIANS)
 
 
 def impute(df: DataFrame, values: Mapping[str, str | float | None] | None = None) -> DataFrame:

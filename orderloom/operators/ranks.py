@@ -8,16 +8,25 @@ and only the few ranges that hold a wanted rank are looked at more closely.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderloom.functions.numeric import nan_to_null
 from orderloom.operators.reshape import melt
 from orderloom.session import materialise
 
 FANOUT = 4096
 _RANGES_PER_OCTAVE = 32
+#: Sketches of this size miss a rank by some 0.2 % of the rows; what they bracket reaches 1 % to either side of it.
+SKETCH_SIZE = 2048
+SKETCH_REACH = 0.01
+#: With fewer values the reach is a handful of ranks, and the ranges are as cheap.
+SKETCHED_FROM = 10_000
 
 
 def _coarse_range(x: Column) -> Column:
@@ -103,7 +112,17 @@ def order_statistics(
     ]
     counts = values.groupBy(*group, _coarse_range(F.col("value")).alias("range_no")).agg(*measures)
     ranges = _ranges_with_wanted(counts, group, [], "range_no", pick)
+    return _ranked(values, ranges, by, refinements, fanout)
 
+
+def _ranked(values: DataFrame, ranges: DataFrame, by: list[str], refinements: int = 1, fanout: int = FANOUT) -> DataFrame:
+    """The values at the ranks that ``ranges`` hold, as rows ``(by..., column, total, rank_no, value)``."""
+    group = [*by, "column"]
+    measures = [
+        F.count(F.lit(1)).alias("rows_in"),
+        F.min("value").alias("low"),
+        F.max("value").alias("high"),
+    ]
     outer = ["outer_low", "outer_high", "total", "base", "wanted"]
     for _ in range(refinements):
         held = (
@@ -113,7 +132,7 @@ def order_statistics(
         )
         number = _fine_range(F.col("value"), F.col("outer_low"), F.col("outer_high"), fanout)
         counts = held.groupBy(*group, *outer, number.alias("range_no")).agg(*measures)
-        ranges = _ranges_with_wanted(counts, group, outer, "range_no", pick)
+        ranges = _ranges_with_wanted(counts, group, outer, "range_no", None)
 
     held = _join_ranges(values, ranges, group, by)
     last = [*group, "low", "high", "total", "base", "wanted"]
@@ -161,6 +180,74 @@ def quantile_points(
     )
 
 
+def found_points(
+    df: DataFrame, columns: Iterable[str], probs: Iterable[float]
+) -> dict[str, tuple[int, dict[float, tuple[float, float, float]]]]:
+    """What ``quantile_points`` has, found at once: per column its number of values and ``prob -> (low, high, part)``.
+
+    ``order_statistics`` makes a row of every value in each of its passes.  Here a sketch brackets the wanted ranks, one
+    aggregation counts what lies below and up to each bracket, and only values inside the brackets become rows and are
+    ranked.  The counts decide: a column whose ranks the sketch missed, or that has few values, goes the other way.
+    A column without values is left out.  Some numbers per column and probability reach the driver.
+    """
+    columns, probs = list(columns), [float(p) for p in probs]
+    names = {f"v{i}": c for i, c in enumerate(columns)}
+    typed = df.select(*[(nan_to_null(F.col(c).cast("double")) + F.lit(0.0)).alias(v) for v, c in names.items()])
+    totals, brackets = _bracket(typed, list(names), probs)
+    totals = {v: n for v, n in totals.items() if n}
+    wanted = {v: {p: (math.floor(p * (n - 1)), math.ceil(p * (n - 1))) for p in probs} for v, n in totals.items()}
+
+    sketched = [v for v, n in totals.items() if n >= SKETCHED_FROM]
+    at: dict[str, dict[int, float]] = {v: {} for v in totals}
+    held: dict[tuple[str, float, float], tuple[int, set[int]]] = {}
+    for (v, p), (low, high, below, past_low, to_high, upto) in _counted(typed, {k: b for k, b in brackets.items() if k[0] in sketched}).items():
+        # Frequent values are mostly the ends themselves.
+        at[v] |= {k: low for k in wanted[v][p] if below <= k < past_low} | {k: high for k in wanted[v][p] if to_high <= k < upto}
+        between = {k for k in wanted[v][p] if past_low <= k < to_high}
+        if between:
+            held.setdefault((v, low, high), (below, set()))[1].update(between)
+    if held:
+        rows = [(v, low, high, totals[v], below, sorted(ranks)) for (v, low, high), (below, ranks) in held.items()]
+        ranges = df.sparkSession.createDataFrame(rows, "column string, low double, high double, total bigint, base bigint, wanted array<bigint>")
+        inside = {v: reduce(or_, [F.col(v).between(low, high) for of, low, high in held if of == v]) for v, _, _ in held}
+        few = typed.where(reduce(or_, inside.values())).select(*[F.when(c, F.col(v)).alias(v) for v, c in inside.items()])
+        values = melt(few, list(inside)).where(F.col("value").isNotNull())
+        for r in _ranked(values, ranges, []).collect():
+            at[r["column"]][r["rank_no"]] = r["value"]
+
+    left = [v for v in totals if any(k not in at[v] for ends in wanted[v].values() for k in ends)]
+    if left:
+        for r in order_statistics(typed, left, lambda total: _wanted_ranks(total, probs)).collect():
+            at[r["column"]][r["rank_no"]] = r["value"]
+    return {
+        names[v]: (n, {p: (at[v][lo], at[v][hi], p * (n - 1) - lo) for p, (lo, hi) in wanted[v].items()}) for v, n in totals.items()
+    }
+
+
+def _bracket(typed: DataFrame, columns: list[str], probs: list[float]) -> tuple[dict[str, int], dict[tuple[str, float], tuple[float, float]]]:
+    """Values per column, and two values between which a rank should lie, from one sketch a column."""
+    ends = [e for p in probs for e in (max(p - SKETCH_REACH, 0.0), min(p + SKETCH_REACH, 1.0))]
+    points = F.array(*[F.lit(e) for e in ends])
+    sketch = {v: F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double(v, F.lit(SKETCH_SIZE)), points) for v in columns}
+    row = typed.agg(
+        *[F.count(v).alias(f"n_{v}") for v in columns],
+        *[F.when(F.count(v) > 0, s).alias(f"at_{v}") for v, s in sketch.items()],
+    ).first()
+    totals = {v: row[f"n_{v}"] for v in columns}
+    return totals, {(v, p): tuple(row[f"at_{v}"][2 * i : 2 * i + 2]) for v in columns if totals[v] for i, p in enumerate(probs)}
+
+
+def _counted(
+    typed: DataFrame, brackets: dict[tuple[str, float], tuple[float, float]]
+) -> dict[tuple[str, float], tuple[float, float, int, int, int, int]]:
+    """Brackets with the number of values below and up to their lower and their upper end."""
+    if not brackets:
+        return {}
+    counts = [F.count_if(c) for (v, _), ends in brackets.items() for e in ends for c in (F.col(v) < e, F.col(v) <= e)]
+    row = typed.agg(*[c.alias(f"c{i}") for i, c in enumerate(counts)]).first()
+    return {key: (*ends, *row[4 * i : 4 * i + 4]) for i, (key, ends) in enumerate(brackets.items())}
+
+
 def exact_quantiles(
     df: DataFrame, columns: Iterable[str], probs: Iterable[float], by: Iterable[str] = (), **options
 ) -> DataFrame:
@@ -193,6 +280,13 @@ def medians_row(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return middle.agg(*[((lo(x) + hi(x)) / 2.0).alias(c) for lo, hi, x, c in ends])
 
 
+def medians(df: DataFrame, columns: Iterable[str]) -> dict[str, float | None]:
+    """The values of ``medians_row``, found at once."""
+    columns = list(columns)
+    points = {c: at[0.5] for c, (_, at) in found_points(df, columns, [0.5]).items()}
+    return {c: (points[c][0] + points[c][1]) / 2.0 if c in points else None for c in columns}
+
+
 def modes(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Most frequent value per column, smallest on ties: ``(column, top, freq)``.
 

@@ -1,9 +1,12 @@
 """What must not grow faster than the input: caches, sorts of wide rows, work that a query does not need."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from orderloom import session
+from orderloom.ml import prep, splits
 from orderloom.operators import clean as cleaning
+from orderloom.operators import ranks
 from orderloom.plans import catalog_models, frames
 from orderloom.plans.catalog import QUERIES
 from orderloom.sources import snapshots
@@ -80,3 +83,53 @@ def test_batches_are_not_cached(spark, tmp_path, monkeypatch):
     assert reasons == ["blank line", "invalid JSON"]
     sent = scoring.read_log(spark, str(tmp_path), scoring.INTAKE).where("batch_id = 0").first()
     assert (sent["sent"], sent["skipped_empty"], sent["skipped_invalid_json"], sent["refused"], sent["good"]) == (3, 1, 1, 0, 3)
+
+
+def many_values(spark):
+    """Continuous, skewed, whole-numbered, mostly one value, with gaps and NaN, constant, and empty."""
+    i = F.col("id")
+    return spark.range(30000).select(
+        F.pow(F.rand(3) * 10 + 1, F.lit(6.0)).alias("a"), (-F.log(F.rand(4))).alias("b"), (i % 7).alias("c"),
+        F.when(i % 3 == 0, F.rand(5)).otherwise(-0.0).alias("d"), F.when(i % 5 == 0, F.lit(None)).when(i % 11 == 0, F.lit(float("nan"))).otherwise(F.rand(6)).alias("e"),
+        F.lit(4.0).alias("f"), F.lit(None).cast("double").alias("g"), F.when(i < 5, i.cast("double")).alias("h"),
+    )
+
+
+def wanted_points(df, probs):
+    points = {}
+    for r in ranks.quantile_points(df, df.columns, probs).collect():
+        points.setdefault(r["column"], (r["total"], {}))[1][r["prob"]] = (r["low"], r["high"], r["part"])
+    return points
+
+
+@pytest.mark.parametrize("reach", [0.01, 0.0, 0.3])
+def test_bracketed_ranks_are_exact(spark, monkeypatch, reach):
+    probs = [0.0, 0.25, 0.5, 0.75, 0.999, 1.0]
+    df = session.materialise(many_values(spark), "values")
+    monkeypatch.setattr(ranks, "SKETCH_REACH", reach)
+    assert ranks.found_points(df, df.columns, probs) == wanted_points(df, probs)
+
+
+def test_preparation_makes_no_row_of_every_value(spark, monkeypatch):
+    df = session.materialise(many_values(spark).select("a", "b", "c", "d", "f"), "values")
+    expected = prep.spreads(df, df.columns)
+
+    def fail(*_, **__):
+        raise AssertionError("every value became a row")
+
+    monkeypatch.setattr(ranks, "order_statistics", fail)
+    assert prep.spreads(df, df.columns) == expected
+
+
+@pytest.mark.parametrize("share", [0.0, 0.2, 0.5, 1.0])
+def test_split_converts_no_hash_and_cuts_at_the_same_one(spark, share):
+    df = spark.range(6000).select(F.col("id").cast("string").alias("event_id"), F.when(F.col("id") % 3 > 0, F.col("id") % 3 == 1).alias("y"))
+    marked = splits.stratified_split(df, "event_id", "y", test_share=share)
+    assert "conv(" not in plan(marked)
+    sides = {}
+    for r in marked.withColumn("h", splits.unit_hash(F.col("event_id"), 42)).collect():
+        sides.setdefault(r["y"], []).append((r["h"], r["is_test"]))
+    assert len(sides) == 3
+    for rows in sides.values():
+        take = min(round(len(rows) * share), len(rows) - 1)
+        assert [t for _, t in sorted(rows)] == [k < take for k in range(len(rows))]
