@@ -8,7 +8,8 @@ is reversed at the end.  Folding a leaf with its collected siblings must give th
 Scale: texts are read and hashed once; what follows handles digests only.  Ranks come from a range sort, so a source that owns a third of all
 rows is spread over many tasks.  A level is one grouping of at most ``FANOUT`` rows a group, and has a sixteenth of the rows of the one below.
 Requests below one node share its way: the frontier of the descent has one row per opened node, not one per leaf, so ways (about one kB a
-level) travel once per run of leaves and are spelt out per leaf only where they are folded.  The driver receives counts and the root.
+level) travel once per run of leaves and are spelt out per leaf only where they are folded.  Ways and records are joined by sorting: Spark takes
+a frontier for far smaller than it is, and a broadcast one would go through the driver.  The driver receives counts and the root.
 
 Defined cases: a null field counts as ``-``; a null source is a source of its own, before all others; null ids come first in their source;
 rows that share an id are ordered by their leaf digest, equal rows are equal leaves, each with a rank of its own; a lone leaf is its subroot, a
@@ -117,10 +118,15 @@ def _siblings(children: Column, digit: Column) -> Column:
     return F.struct(F.concat_ws("", left).alias("left"), F.concat_ws("", right).alias("right"))
 
 
+def _sorted_join(ways: DataFrame, other: DataFrame, on: str | list[str]) -> DataFrame:
+    """Inner join of rows that carry their ways, neither side of which is broadcast whatever its estimated size."""
+    return ways.hint("merge").join(other.hint("merge"), on)
+
+
 def _open(frontier: DataFrame, level: DataFrame) -> DataFrame:
     """The frontier's nodes with their children; records are looked up by digest, equal ones are one record."""
     records = level.select("digest", "children").dropDuplicates(["digest"])
-    return frontier.join(records, "digest")
+    return _sorted_join(frontier, records, "digest")
 
 
 def _descend(opened: DataFrame, *keep: str) -> DataFrame:
@@ -144,7 +150,7 @@ def open_runs(manifest: Manifest, requests: DataFrame | None = None) -> DataFram
     for level in reversed(manifest.top_levels):
         frontier = _descend(_open(frontier, level))
     depths = manifest.subroots.select(F.col("tree").alias("idx"), "level")
-    entered = frontier.join(depths, "idx").select(
+    entered = _sorted_join(frontier, depths, "idx").select(
         F.col("idx").alias("tree"), F.lit(0).cast("bigint").alias("idx"), "digest", F.col("digest").alias("subroot"), "way", "level"
     )
     entered = materialise(entered, "merkle_entered")
@@ -183,7 +189,7 @@ def proofs(manifest: Manifest, requests: DataFrame | None = None) -> DataFrame:
     runs = asked.groupBy("tree", F.shiftright("rank", DIGIT_BITS).alias("idx")).agg(
         F.collect_list(F.struct("rank", "doc_id", "leaf", "altered")).alias("asked")
     )
-    met = open_runs(manifest, requests).join(runs, ["tree", "idx"]).select("*", F.explode("asked").alias("one"))
+    met = _sorted_join(open_runs(manifest, requests), runs, ["tree", "idx"]).select("*", F.explode("asked").alias("one"))
     digit = F.col("one.rank").bitwiseAND(FANOUT - 1).cast("int")
     own = F.when(F.col("children").isNotNull(), F.array(_siblings(F.col("children"), digit))).otherwise(F.array().cast(WAY))
     return met.select("tree", "one.*", "subroot", F.concat(own, F.reverse("way")).alias("way"))

@@ -110,3 +110,15 @@ def test_forged_sibling_does_not_fold_to_the_root(spark):
     way = F.transform("way", lambda s: F.struct(s["left"], F.concat(s["right"], F.lit("0")).alias("right")))
     found = merkle.proofs(manifest).select(merkle.fold(F.col("leaf"), F.col("way")).alias("good"), merkle.fold(F.col("leaf"), way).alias("bad"))
     assert found.filter((F.col("good") != manifest.root) | (F.col("bad") == manifest.root)).count() == 0
+
+
+def test_ways_are_never_broadcast(spark):
+    """A frontier grows with the table, but Spark's estimate of it does not: its joins must not go through the driver."""
+    rows = [(i, f"T{i}", "en", f"s{i % 3}", i) for i in range(3000)]
+    manifest = merkle.commit(frame(spark, rows))
+    met = merkle.proofs(manifest)
+    assert len(met.collect()) == len(rows)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.split("Initial Plan")[0].splitlines() if "BroadcastHashJoin" in line]
+    # What is left looks the sources up, one row each.
+    assert joins and all("source" in line for line in joins), joins
