@@ -1,10 +1,13 @@
 """What must not grow faster than the input: caches, sorts of wide rows, work that a query does not need."""
 
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
-from orderloom import session
-from orderloom.ml import prep, splits
+from orderloom import schemas, session
+from orderloom.ml import models, prep, splits
 from orderloom.operators import clean as cleaning
 from orderloom.operators import ranks
 from orderloom.plans import catalog_models, frames
@@ -133,3 +136,70 @@ def test_split_converts_no_hash_and_cuts_at_the_same_one(spark, share):
     for rows in sides.values():
         take = min(round(len(rows) * share), len(rows) - 1)
         assert [t for _, t in sorted(rows)] == [k < take for k in range(len(rows))]
+
+
+def messages_of(spark, lines):
+    text = '{"event_id": "%s", "order_id": "o-%s", "customer_customer_id": "c", "order_basket_value": %d}'
+    rows = [(text % (e, e, v), t) for e, t, v in lines] + [("bad", "2026-01-01")]
+    return spark.createDataFrame(rows, "value string, t string").select("value", F.col("t").cast("timestamp").alias("broker_time"))
+
+
+def test_a_batch_in_parts_is_the_batch_at_once(spark, tmp_path, monkeypatch, as_rows):
+    """Copies of an event meet whatever the parts; an attempt that is made again replaces all parts of the first."""
+    monkeypatch.setattr(scoring, "score_returns", lambda pipeline, rows: rows.withColumn("return_proba", F.lit(0.5)))
+    first = [(f"e{i % 40}", f"2026-01-0{1 + i % 3}", i) for i in range(100)]
+    second = [(f"e{i % 60}", "2026-02-01", i) for i in range(90)]
+    found = {}
+    for size in (7, 10**6):
+        monkeypatch.setattr(scoring, "PART_ROWS", size)
+        root = str(tmp_path / str(size))
+        job = scoring.ScoringJob(root, None, id_buckets=4)
+        job(messages_of(spark, second), 0)
+        job(messages_of(spark, first), 0)
+        job(messages_of(spark, second), 1)
+        found[size] = {name: as_rows(scoring.read_log(spark, root, name)) for name in (scoring.ACCEPTED, scoring.REJECTED, scoring.PREDICTIONS, scoring.INTAKE)}
+    assert found[7] == found[10**6]
+    kept = {r[0]: r[-1] for r in found[7][scoring.ACCEPTED]}
+    assert kept == {f"e{i}": int(i >= 40) for i in range(60)} and len(found[7][scoring.ACCEPTED]) == 60
+
+
+def shuffle_blocks(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {str(blocks.apply(i).getName()) for i in range(blocks.size()) if blocks.apply(i).getName().startswith("shuffle_")}
+
+
+def test_shuffles_go_with_their_write(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scoring, "score_returns", lambda pipeline, rows: rows.withColumn("return_proba", F.lit(0.5)))
+    batch = messages_of(spark, [(f"e{i % 40}", "2026-01-01", i) for i in range(100)])
+    setting = next(iter(session.DROP_SHUFFLES))
+    before, conf = shuffle_blocks(spark), spark.conf.get(setting)
+    written = session.materialise(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    scoring.ScoringJob(str(tmp_path / "out"), None, id_buckets=4)(batch, 0)
+    for _ in range(40):  # the files are removed in the background
+        left = shuffle_blocks(spark) - before
+        if not left:
+            break
+        time.sleep(0.25)
+    assert not left and spark.conf.get(setting) == conf
+    assert written.count() == 7
+
+
+def order_rows(spark):
+    i = F.col("id")
+    typed = {"string": F.concat(F.lit("v"), i % 3), "timestamp": F.lit("2026-01-02").cast("timestamp"), "boolean": i % 2 == 0}
+    values = {f.name: typed.get(f.dataType.simpleString(), (i % 13 + 1).cast(f.dataType)) for f in schemas.EVENT.fields}
+    values["event_id"] = F.concat(F.lit("e"), i)
+    return spark.range(80).select(*[v.alias(name) for name, v in values.items()])
+
+
+def test_training_for_scores_alone_leaves_no_table(spark, tmp_path, monkeypatch):
+    folders = []
+    monkeypatch.setattr(frames, "dedup", lambda *_: order_rows(spark))
+    monkeypatch.setattr(session, "shared_dir", lambda s, purpose, real=session.shared_dir: folders.append(real(s, purpose)) or folders[-1])
+    pipeline = catalog_models.return_pipeline(spark, str(tmp_path))
+    assert len(folders) >= 3 and not any(os.path.exists(f) for f in folders)
+    assert models.score_returns(pipeline, frames._cleaned(order_rows(spark))).count() == 80
+    # A run that is kept is taken as it is.
+    (tmp_path / "x").touch()
+    run = catalog_models.return_run(spark, str(tmp_path))
+    assert catalog_models.return_pipeline(spark, str(tmp_path)) is run.pipeline
